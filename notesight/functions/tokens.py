@@ -13,6 +13,11 @@ def word_tokens(text: Column) -> Column:
     return F.array_remove(split, "")
 
 
+def letter_text(text: Column) -> Column:
+    """The lower-cased text with a space for every run of other characters than ASCII letters."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z]+", " ")
+
+
 def remove_stop_words(tokens: Column) -> Column:
     return F.filter(tokens, lambda token: ~token.isin(REMOVER_STOP_WORDS))
 

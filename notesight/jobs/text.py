@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from notesight.functions import cleaning, words
 from notesight.functions.stemmer import (
     CONSONANTS, DOUBLE_CONSONANT, HAS_VOWEL, MEASURE_1, MEASURE_1_UP, MEASURE_2_UP, SHORT_SYLLABLE, STEP_2, STEP_3,
-    STEP_4, stem_word,
+    STEP_4, stem_text,
 )
 from notesight.functions.tokens import word_tokens
 from notesight.jobs import query
@@ -146,14 +146,19 @@ FREQUENT = 8
 
 @query(
     "term_match",
-    f"""WITH {dictionary_sql(FREQUENT)}, starts AS (
-  SELECT doc_id, text, unnest(range(1, length(text) + 1)) AS start FROM documents
+    # the terms are runs of letters, so an occurrence lies within one run of letters of the text
+    f"""WITH {dictionary_sql(FREQUENT)}, numbered AS (
+  SELECT doc_id, runs, unnest(range(1, len(runs) + 1)) AS place FROM (
+    SELECT doc_id, regexp_extract_all(text, '[a-z]+') AS runs FROM documents)
+), starts AS (
+  SELECT doc_id, place, runs[place] AS run, unnest(range(1, length(runs[place]) + 1)) AS start FROM numbered
 ), hits AS (
-  SELECT doc_id, start + size - 1 AS finish, size, d.term FROM starts,
-    (SELECT DISTINCT length(term) AS size FROM dictionary) JOIN dictionary d ON d.term = substr(text, start, size)
+  SELECT doc_id, place, start + size - 1 AS finish, size, d.term FROM starts,
+    (SELECT DISTINCT length(term) AS size FROM dictionary) JOIN dictionary d ON d.term = substr(run, start, size)
+  WHERE start + size - 1 <= length(run)
 )
 SELECT doc_id, coalesce(terms, '') AS terms FROM documents LEFT JOIN (
-  SELECT doc_id, string_agg(term, ' ' ORDER BY finish, size DESC) AS terms FROM hits GROUP BY doc_id) USING (doc_id)""",
+  SELECT doc_id, string_agg(term, ' ' ORDER BY place, finish, size DESC) AS terms FROM hits GROUP BY doc_id) USING (doc_id)""",
 )
 def term_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.match_terms(documents(spark, sf_dir), dictionary(spark, sf_dir, FREQUENT), ["doc_id"])
@@ -265,7 +270,7 @@ def porter_sql(source: str) -> str:
 )
 def stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = terms.token_counts(documents(spark, sf_dir), word_tokens(F.col("text")))
-    return counts.withColumn("stem", stem_word(F.col("term")))
+    return counts.withColumn("stem", stem_text(F.col("term")))
 
 
 @query(

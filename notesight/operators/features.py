@@ -8,9 +8,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from notesight.functions.stemmer import stem_word
-from notesight.functions.tokens import ngrams, remove_stop_words, word_tokens
-from notesight.functions.words import REMOVER_STOP_WORDS
+from notesight.functions.stemmer import stem_text
+from notesight.functions.tokens import letter_text, ngrams, remove_stop_words, word_tokens
 
 BROADCAST_VOCABULARY = 100_000
 
@@ -22,27 +21,16 @@ def term_counts(df: DataFrame, keys: Sequence[str], tokens: Column) -> DataFrame
 
 
 def corpus_counts(df: DataFrame, column: str, n: int = 1, stem: bool = True) -> DataFrame:
-    """(term, n) over all rows, after stemming and stop words. Single words are counted first, so each
-    distinct word is stemmed once."""
-    if n > 1:
-        grams = ngrams(remove_stop_words(final_tokens(F.col(column), stem)), n)
-        return df.select(F.explode(grams).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    counts = (
-        df.select(F.explode(word_tokens(F.col(column))).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    if stem:
-        stems = counts.withColumn("term", stem_word(F.col("term")))
-        counts = stems.groupBy("term").agg(F.sum("n").alias("n"))
-    return counts.filter(~F.col("term").isin(REMOVER_STOP_WORDS))
+    """(term, n): the n-grams of a text column over all rows, after stemming and stop words."""
+    grams = ngrams(remove_stop_words(final_tokens(F.col(column), stem)), n)
+    return df.select(F.explode(grams).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def final_tokens(text: Column, stem: bool = True) -> Column:
-    from notesight.functions.stemmer import stem_tokens
-
-    tokens = word_tokens(text)
-    return stem_tokens(tokens) if stem else tokens
+    """The words of a text, stemmed or not, in order."""
+    if not stem:
+        return word_tokens(text)
+    return F.array_remove(F.split(stem_text(letter_text(text)), " "), "")
 
 
 def vocabulary(counts: DataFrame, size: int) -> DataFrame:

@@ -58,12 +58,16 @@ def _match_by_automaton(
         if len(automaton):
             automaton.make_automaton()
 
+        def free(value: str, before: int, after: int) -> bool:
+            left = before >= 0 and value[before].isalnum()
+            return not left and not (after < len(value) and value[after].isalnum())
+
         def terms_of(value: str | None) -> str:
             if not value or not len(automaton):
                 return ""
             hits = automaton.iter(value)
             if whole_words:
-                hits = ((end, term) for end, term in hits if _free(value, end - len(term), end + 1))
+                hits = ((end, term) for end, term in hits if free(value, end - len(term), end + 1))
             return " ".join(term for _, term in hits)
 
         for batch in batches:
@@ -72,10 +76,6 @@ def _match_by_automaton(
     return df.select(*keys, found(F.col(text)).alias("terms"))
 
 
-def _free(value: str, before: int, after: int) -> bool:
-    return not (before >= 0 and value[before].isalnum()) and not (after < len(value) and value[after].isalnum())
-
-
 def match_by_join(
     df: DataFrame, listed: DataFrame, keys: Sequence[str], text: str = "text", whole_words: bool = False
 ) -> DataFrame:

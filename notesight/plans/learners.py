@@ -30,6 +30,7 @@ from notesight.operators.sampling import assign_folds, bags, balance
 KEYS = ["subject_id", "hadm_id"]
 IMPORTANCE = "feature bigint, importance double"
 SEED = 12345
+ROWS_PER_TASK = 5_000
 
 
 def logistic_regression(seed: int, size: int, **options) -> LogisticRegression:
@@ -76,6 +77,13 @@ def feature_count(df: DataFrame) -> int:
     return size
 
 
+def sized(rows: DataFrame, count: int) -> DataFrame:
+    """No more tasks than `count` rows can fill: an iterative fit runs a job per step, and a matched or
+    bagged sample is often far smaller than the table it comes from."""
+    tasks = max(1, -(-count // ROWS_PER_TASK))
+    return rows.coalesce(tasks) if tasks < rows.rdd.getNumPartitions() else rows
+
+
 def importance_table(spark: SparkSession, weights: Sequence[float]) -> DataFrame:
     return spark.createDataFrame([(i, float(weight)) for i, weight in enumerate(weights)], IMPORTANCE)
 
@@ -98,7 +106,7 @@ class Learner:
         saw are `draw(df)`, the same on every call."""
         rows = self.draw(df).persist()
         try:
-            self.model = self.fit(rows, feature_count(df))
+            self.model = self.fit(sized(rows, rows.count()), feature_count(df))
         finally:
             rows.unpersist()
         return importance_table(df.sparkSession, self.method.importance(self.best_model))
@@ -171,7 +179,7 @@ class BaggedLearner(Learner):
     count: int = 20
     positives: int = 400
     others: int = 1000
-    parallelism: int = 4
+    parallelism: int = 8
     models: list[Model] = field(default_factory=list)
 
     def draw(self, df: DataFrame) -> DataFrame:
@@ -184,7 +192,7 @@ class BaggedLearner(Learner):
 
         def fit_one(bag: int) -> Model:
             estimator = self.method.make(self.seed + bag, size, weightCol="copies", **self.options)
-            return estimator.fit(drawn.filter(F.col("bag") == bag))
+            return estimator.fit(sized(drawn.filter(F.col("bag") == bag), self.positives + self.others))
 
         try:
             with ThreadPool(self.parallelism) as pool:
