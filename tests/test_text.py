@@ -20,14 +20,14 @@ def value(spark, text, step):
     (cleaning.drop_brackets, "a [b\nc] d", "a [b\nc] d"),
     (cleaning.drop_short_words, "a bc d ef", "bc ef"),
     (cleaning.drop_custom_words, "admission date stable", "stable"),
-    (cleaning.drop_frequencies, "x meqs q day daily midday tablet", "x  s      midday  "),
+    (cleaning.drop_frequencies, "x meqs q day daily midday tablet", "x  s  ay   midday  "),
     (cleaning.drop_doses, "take mg mgs smg", "take     smg"),
     (cleaning.drop_doses, "émg mg", "émg  "),
     (cleaning.drop_numbers, "one bone sixteen", "  bone  "),
     (cleaning.drop_marks, "[**Name**] x [y]", "  x [y]"),
     (cleaning.drop_form_words, "sex:  f, in service", " , in  "),
     (cleaning.drop_date_headings, "admission date: today", " : today"),
-    (cleaning.drop_clock_times, "at 10:45 am or 7pm", "at  am or  "),
+    (cleaning.drop_clock_times, "at 10:45 am or 7pm", "at   or  "),
     (cleaning.drop_lab_units, "9 g/dl 4 mmol/l", "9   4  "),
     (cleaning.flatten_lines, "a\r\nb", "a  b"),
     (cleaning.unix_lines, "a\r\nb\r", "a\nb\r"),
