@@ -16,8 +16,12 @@ Step = Callable[[Column], Column]
 SPACES = r"[\s\x0b\x1c-\x1f\x85\p{Z}]+"
 
 
-def either(parts: Iterable[str]) -> str:
-    return "(?:" + "|".join(parts) + ")"
+def either(parts: Iterable[str], starts: str = "") -> str:
+    """Any of the parts. A look at the first character, one of `starts`, spares the regular expression
+    engine a try of every part at every place; by default the first letters of the parts."""
+    parts = list(parts)
+    starts = starts or "".join(sorted({part[0] for part in parts}))
+    return f"(?=[{starts}])(?:" + "|".join(parts) + ")"
 
 
 def whole_word(parts: Iterable[str]) -> str:
@@ -46,7 +50,7 @@ letters_only = blank(r"[^a-zA-Z]+")
 drop_short_words = keep_words(lambda word: F.length(word) > 1)
 drop_custom_words = keep_words(lambda word: ~word.isin(words.CUSTOM_WORDS))
 drop_frequencies = blank(
-    either((*words.FREQUENCY_PHRASES, whole_word(words.FREQUENCY_WORDS)))
+    either((*words.FREQUENCY_PHRASES, whole_word(words.FREQUENCY_WORDS)), starts="abmopqtds")
 )
 drop_doses = blank(whole_word((*words.DOSE_UNITS, "po")))
 drop_numbers = blank(whole_word(words.NUMBER_WORDS))
@@ -59,7 +63,7 @@ def squeeze_spaces(text: Column) -> Column:
 # --- second cleaner: no word bounds, lower-cased text
 drop_form_words = blank(either(words.FORM_WORDS))
 drop_date_headings = blank(either(words.DATE_HEADINGS))
-drop_clock_times = blank(either(words.CLOCK_TIMES))
+drop_clock_times = blank(either(words.CLOCK_TIMES, starts="0-9"))
 drop_marks = blank(r"\[\*\*[^*]+\*\*\]")
 drop_lab_units = blank(either(words.LAB_UNITS))
 drop_frequencies_anywhere = blank(either((*words.FREQUENCY_PHRASES, "daily")))

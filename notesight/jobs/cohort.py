@@ -119,7 +119,7 @@ FROM labelled WHERE {COHORT}""",
 )
 def cohort_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, notes = stays(spark, sf_dir), conversation_notes(spark, sf_dir)
-    combined = cohort.combine_notes(cohort.discharge_notes(notes))
+    combined = cohort.combine_notes(cohort.discharge_notes(notes), source=notes)
     return cohort.cohort_profile(raw, cohort.labelled_cohort(raw), notes, combined)
 
 
@@ -131,8 +131,9 @@ COMBINED = """combined AS (
 
 @query("notes_combined", f"WITH {KEPT_NOTES}, {COMBINED} SELECT hadm_id, text, CAST(notes AS INTEGER) AS notes FROM combined")
 def notes_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    notes = cohort.discharge_notes(conversation_notes(spark, sf_dir))
-    return cohort.combine_notes(notes).select("hadm_id", "text", "notes")
+    notes = conversation_notes(spark, sf_dir)
+    combined = cohort.combine_notes(cohort.discharge_notes(notes), source=notes)
+    return combined.select("hadm_id", "text", "notes")
 
 
 @query(

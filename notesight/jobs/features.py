@@ -86,7 +86,7 @@ def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _feature_counts(rows: DataFrame) -> DataFrame:
     counts = features.term_counts(rows, ["doc_id"], _tokens())
-    known = features.vocabulary(features.corpus_counts(rows, "text", stem=False), SIZE)
+    known = features.vocabulary(features.totals(counts), SIZE)
     return features.join_vocabulary(counts, known, SIZE).select("doc_id", "feature", "n")
 
 
@@ -113,7 +113,7 @@ JOIN vocabulary v ON v.value = d.term GROUP BY doc_id, feature""",
 def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir)
     counts = features.term_counts(rows, ["doc_id"], ngrams(_tokens(), 2))
-    known = features.vocabulary(features.corpus_counts(rows, "text", n=2, stem=False), GRAM_SIZE)
+    known = features.vocabulary(features.totals(counts), GRAM_SIZE)
     return features.join_vocabulary(counts, known, GRAM_SIZE).select("doc_id", "feature", "n")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from notesight.operators.skew import HOT_ROWS, calendar_bucket, mark_hot
+from notesight.operators.skew import HOT_ROWS, calendar_bucket, hot_keys, mark_hot
 
 PLANNED = "ELECTIVE"
 
@@ -117,6 +117,31 @@ def discharge_notes(notes: DataFrame) -> DataFrame:
     )
 
 
+def _joined_texts(notes: DataFrame, keys: list[str], order: list[str], columns: Sequence[str]) -> DataFrame:
+    grouped = notes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, *columns))).alias("sorted_notes"))
+
+    def joined(name: str) -> Column:
+        return F.concat_ws(" ", F.transform("sorted_notes", lambda note: note[name])).alias(name)
+
+    return grouped.select(*keys, *[joined(name) for name in columns], F.size("sorted_notes").alias("notes"))
+
+
+def _combine(
+    notes: DataFrame, hot: DataFrame, keys: list[str], order: list[str], columns: Sequence[str], part_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """The combined notes of ordinary admissions, one row each, and those of the `hot` ones, in parts."""
+    out = [*keys, "part", "is_first_part", *columns, "notes"]
+    few = notes.join(F.broadcast(hot), keys, "left_anti")
+    ordinary = _joined_texts(few, keys, order, columns)
+    ordinary = ordinary.withColumn("part", F.lit(0).cast("bigint")).withColumn("is_first_part", F.lit(True)).select(*out)
+    part = calendar_bucket(order[0]).cast("bigint") * F.lit(10**9) + F.floor(F.col(order[-1]) / part_rows)
+    many = notes.join(F.broadcast(hot), keys, "left_semi").withColumn("part", part)
+    # as many rows as there are hot keys
+    first = many.groupBy(*keys).agg(F.min("part").alias("first_part"))
+    large = _joined_texts(many, [*keys, "part"], order, columns).join(F.broadcast(first), keys)
+    return ordinary, large.withColumn("is_first_part", F.col("part") == F.col("first_part")).select(*out)
+
+
 def combine_notes(
     notes: DataFrame,
     keys: Sequence[str] = ("subject_id", "hadm_id"),
@@ -124,34 +149,18 @@ def combine_notes(
     columns: Sequence[str] = ("text",),
     hot_rows: int = HOT_ROWS,
     part_rows: int = 100_000,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """One row per admission with the texts of its notes, in order, joined by a space.
 
     An admission with a large share of all notes would not fit one task, so it comes in several rows: one
     per day and block of `part_rows` row ids, numbered by `part` in reading order. `part` is 0 for all
     others, and `is_first_part` is true once per admission. The last column of `order` must be a
-    whole number that is unique."""
-    keys, order = list(keys), list(order)
-    block = F.floor(F.col(order[-1]) / part_rows)
-    part = calendar_bucket(order[0]).cast("bigint") * F.lit(10**9) + block
-    marked = mark_hot(notes, keys, hot_rows).withColumn("part", F.when(F.col("is_hot"), part).otherwise(F.lit(0)))
-    note = F.struct(*order, *columns)
-
-    def joined(name: str) -> Column:
-        texts = F.transform(F.col("sorted_notes"), lambda item: item[name])
-        return F.concat_ws(" ", texts).alias(name)
-
-    grouped = (
-        marked.groupBy(*keys, "part", "is_hot")
-        .agg(F.array_sort(F.collect_list(note)).alias("sorted_notes"))
-        .select(*keys, "part", "is_hot", *[joined(name) for name in columns], F.size("sorted_notes").alias("notes"))
-    )
-    first = marked.filter("is_hot").groupBy(*keys).agg(F.min("part").alias("first_part"))
-    return (
-        grouped.join(F.broadcast(first), keys, "left")
-        .withColumn("is_first_part", F.coalesce(F.col("part") == F.col("first_part"), F.lit(True)))
-        .select(*keys, "part", "is_first_part", *columns, "notes")
-    )
+    whole number that is unique. `source` is a table to count the keys in without reading the texts, such as
+    the notes before they were filtered."""
+    hot = hot_keys(notes if source is None else source, list(keys), hot_rows)
+    ordinary, large = _combine(notes, hot, list(keys), list(order), columns, part_rows)
+    return ordinary.unionByName(large)
 
 
 def latest_notes(
@@ -181,8 +190,19 @@ def readmission_dataset(
     notes: DataFrame,
     splits: Sequence[float] = (30.0,),
     columns: Sequence[str] = ("text",),
+    order: Sequence[str] = ("chart_date", "row_id"),
+    hot_rows: int = HOT_ROWS,
+    part_rows: int = 100_000,
     **options,
 ) -> DataFrame:
-    """Labelled stays joined to their combined discharge notes."""
-    combined = combine_notes(discharge_notes(notes), columns=columns)
-    return join_notes(labelled_cohort(stays, splits, **options), combined, columns)
+    """Labelled stays joined to their combined discharge notes.
+
+    The texts are shuffled once: the join uses the partitioning by admission they were combined in. The
+    parts of large admissions meet their stays by a broadcast of the few stays concerned."""
+    keys = ["subject_id", "hadm_id"]
+    labelled = labelled_cohort(stays, splits, hot_rows=hot_rows, **options).select(*keys, "label")
+    hot = hot_keys(notes, keys, hot_rows)
+    ordinary, large = _combine(discharge_notes(notes), hot, keys, list(order), columns, part_rows)
+    few = labelled.join(F.broadcast(hot), keys, "left_semi")
+    parts = large.join(F.broadcast(few), keys).select(*keys, *columns, "label", "part")
+    return join_notes(labelled, ordinary, columns).unionByName(parts)

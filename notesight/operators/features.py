@@ -26,6 +26,11 @@ def corpus_counts(df: DataFrame, column: str, n: int = 1, stem: bool = True) ->
     return df.select(F.explode(grams).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
+def totals(counts: DataFrame) -> DataFrame:
+    """(term, n) over all rows from (keys, term, n)."""
+    return counts.groupBy("term").agg(F.sum("n").alias("n"))
+
+
 def final_tokens(text: Column, stem: bool = True) -> Column:
     """The words of a text, stemmed or not, in order."""
     if not stem:
@@ -53,7 +58,8 @@ def idf_weights(counts: DataFrame, documents: DataFrame) -> DataFrame:
     """(feature, idf) with idf = ln((N + 1) / (df + 1)) from (keys, feature, n) and the table of all N
     documents."""
     total = documents.agg(F.count(F.lit(1)).alias("documents")).scalar()
-    frequency = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("df"))
+    # counting by n keeps the plan of `counts` as it is, so Spark reads its shuffle again instead of redoing it
+    frequency = counts.groupBy("feature").agg(F.count_if(F.col("n") > 0).alias("df"))
     return frequency.select("feature", F.log((total + 1.0) / (F.col("df") + 1.0)).alias("idf"))
 
 

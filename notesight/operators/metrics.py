@@ -64,7 +64,9 @@ def auroc(predictions: DataFrame, score: str = "probability_1", positive: float
         .agg(F.count_if(is_positive).alias("positives"), F.count_if(~is_positive).alias("negatives"))
     )
     points = [i / EDGES for i in range(1, EDGES)]
-    edges = scores.agg(F.percentile_approx("score", points, 10 * EDGES)).scalar()
+    # naming both counts keeps the plan of `scores` as it is, so Spark reads its shuffle again for the edges
+    distinct = F.when(F.col("positives") + F.col("negatives") > 0, F.col("score"))
+    edges = scores.agg(F.percentile_approx(distinct, points, 10 * EDGES)).scalar()
     # the place of a score among the sorted edges: one more than the number of edges below it
     sliced = scores.withColumn(
         "slice", F.array_position(F.sort_array(F.array_append(edges, F.col("score"))), F.col("score"))

@@ -12,17 +12,18 @@ HOT_ROWS = 100_000
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
     """The keys with more than HOT_SHARE of the rows and more than `min_rows` rows, at most 10,000. Only
-    the key columns are read, and the counts are combined before the shuffle."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("hot_rows"))
+    the key columns are read, and the counts are combined before the shuffle; Spark computes them once for
+    the list and its threshold."""
+    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("hot_rows"))
     total = counts.agg(F.sum("hot_rows"))
     floor = F.greatest(F.lit(float(min_rows)), total.scalar() * F.lit(HOT_SHARE))
     return counts.filter(F.col("hot_rows") > floor).select(*keys)
 
 
-def mark_hot(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, source: DataFrame | None = None) -> DataFrame:
+def mark_hot(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
     """Add the boolean `is_hot`. The broadcast side is the bounded list of `hot_keys`; NULL keys are never
-    hot. `source` is a cheaper table with the same key counts, if there is one."""
-    hot = hot_keys(source if source is not None else df, keys, min_rows).withColumn("is_hot", F.lit(True))
+    hot."""
+    hot = hot_keys(df, keys, min_rows).withColumn("is_hot", F.lit(True))
     marked = df.join(F.broadcast(hot), keys, "left")
     return marked.withColumn("is_hot", F.coalesce("is_hot", F.lit(False)))
 

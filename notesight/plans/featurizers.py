@@ -38,7 +38,7 @@ class Featurizer:
     idf: bool = False
     word2vec: bool = False
     seed: int = 12345
-    partitions: int = 1
+    partitions: int | None = None
     dimensions: int = 100
     min_count: int = 5
 
@@ -58,13 +58,13 @@ class Featurizer:
         if self.idf:
             fitted.idf_model = IDF(inputCol="counts", outputCol="features").fit(fitted.counts(df))
         if self.word2vec:
-            # one partition and one pass by default, as usual for small corpora; raise `partitions` with the data
+            tokens = df.select(remove_stop_words(final_tokens(F.col("text"), self.stem)).alias("tokens"))
+            # as many training tasks as the table has splits; the library's default would pass it all through one
             estimator = Word2Vec(
                 inputCol="tokens", outputCol="features", vectorSize=self.dimensions, minCount=self.min_count,
-                seed=self.seed, numPartitions=self.partitions,
+                seed=self.seed, numPartitions=self.partitions or tokens.rdd.getNumPartitions(),
             )
-            tokens = remove_stop_words(final_tokens(F.col("text"), self.stem))
-            fitted.word2vec_model = estimator.fit(df.select(tokens.alias("tokens")))
+            fitted.word2vec_model = estimator.fit(tokens)
         return fitted
 
 

@@ -100,6 +100,19 @@ def test_large_admissions_come_in_parts(spark):
     assert parts[-1].part == 0
 
 
+def test_dataset_with_large_admissions(spark):
+    stays, notes = roles.stays(spark, SF), roles.conversation_notes(spark, SF)
+    plain = {row.hadm_id: row for row in cohort.readmission_dataset(stays, notes).collect()}
+    split = cohort.readmission_dataset(stays, notes, hot_rows=4).orderBy("hadm_id", "part").collect()
+    assert len(split) > len(plain) > 5 and any(row.part for row in split)
+    texts, labels = {}, {}
+    for row in split:
+        texts.setdefault(row.hadm_id, []).append(row.text)
+        labels.setdefault(row.hadm_id, set()).add(row.label)
+    assert {key: " ".join(parts) for key, parts in texts.items()} == {key: row.text for key, row in plain.items()}
+    assert labels == {key: {row.label} for key, row in plain.items()}
+
+
 def test_plan_has_no_udf_and_prunes_columns(spark):
     plan = roles.stays(spark, SF).transform(cohort.labelled_cohort)._jdf.queryExecution().toString()
     assert "Python" not in plan and "l_comment" not in plan
