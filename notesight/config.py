@@ -18,6 +18,7 @@ class JobConfig:
     skip_elective: bool = False
     test_ratio: float = 0.15
     validation_ratio: float = 0.0
+    cleaner: str | None = "notes"
     featurizer: str = "bag_of_words"
     learner: str = "lr"
 

@@ -62,6 +62,12 @@ def readmit_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _label_columns(cohort.reverse_label(cohort.n_day_label(stays(spark, sf_dir), (30.0,))))
 
 
+@query("readmit_large_subjects", f"WITH {STAYS}, {_labelled_sql('stays', BINARY)} {SELECT_LABELS}")
+def readmit_large_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same labels, with every subject of more than ten stays ordered day by day."""
+    return _label_columns(cohort.reverse_label(cohort.n_day_label(stays(spark, sf_dir), (30.0,), hot_rows=10)))
+
+
 @query("readmit_multiclass", f"WITH {STAYS}, {_labelled_sql('stays', THREE_WAY)} {SELECT_LABELS}")
 def readmit_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _label_columns(cohort.n_day_label(stays(spark, sf_dir), (90.0, 30.0)))
@@ -136,6 +142,19 @@ def notes_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combined.select("hadm_id", "text", "notes")
 
 
+@query(
+    "notes_in_parts",
+    f"""WITH {KEPT_NOTES}, large AS (SELECT hadm_id FROM conversation_notes GROUP BY hadm_id HAVING count(*) > 4)
+SELECT hadm_id, string_agg(text, ' ' ORDER BY chart_date, row_id) AS text, CAST(count(*) AS INTEGER) AS notes
+FROM kept_notes GROUP BY hadm_id, CASE WHEN hadm_id IN (SELECT hadm_id FROM large) THEN chart_date END""",
+)
+def notes_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Combined notes, with admissions of more than four notes cut into days."""
+    notes = conversation_notes(spark, sf_dir)
+    combined = cohort.combine_notes(cohort.discharge_notes(notes), source=notes, hot_rows=4)
+    return combined.select("hadm_id", "text", "notes")
+
+
 @query(
     "notes_latest",
     f"""WITH {KEPT_NOTES} SELECT hadm_id, text FROM (

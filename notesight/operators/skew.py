@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A key with less than this share of the rows is no larger than an ordinary shuffle partition of a large
@@ -14,7 +16,8 @@ def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFr
     """The keys with more than HOT_SHARE of the rows and more than `min_rows` rows, at most 10,000. Only
     the key columns are read, and the counts are combined before the shuffle; Spark computes them once for
     the list and its threshold."""
-    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("hot_rows"))
+    known = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
+    counts = df.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("hot_rows"))
     total = counts.agg(F.sum("hot_rows"))
     floor = F.greatest(F.lit(float(min_rows)), total.scalar() * F.lit(HOT_SHARE))
     return counts.filter(F.col("hot_rows") > floor).select(*keys)

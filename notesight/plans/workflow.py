@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from notesight.config import JobConfig
 from notesight.functions.words import SECTION_HEADERS
-from notesight.operators.cleaning import add_sections
+from notesight.operators.cleaning import add_sections, clean
 from notesight.operators.cohort import readmission_dataset
 from notesight.operators.metrics import metrics_report
 from notesight.operators.sampling import split_ratio
@@ -32,14 +32,13 @@ def _read(spark: SparkSession, config: JobConfig, name: str) -> DataFrame:
 
 
 def clean_data(spark: SparkSession, config: JobConfig) -> DataFrame:
-    """Label the stays and join them to their notes. The sections are cut before line breaks go."""
+    """Clean the notes, label the stays and join both. The sections are cut before line breaks go."""
     _, admissions, notes = clinical.load(spark, config.data_dir, flatten=False)
     columns = ["text"]
     if config.featurizer == "section_bow":
         notes, columns = add_sections(notes), ["text", *SECTION_HEADERS]
-    combined = readmission_dataset(
-        admissions, clinical.flatten_notes(notes), config.splits, columns, skip_elective=config.skip_elective
-    )
+    notes = clean(notes, columns, config.cleaner) if config.cleaner else clinical.flatten_notes(notes)
+    combined = readmission_dataset(admissions, notes, config.splits, columns, skip_elective=config.skip_elective)
     save_table(combined, COMBINED, config.data_dir)
     return _read(spark, config, COMBINED)
 
