@@ -11,7 +11,7 @@ from notesight.jobs import query
 from notesight.jobs.roles import (
     NEGATORS, TRANSCRIPT_HEADERS, TRANSCRIPTS, dictionary, documents, labelled_documents, lexicon, transcripts, words_sql,
 )
-from notesight.jobs.text import porter_sql, _section_sql
+from notesight.jobs.text import _section_sql, corrections_sql, porter_sql, scores_sql
 from notesight.operators import features
 from notesight.operators.cleaning import add_sections
 from notesight.plans.featurizers import Block, Featurizer, featurizer
@@ -199,11 +199,34 @@ def ngram_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(featurizer("ngrams").fit(rows).transform(rows))
 
 
-@query("section_vectors")
+SECTION_COLUMNS = ["text", *TRANSCRIPT_HEADERS]
+
+
+@query(
+    "section_vectors",
+    f"WITH {TRANSCRIPTS}, cut AS (SELECT hadm_id, text, "
+    + ", ".join(f"{_section_sql(header)} AS {name}" for name, header in TRANSCRIPT_HEADERS.items())
+    + f""" FROM transcripts), long AS (
+  SELECT hadm_id, unnest(range(0, {len(SECTION_COLUMNS)})) AS section, unnest([{', '.join(SECTION_COLUMNS)}]) AS text FROM cut
+), listed AS (SELECT hadm_id, section, {words_sql('text')} AS ws FROM long WHERE text IS NOT NULL
+), placed AS (SELECT hadm_id, section, ws[place] AS term, place FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS place FROM listed)
+), words AS (SELECT DISTINCT term FROM placed), {porter_sql('words')}, kept AS (
+  SELECT hadm_id, section, stem, lead(stem) OVER (PARTITION BY hadm_id, section ORDER BY place) AS following
+  FROM placed JOIN stems USING (term) WHERE stem NOT IN {STOPS}
+), grams AS (
+  SELECT hadm_id, 2 * section AS block, stem AS gram FROM kept
+  UNION ALL SELECT hadm_id, 2 * section + 1, stem || ' ' || following FROM kept WHERE following IS NOT NULL
+), ranked AS (
+  SELECT block, gram, row_number() OVER (PARTITION BY block ORDER BY n DESC, gram) AS place
+  FROM (SELECT block, gram, count(*) AS n FROM grams GROUP BY ALL)
+), known AS (SELECT * FROM ranked WHERE place <= CASE WHEN block % 2 = 0 THEN 2000 ELSE 1000 END
+), numbered AS (SELECT block, gram, row_number() OVER (ORDER BY block, place) - 1 AS feature FROM known)
+SELECT hadm_id AS doc_id, feature, CAST(count(*) AS DOUBLE) AS value FROM grams JOIN numbered USING (block, gram) GROUP BY ALL""",
+)
 def section_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = add_sections(transcripts(spark, sf_dir), headers=TRANSCRIPT_HEADERS)
     rows = cut.withColumn("subject_id", F.col("hadm_id"))
-    blocks = [Block(name, n, size) for name in ("text", *TRANSCRIPT_HEADERS) for n, size in ((1, 2000), (2, 1000))]
+    blocks = [Block(name, n, size) for name in SECTION_COLUMNS for n, size in ((1, 2000), (2, 1000))]
     return _long(Featurizer("section_bow", tuple(blocks)).fit(rows).transform(rows))
 
 
@@ -213,7 +236,17 @@ def word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(featurizer("word2vec").fit(rows).transform(rows), 4)
 
 
-@query("complex_vectors")
+@query(
+    "complex_vectors",
+    f"""WITH training AS (SELECT doc_id, text FROM documents JOIN labels USING (doc_id)
+), {corrections_sql('training')}, kept AS (
+  SELECT doc_id, corrected AS term, count(*) AS n FROM (SELECT doc_id, unnest({words_sql('text')}) AS term FROM training)
+  JOIN corrections USING (term) WHERE corrected NOT IN {STOPS} GROUP BY ALL
+), totals AS (SELECT term, CAST(sum(n) AS BIGINT) AS n FROM kept GROUP BY term
+), {_vocabulary_sql('vocabulary', 'totals', 1000)}, {scores_sql('training')}
+SELECT doc_id, feature, CAST(k.n AS DOUBLE) AS value FROM kept k JOIN vocabulary v ON v.value = k.term
+UNION ALL SELECT doc_id, (SELECT count(*) FROM vocabulary), sum(score) FROM scores GROUP BY doc_id HAVING sum(score) <> 0""",
+)
 def complex_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = labelled_documents(spark, sf_dir)
     plan = featurizer(

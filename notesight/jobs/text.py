@@ -175,40 +175,45 @@ def dictionary_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.dictionary_words(documents(spark, sf_dir), dictionary(spark, sf_dir), ["doc_id"])
 
 
-SENTENCES = r"""sentences AS (
+def sentences_sql(source: str) -> str:
+    return rf"""sentences AS (
   SELECT doc_id, CAST(place - 1 AS INTEGER) AS sentence_no, pieces[place] AS sentence FROM (
     SELECT doc_id, pieces, unnest(range(1, len(pieces) + 1)) AS place FROM (
-      SELECT doc_id, list_filter(string_split(regexp_replace(text, '([.!?])\s+', E'\\1\x01', 'g'), E'\x01'), lambda s: s <> '') AS pieces
-      FROM documents))
+      SELECT doc_id, list_filter(string_split(regexp_replace(text, '([.!?])\s+', E'\\1\x01', 'g'), E'\x01'), lambda piece: piece <> '') AS pieces
+      FROM {source}))
 )"""
 
 
-@query("sentences", f"WITH {SENTENCES} SELECT * FROM sentences")
+def scores_sql(source: str) -> str:
+    """scores(doc_id, sentence_no, score) of the texts of a table."""
+    return f"""{sentences_sql(source)}, {LEXICON_SQL}, sentence_words AS (
+  SELECT doc_id, sentence_no, {words_sql('sentence')} AS ws FROM sentences
+), sentence_places AS (
+  SELECT doc_id, sentence_no, ws, unnest(range(1, len(ws) + 1)) AS place FROM sentence_words
+), polarities AS (
+  SELECT doc_id, sentence_no, sum(polarity * CASE WHEN place > 1 AND ws[place - 1] IN ({', '.join(f"'{n}'" for n in NEGATORS)})
+    THEN -1 ELSE 1 END) AS score
+  FROM sentence_places JOIN lexicon ON term = ws[place] GROUP BY doc_id, sentence_no
+), scores AS (
+  SELECT doc_id, sentence_no, CAST(coalesce(score, 0) AS DOUBLE) AS score
+  FROM sentence_words LEFT JOIN polarities USING (doc_id, sentence_no)
+)"""
+
+
+@query("sentences", f"WITH {sentences_sql('documents')} SELECT * FROM sentences")
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.sentence_rows(documents(spark, sf_dir), ["doc_id"])
 
 
-@query(
-    "sentence_sentiment",
-    f"""WITH {SENTENCES}, {LEXICON_SQL}, tokens AS (
-  SELECT doc_id, sentence_no, {words_sql('sentence')} AS ws FROM sentences
-), placed AS (
-  SELECT doc_id, sentence_no, ws, unnest(range(1, len(ws) + 1)) AS place FROM tokens
-), scored AS (
-  SELECT doc_id, sentence_no, sum(polarity * CASE WHEN place > 1 AND ws[place - 1] IN ({', '.join(f"'{n}'" for n in NEGATORS)})
-    THEN -1 ELSE 1 END) AS score
-  FROM placed JOIN lexicon ON term = ws[place] GROUP BY doc_id, sentence_no
-)
-SELECT doc_id, sentence_no, CAST(coalesce(score, 0) AS DOUBLE) AS score FROM tokens LEFT JOIN scored USING (doc_id, sentence_no)""",
-)
+@query("sentence_sentiment", f"WITH {scores_sql('documents')} SELECT * FROM scores")
 def sentence_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.sentence_sentiment(documents(spark, sf_dir), lexicon(spark), NEGATORS, ["doc_id"])
 
 
-@query(
-    "spell_correct",
-    f"""WITH {dictionary_sql()}, tokens AS (
-  SELECT DISTINCT unnest({words_sql('text')}) AS term FROM documents
+def corrections_sql(source: str) -> str:
+    """corrections(term, corrected, distance) of the words of a table's texts, by comparing all pairs."""
+    return f"""{dictionary_sql()}, tokens AS (
+  SELECT DISTINCT unnest({words_sql('text')}) AS term FROM {source}
 ), near AS (
   SELECT t.term, d.term AS candidate, d.n, levenshtein(t.term, d.term) AS distance
   FROM tokens t JOIN dictionary d ON abs(length(t.term) - length(d.term)) <= 2
@@ -218,9 +223,12 @@ def sentence_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT *, row_number() OVER (PARTITION BY term ORDER BY distance, n DESC, candidate) AS place
     FROM near WHERE distance <= 2) WHERE place = 1
   UNION ALL SELECT term, term, 0 FROM dictionary
-)
-SELECT term, coalesce(corrected, term) AS corrected, distance FROM tokens LEFT JOIN best USING (term)""",
-)
+), corrections AS (
+  SELECT term, coalesce(corrected, term) AS corrected, distance FROM tokens LEFT JOIN best USING (term)
+)"""
+
+
+@query("spell_correct", f"WITH {corrections_sql('documents')} SELECT * FROM corrections")
 def spell_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = terms.token_counts(documents(spark, sf_dir), word_tokens(F.col("text")))
     return terms.correct_spelling(counts, dictionary(spark, sf_dir))

@@ -5,6 +5,7 @@ Counts are combined before every shuffle, so a frequent word or a long text cost
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -22,8 +23,36 @@ def term_counts(df: DataFrame, keys: Sequence[str], tokens: Column) -> DataFrame
 
 def corpus_counts(df: DataFrame, column: str, n: int = 1, stem: bool = True) -> DataFrame:
     """(term, n): the n-grams of a text column over all rows, after stemming and stop words."""
-    grams = ngrams(remove_stop_words(final_tokens(F.col(column), stem)), n)
-    return df.select(F.explode(grams).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return block_counts(df, [(column, n)], stem).drop("block")
+
+
+def block_counts(df: DataFrame, blocks: Sequence[tuple[str, int]], stem: bool = True) -> DataFrame:
+    """(block, term, n) for several (column, n-gram length) blocks, from one pass over the texts."""
+    columns = list(dict.fromkeys(column for column, _ in blocks))
+    tokens = df.select(*[remove_stop_words(final_tokens(F.col(name), stem)).alias(name) for name in columns])
+
+    def grams(number: int, column: str, n: int) -> Column:
+        name = F.lit(number).alias("block")
+        return F.transform(ngrams(F.col(column), n), lambda term: F.struct(name, term.alias("term")))
+
+    every = F.concat(*[grams(i, column, n) for i, (column, n) in enumerate(blocks)])
+    return (
+        tokens.select(F.explode(every).alias("gram"))
+        .groupBy("gram.block", "gram.term")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def block_vocabularies(counts: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """(block, term, n): the most frequent terms of every block, ties by term. Other blocks are masked rather
+    than filtered out, so that all branches read the one shuffle of `counts`."""
+
+    def top(number: int, size: int) -> DataFrame:
+        masked = F.when(F.col("block") == number, F.col("n"))
+        first = counts.orderBy(masked.desc_nulls_last(), F.asc("term")).limit(size)
+        return first.filter(masked.isNotNull())
+
+    return reduce(DataFrame.unionByName, [top(i, size) for i, size in enumerate(sizes)])
 
 
 def totals(counts: DataFrame) -> DataFrame:

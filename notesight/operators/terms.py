@@ -124,21 +124,26 @@ def token_counts(df: DataFrame, tokens: Column) -> DataFrame:
 
 
 def _deletions(word: Column, distance: int) -> Column:
-    """The word and everything left of it when up to `distance` letters are taken out."""
+    """The word and everything left of it when up to `distance` letters are taken out. Letters go from left to
+    right, so every choice of letters is made once."""
 
     def one_less(item: Column) -> Column:
-        places = F.sequence(F.lit(1), F.greatest(F.length(item), F.lit(1)))
+        rest, begin = item["rest"], item["begin"]
+        places = F.when(begin <= F.length(rest), F.sequence(begin, F.length(rest))).otherwise(F.array().cast("array<int>"))
         return F.transform(
             places,
-            lambda place: F.concat(
-                F.substring(item, F.lit(1), place - 1), F.substring(item, place + 1, F.length(item))
+            lambda place: F.struct(
+                F.concat(F.substring(rest, F.lit(1), place - 1), F.substring(rest, place + 1, F.length(rest))).alias("rest"),
+                place.alias("begin"),
             ),
         )
 
-    reached = F.array(word)
+    level = F.array(F.struct(word.alias("rest"), F.lit(1).alias("begin")))
+    levels = [level]
     for _ in range(distance):
-        reached = F.array_distinct(F.concat(reached, F.flatten(F.transform(reached, one_less))))
-    return reached
+        level = F.flatten(F.transform(level, one_less))
+        levels.append(level)
+    return F.array_distinct(F.transform(F.concat(*levels), lambda item: item["rest"]))
 
 
 def correct_spelling(tokens: DataFrame, dictionary: DataFrame, max_distance: int = 2) -> DataFrame:
@@ -153,7 +158,9 @@ def correct_spelling(tokens: DataFrame, dictionary: DataFrame, max_distance: int
     known = dictionary.groupBy("term").agg(F.sum("n").alias("n"))
     terms = tokens.select("term").distinct()
     longest = known.agg(F.max(F.length("term"))).scalar()
-    unknown = terms.join(known.select("term"), "term", "left_anti")
+    # a term becomes a hundred rows, so it is spread by number: adaptive execution would merge the small input
+    tasks = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    unknown = terms.join(known.select("term"), "term", "left_anti").repartition(tasks)
     wanted = unknown.filter(F.length("term") <= longest + max_distance).select(
         "term", F.explode(_deletions(F.col("term"), max_distance)).alias("rest")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from notesight.functions.tokens import ngrams, remove_stop_words, word_tokens
 from notesight.functions.words import REMOVER_STOP_WORDS, SECTION_HEADERS
-from notesight.operators.features import corpus_counts, final_tokens, vocabulary
+from notesight.operators.features import block_counts, block_vocabularies, final_tokens, vocabulary
 from notesight.operators.terms import correct_spelling, sentence_sentiment, token_counts
 
 PART = "part"
@@ -48,13 +48,7 @@ class Featurizer:
         return named or ["text"]
 
     def fit(self, df: DataFrame) -> "FittedFeaturizer":
-        vocabularies = []
-        for block in self.blocks:
-            counts = corpus_counts(df, block.column, block.n, self.stem)
-            top = vocabulary(counts, block.size).orderBy("feature").collect()
-            if top:
-                vocabularies.append((block, [row["value"] for row in top]))
-        fitted = FittedFeaturizer(self, vocabularies)
+        fitted = FittedFeaturizer(self, self._vocabularies(df) if self.blocks else [])
         if self.idf:
             fitted.idf_model = IDF(inputCol="counts", outputCol="features").fit(fitted.counts(df))
         if self.word2vec:
@@ -68,6 +62,15 @@ class Featurizer:
         return fitted
 
 
+    def _vocabularies(self, df: DataFrame) -> list[tuple[Block, list[str]]]:
+        counts = block_counts(df, [(block.column, block.n) for block in self.blocks], self.stem)
+        # bounded by the sizes of the blocks
+        rows = block_vocabularies(counts, [block.size for block in self.blocks]).collect()
+        rows.sort(key=lambda row: (row["block"], -row["n"], row["term"]))
+        terms = [[row["term"] for row in rows if row["block"] == i] for i in range(len(self.blocks))]
+        return [(block, found) for block, found in zip(self.blocks, terms) if found]
+
+
 @dataclass
 class FittedFeaturizer:
     plan: Featurizer
