@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from notesight.config import spread
 from notesight.functions.cleaning import drop_commas, flatten_lines, unix_lines
 from notesight.functions.vectors import split_array
 from notesight.jobs import query
@@ -227,10 +228,11 @@ def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with a label: 1 for the returned ones."""
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
         F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label"),
     )
+    return spread(lines, "l_orderkey")
 
 
 LABELS = """line_labels AS (

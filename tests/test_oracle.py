@@ -32,7 +32,11 @@ def test_matches_sql(spark, duck, name):
     assert ours == theirs
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+# test_learners.py trains the same learners on less data
+LEARNERS = {"gbt_matched", "rf_matched", "mlp_matched", "lr_cv", "gbt_cv", "lr_bagged", "gbt_bagged"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - LEARNERS))
 def test_rows_only(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from notesight.config import JobConfig
-from notesight.plans import workflow
+from notesight.plans import learners, workflow
 from notesight.sources import clinical, tables
 
 NOTES_HEADER = "ROW_ID,SUBJECT_ID,HADM_ID,CHARTDATE,CHARTTIME,STORETIME,CATEGORY,DESCRIPTION,CGID,ISERROR,TEXT".split(",")
@@ -103,7 +103,7 @@ def test_converted_inputs_are_preferred(spark, inputs, tmp_path):
     assert clinical.load_notes(spark, str(tmp_path)).count() == 362
 
 
-@pytest.mark.parametrize("featurizer, learner", [("bag_of_words", "lr"), ("section_bow", "lr_bagged")])
+@pytest.mark.parametrize("featurizer, learner", [("bag_of_words", "lr"), ("section_bow", "rf")])
 def test_run_and_resume(spark, inputs, tmp_path, featurizer, learner):
     import shutil
 
@@ -116,8 +116,13 @@ def test_run_and_resume(spark, inputs, tmp_path, featurizer, learner):
     assert workflow.next_stage(spark, config) == "test"
     again = {(r.metric, r.label): r.value for r in workflow.run(spark, config).collect()}
     assert again == report
-    other = JobConfig(str(tmp_path), str(tmp_path / "other"), featurizer=featurizer, learner="rf")
+    other = JobConfig(str(tmp_path), str(tmp_path / "other"), featurizer=featurizer, learner="lr_bagged")
     assert workflow.next_stage(spark, other) == "train"
+    bagged = learners.learner("lr_bagged", count=2)
+    bagged.train(spark.read.parquet(str(tmp_path / "train.parquet")))
+    bagged.save(workflow.model_path(other))
+    assert workflow.next_stage(spark, other) == "test"
+    assert workflow.run(spark, other).filter("metric = 'auroc'").count() == 2
     names = ("predictions_train.parquet", "predictions_validate.parquet", "predictions_test.parquet", "metrics_test.csv", "feature_importance.csv")
     assert all(tables.is_finished(spark, str(tmp_path / name)) for name in names)
     tables.save_vectors_csv(spark.read.parquet(str(tmp_path / "test.parquet")), "features", "test.csv", str(tmp_path), 5)
