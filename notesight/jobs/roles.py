@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from notesight.config import spread
 from notesight.functions.tokens import word_tokens
+from notesight.operators.cohort import combine_notes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,22 +91,19 @@ KEPT_NOTES = CONVERSATION_NOTES + """, kept_notes AS (
 
 
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conversations as one text each, with the role of a turn as its section header. A conversation has
-    a handful of turns."""
-    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
-    piece = lambda turn: F.concat(F.lit("\n\n"), turn["role"], F.lit(": "), turn["text"], F.lit("\n\n"))
-    joined = F.array_join(F.transform("turns", piece), "")
-    return (
-        table(spark, sf_dir, "conversations")
-        .groupBy("conv_id")
-        .agg(turns.alias("turns"))
-        .select(F.col("conv_id").alias("hadm_id"), joined.alias("text"))
+    """conversations as one combined note each, with the role of a turn as its section header."""
+    turns = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("hadm_id"),
+        "turn",
+        F.timestamp_seconds(F.col("turn") * 86400).alias("chart_date"),
+        F.concat(F.lit("\n\n"), "role", F.lit(": "), "text", F.lit("\n\n")).alias("text"),
     )
+    return combine_notes(turns, keys=["hadm_id"], order=["chart_date", "turn"]).select("hadm_id", "text")
 
 
 TRANSCRIPTS = r"""transcripts AS (
   SELECT conv_id AS hadm_id,
-    string_agg(E'\n\n' || role || ': ' || text || E'\n\n', '' ORDER BY turn) AS text
+    string_agg(E'\n\n' || role || ': ' || text || E'\n\n', ' ' ORDER BY turn) AS text
   FROM conversations GROUP BY conv_id
 )"""
 

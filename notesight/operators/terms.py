@@ -46,17 +46,21 @@ def _match_by_automaton(
     df: DataFrame, listed: DataFrame, keys: Sequence[str], text: str, whole_words: bool
 ) -> DataFrame:
     # bounded: match_terms has checked the size of the list
-    shipped = df.sparkSession.sparkContext.broadcast([row.term for row in listed.collect()])
+    shipped = df.sparkSession.sparkContext.broadcast({"terms": [row.term for row in listed.collect()]})
 
     @F.pandas_udf("string")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import ahocorasick
 
-        automaton = ahocorasick.Automaton()
-        for term in shipped.value:
-            automaton.add_word(term, term)
-        if len(automaton):
-            automaton.make_automaton()
+        kept = shipped.value  # one object per worker process, so the automaton is built once in each
+        if "automaton" not in kept:
+            built = ahocorasick.Automaton()
+            for term in kept["terms"]:
+                built.add_word(term, term)
+            if len(built):
+                built.make_automaton()
+            kept["automaton"] = built
+        automaton = kept["automaton"]
 
         def free(value: str, before: int, after: int) -> bool:
             left = before >= 0 and value[before].isalnum()
