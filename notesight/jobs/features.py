@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from notesight.functions.tokens import ngrams, remove_stop_words, word_tokens
 from notesight.functions.words import REMOVER_STOP_WORDS
-from notesight.config import stage
+from notesight.config import spread, stage
 from notesight.jobs import query
 from notesight.jobs.roles import (
     NEGATORS, TRANSCRIPT_HEADERS, TRANSCRIPTS, dictionary, documents, labelled_documents, lexicon, transcripts, words_sql,
@@ -227,7 +227,7 @@ SELECT hadm_id AS doc_id, feature, CAST(count(*) AS DOUBLE) AS value FROM grams
 def section_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = add_sections(transcripts(spark, sf_dir), headers=TRANSCRIPT_HEADERS)
     # as in a run, the combined notes are written before the featurizer reads them
-    rows = stage(cut.withColumn("subject_id", F.col("hadm_id")))
+    rows = spread(stage(cut.withColumn("subject_id", F.col("hadm_id"))), "hadm_id")
     blocks = [Block(name, n, size) for name in SECTION_COLUMNS for n, size in ((1, 2000), (2, 1000))]
     return _long(Featurizer("section_bow", tuple(blocks)).fit(rows).transform(rows))
 
