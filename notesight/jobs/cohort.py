@@ -9,7 +9,6 @@ from notesight.functions.cleaning import drop_commas, flatten_lines, unix_lines
 from notesight.functions.vectors import split_array
 from notesight.jobs import query
 from notesight.jobs.roles import (
-    CONVERSATION_NOTES,
     FOOTER,
     KEPT_NOTES,
     SCORED_DOCUMENTS,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from notesight.functions import cleaning, words
 from notesight.functions.stemmer import (
-    CONSONANTS, DOUBLE_CONSONANT, HAS_VOWEL, MEASURE_1, MEASURE_1_UP, MEASURE_2_UP, SHORT_SYLLABLE, STEP_2, STEP_3,
+    DOUBLE_CONSONANT, HAS_VOWEL, MEASURE_1, MEASURE_1_UP, MEASURE_2_UP, SHORT_SYLLABLE, STEP_2, STEP_3,
     STEP_4, stem_text,
 )
 from notesight.functions.tokens import word_tokens
