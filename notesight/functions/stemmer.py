@@ -1,8 +1,8 @@
 """Porter's suffix stripping algorithm (M. F. Porter, Program 14(3), 1980).
 
 A text goes to the Python workers as one Arrow string and comes back as one; each worker stems a word once
-and looks it up from then on. Measured on 4 million tokens this costs a tenth of the same rules written as
-column expressions over arrays, and needs no join of words back to texts."""
+and looks it up from then on. Measured on 4 million tokens, text to stems takes a fifth of the time of the
+same rules written as column expressions over arrays, and needs no join of words back to texts."""
 
 from __future__ import annotations
 
