@@ -160,7 +160,7 @@ def score(docs: DataFrame, trees: Trees, cut: float = 0.3) -> DataFrame:
 
     def make(batch: dict[str, list]) -> dict[str, list]:
         counts = np.array([text_stats(t) for t in batch["text"]], float).reshape(-1, len(COUNTS))
-        return {"doc_id": batch["doc_id"], "score": trees.score(features(counts))}
+        return {"score": trees.score(features(counts))}
 
-    scored = by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id long, score double", make)
-    return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return by_batch(texts, ["doc_id"], "score double", make).withColumn("predicted", (F.col("score") >= cut).cast("int"))

@@ -7,12 +7,14 @@ import sys
 import tempfile
 import uuid
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 #: Words of the statistics and shingle operators: runs of anything but ASCII white space.
 SPACE = " \t\n\v\f\r"
@@ -41,43 +43,51 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def by_batch(df: DataFrame, schema: str, make: Callable[[dict[str, list]], dict[str, list]]) -> DataFrame:
-    """Map Arrow batches as dicts of Python lists; no shuffle, one batch in memory."""
-    columns = [field.split()[0] for field in schema.split(",")]
-    types = _arrow_types(df.sparkSession, schema)
+def by_batch(
+    df: DataFrame, keep: list[str], made: str, make: Callable[[dict[str, list]], dict[str, Sequence]]
+) -> DataFrame:
+    """Map Arrow batches of `df`: the columns `keep` pass as they are, of any type, and `make` turns the
+    lists of the others into the columns `made` (DDL). No shuffle, one batch in memory."""
+    schema = StructType([df.schema[c] for c in keep] + StructType.fromDDL(made).fields)
+    types = [to_arrow_type(schema[i].dataType) for i in range(len(keep), len(schema))]
+    names = schema.names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = make(batch.to_pydict())
-            yield pa.RecordBatch.from_arrays([pa.array(made[c], t) for c, t in zip(columns, types)], columns)
+            out = make({c: batch.column(c).to_pylist() for c in batch.schema.names if c not in keep or c in inputs})
+            columns = [batch.column(c) for c in keep]
+            columns += [pa.array(out[c], t) for c, t in zip(names[len(keep) :], types)]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
+    inputs = getattr(make, "inputs", ())
     return df.mapInArrow(run, schema)
 
 
-def _arrow_types(spark: SparkSession, schema: str) -> list[pa.DataType]:
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import StructType
+def reads(*columns: str) -> Callable:
+    """Name the passed-on columns that a function for `by_batch` also reads."""
 
-    return [to_arrow_type(field.dataType) for field in StructType.fromDDL(schema)]
+    def mark(make: Callable) -> Callable:
+        make.inputs = columns
+        return make
+
+    return mark
 
 
 def numbered(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     """Stage `df` and add `rank` (from 0, gapless within `keys`) without bringing the rows of a key
     together: each input split counts its own rows, and only the counts (a row per split and key) meet.
 
-    Ranks follow the splits of the staged table, so they hold still once it is written. `df` must not
-    have columns named `split`, `place` or `rank`."""
+    Ranks follow the splits of the staged table, so they hold still once it is written. `keys` must not be
+    null. Columns of `df` named split, place, local_rank or ranks_before are in the way."""
     local = Window.partitionBy("split", *keys).orderBy("place")
     rows = staged(
         df.withColumn("split", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), label
-    ).withColumn("local_rank", F.row_number().over(local) - 1)
+    )
     counts = rows.groupBy("split", *keys).agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(*keys).orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("split", *keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ranks_before"))
-    same = [rows[k].eqNullSafe(offsets[k]) for k in ("split", *keys)]
-    return rows.join(offsets, same).select(
-        *[rows[c] for c in df.columns], (F.col("local_rank") + F.col("ranks_before")).cast("long").alias("rank")
-    )
+    ranked = rows.withColumn("local_rank", F.row_number().over(local) - 1).join(offsets, ["split", *keys])
+    return ranked.select(*df.columns, (F.col("local_rank") + F.col("ranks_before")).cast("long").alias("rank"))
 
 
 class Chunks(dict):

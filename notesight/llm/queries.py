@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from notesight.llm import boosting, decision_list
+from notesight.llm import boosting, decision_list, decontaminate, ring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,65 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_bounded_ring")
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.xxhash64(text).alias("ring_key"),
+    )
+    placed = ring.assign(rows, F.col("ring_key"), shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+LOWER_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    "op6_decontaminate",
+    f"""
+    WITH d AS (SELECT doc_id, {LOWER_WORDS} AS w FROM documents),
+    b AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {LOWER_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+    windows AS (
+        SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS text
+        FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b)
+    ),
+    scanned AS (
+        SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS text
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+              FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+    ),
+    hits AS (SELECT doc_id, item_id, i, n FROM scanned JOIN windows USING (n, text)),
+    hit_words AS (
+        SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+    ),
+    hit_items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS varchar) AS item FROM hits) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+    """,
+)
+def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "hit_items"), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 @query("op9_boosted_quality")
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

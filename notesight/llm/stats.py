@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from notesight.llm.common import SPACE, WORD, by_batch
+from notesight.llm.common import SPACE, WORD, by_batch, reads
 
 SYMBOLS = "#*$%&|<>"
 PUNCTUATION = ".,;:!?"
@@ -87,14 +87,12 @@ def with_stats(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
     replaced). One pass over whole texts, no shuffle."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in COUNTS]
     kept = docs.select(*keep, *([] if text in keep else [text]))
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join([f"`{c}` {fields[c]}" for c in keep] + [f"{c} long" for c in COUNTS])
 
+    @reads(text)
     def make(batch: dict[str, list]) -> dict[str, list]:
-        made = list(zip(*map(text_stats, batch[text]))) or [()] * len(COUNTS)
-        return {f"`{c}`": batch[c] for c in keep} | dict(zip(COUNTS, made))
+        return dict(zip(COUNTS, list(zip(*map(text_stats, batch[text]))) or [()] * len(COUNTS)))
 
-    return by_batch(kept, schema, make)
+    return by_batch(kept, keep, ", ".join(f"{c} long" for c in COUNTS), make)
 
 
 def ratio(name: str) -> Column:
