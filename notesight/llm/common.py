@@ -39,7 +39,7 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared folder and read back, which cuts its lineage and fixes its rows."""
     path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

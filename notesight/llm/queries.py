@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from notesight.llm import boosting, decision_list, decontaminate, ring
+from notesight.llm import bitpack, boosting, decision_list, decontaminate, packing, ring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    """The vocabulary file, by its path; it is not part of the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op2_bin_slack")
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, tokenizer(), end_id=0).drop("ids")
+
+
 @query("op4_decision_list")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -103,3 +116,9 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     trees = boosting.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
     return boosting.score(docs, trees).withColumn("held_out", held_out).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op10_bit_packing")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bitpack.read(bitpack.write(docs, tokenizer(), end_id=2), with_ids=False)
