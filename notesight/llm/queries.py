@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from notesight.llm import bitpack, boosting, decision_list, decontaminate, packing, ring
+from notesight.llm import bitpack, boosting, decision_list, decontaminate, packing, pii, ring, warc
+from notesight.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,34 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query(
+    "op1_warc",
+    """
+    WITH p AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages
+    ),
+    f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)
+    SELECT page_id, CAST(n AS bigint) AS payload_bytes,
+        array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS bigint) >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM p JOIN f USING (h)
+    """,
+)
+def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    warc.write(warc.archived(table(spark, sf_dir, "pages"), "page_id", "url", "html"), folder)
+    return warc.read(spark, folder).select(
+        warc.page_of("record_id").alias("page_id"),
+        # of a response the length of what was read, of a revisit what its HTTP headers say
+        F.coalesce(F.octet_length("payload").cast("long"), "payload_bytes").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        warc.page_of("refers_to").alias("refers_to"),
+    )
+
+
 @query("op2_bin_slack")
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -110,6 +139,20 @@ def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_deobfuscate")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    text = lambda spans: F.concat_ws(
+        ",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    )
+    base = F.filter("spans", lambda s: ~s["disguised"])
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op9_boosted_quality")
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
