@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from notesight.llm import bitpack, boosting, decision_list, decontaminate, packing, pii, ring, warc
+from notesight.llm import bitpack, boosting, decision_list, decontaminate, forest, packing, pii, ring, warc
 from notesight.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +139,11 @@ def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_lsh_forest")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.groups(table(spark, sf_dir, "documents").select("doc_id", "text"), width=2, percent=80)
+
+
 @query("op8_deobfuscate")
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])

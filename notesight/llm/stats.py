@@ -113,7 +113,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label_of_sample")
         .limit(max_rows)
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(max_rows)
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(max_rows).repartition("doc_id")
     stats = with_stats(texts, keep=["doc_id", "label_of_sample"])
     rows = stats.select(*[ratio(f).alias(f) for f in FEATURES], "label_of_sample", "doc_id").toPandas()
     rows = rows.sort_values(list(rows.columns), kind="stable")  # the same model however the rows arrive
