@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from notesight.llm import bitpack, boosting, decision_list, decontaminate, forest, packing, pii, ring, warc
+from notesight.llm import bitpack, boosting, decision_list, decontaminate, forest, packing, passages, pii, ring, warc
 from notesight.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer(), end_id=0).drop("ids")
 
 
+@query("op3_collinear_chains")
+def shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared(table(spark, sf_dir, "documents").select("doc_id", "text"), least=50)
+
+
 @query("op4_decision_list")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
