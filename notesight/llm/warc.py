@@ -89,9 +89,9 @@ class WarcReader(DataSourceReader):
         system, root = pyarrow.fs.FileSystem.from_uri(self.uri)
         found = system.get_file_info(pyarrow.fs.FileSelector(root, recursive=False, allow_not_found=True))
         files = sorted((f.path, f.size) for f in found if f.is_file and f.path.endswith((".warc", ".warc.gz")))
-        groups, size = [], self.partition_bytes
+        groups, size = [], 0
         for path, n in files:
-            if size + n > self.partition_bytes:
+            if not groups or size + n > self.partition_bytes:
                 groups.append([])
                 size = 0
             groups[-1].append(path)
