@@ -7,21 +7,25 @@ import math
 from pyspark.sql import Column, functions as F
 
 
-def hash_fraction(*parts: Column | str) -> Column:
-    """A uniform number in [0, 1) from the MD5 of the parts joined by `|`."""
+def hash_fraction(*parts: Column | str, digits: int = 8) -> Column:
+    """A uniform number in [0, 1) from `digits` hexadecimal digits (13 fill a double) of the MD5 of the parts
+    joined by `|`."""
     columns = [F.col(part) if isinstance(part, str) else part for part in parts]
     digest = F.md5(F.concat_ws("|", *[column.cast("string") for column in columns]))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(digest, 1, digits), 16, 10).cast("double") / F.lit(16.0**digits)
 
 
 def poisson_copies(fraction: Column, mean: float) -> Column:
-    """How often a row is drawn in a sample with replacement: the Poisson quantile of `fraction`."""
-    steps = []
-    probability = below = math.exp(-mean)
-    count = 0
-    while below < 1.0 - 2.0**-33 and count < 1000:
-        steps.append(below)
-        count += 1
-        probability *= mean / count
-        below += probability
-    return F.coalesce(sum(((fraction >= F.lit(step)).cast("int") for step in steps), F.lit(0)), F.lit(0))
+    """How often a row is drawn in a sample with replacement: the Poisson quantile of `fraction`, for any
+    mean. The cumulative probabilities go into one array literal of about 17 standard deviations; what lies
+    beyond on either side is less likely than the smallest step of a double."""
+    width = 8.5 * math.sqrt(mean) + 20
+    first = max(0, math.floor(mean - width))
+    steps, below = [], 0.0
+    for count in range(first, math.ceil(mean + width)):
+        below += math.exp(count * math.log(mean) - mean - math.lgamma(count + 1)) if mean else 1.0
+        steps.append(min(below, 1.0))
+        if below >= 1.0:
+            break
+    listed = F.split(F.lit(",".join(map(repr, steps))), ",").cast("array<double>")
+    return F.lit(first) + F.size(F.filter(listed, lambda step: (step <= fraction) & (step < 1.0)))

@@ -11,12 +11,14 @@ from notesight.jobs import query
 from notesight.jobs.roles import (
     FOOTER,
     KEPT_NOTES,
+    SCORED_BY_THREE,
     SCORED_DOCUMENTS,
     STAYS,
     conversation_notes,
     event_stays,
     hash_fraction_sql,
     literal,
+    scored_by_three,
     scored_documents,
     stays,
     table,
@@ -279,13 +281,13 @@ def negatives_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 ), steps AS (
   SELECT label, mean, 0 AS k, exp(-mean) AS probability, exp(-mean) AS below FROM means
   UNION ALL SELECT label, mean, k + 1, probability * (mean / (k + 1)), below + probability * (mean / (k + 1)) FROM steps
-  WHERE below < CAST(1 AS DOUBLE) - pow(2, -33) AND k < 1000
+  WHERE below < CAST(1 AS DOUBLE) - pow(2, -52) AND k < mean + 8.5 * sqrt(mean) + 20
 ), draws AS (
-  SELECT line_labels.*, bag, row_number() OVER () AS draw, {hash_fraction_sql('bag12345', 'bag', *LINE_KEYS)} AS fraction
+  SELECT line_labels.*, bag, row_number() OVER () AS draw, {hash_fraction_sql('bag12345', 'bag', *LINE_KEYS, digits=13)} AS fraction
   FROM line_labels, (SELECT unnest(range(1, 21)) AS bag)
 )
 SELECT l_orderkey, l_linenumber, l_partkey, d.label, CAST(bag AS INTEGER) AS bag, CAST(count(*) AS INTEGER) AS copies
-FROM draws d JOIN steps s ON d.label = s.label AND fraction >= below AND below < CAST(1 AS DOUBLE) - pow(2, -33)
+FROM draws d JOIN steps s ON d.label = s.label AND fraction >= below
 GROUP BY draw, l_orderkey, l_linenumber, l_partkey, d.label, bag""",
 )
 def bags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,7 +325,7 @@ def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.confusion(scored_documents(spark, sf_dir))
 
 
-LABEL_METRICS = f"""{SCORED_DOCUMENTS}, label_counts AS (
+LABEL_FIGURES = """label_counts AS (
   SELECT c.label, count(*) FILTER (WHERE s.label = c.label) AS "rows",
     CAST(count(*) FILTER (WHERE s.label = c.label AND s.prediction = c.label) AS DOUBLE) AS hits,
     count(*) FILTER (WHERE s.prediction = c.label) AS predicted
@@ -334,6 +336,7 @@ LABEL_METRICS = f"""{SCORED_DOCUMENTS}, label_counts AS (
   FROM (SELECT *, coalesce(hits / nullif(predicted, 0), 0) AS precision, coalesce(hits / nullif("rows", 0), 0) AS recall
     FROM label_counts)
 )"""
+LABEL_METRICS = f"{SCORED_DOCUMENTS}, {LABEL_FIGURES}"
 OVERALL = """overall AS (
   SELECT CAST(sum("rows") AS BIGINT) AS "rows", sum(recall * "rows") / sum("rows") AS accuracy,
     sum(precision * "rows") / sum("rows") AS precision, sum(recall * "rows") / sum("rows") AS recall,
@@ -378,23 +381,47 @@ def auroc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(metrics.auroc(scored_documents(spark, sf_dir)), "auroc")
 
 
-@query(
-    "metrics_report",
-    f"""WITH {LABEL_METRICS}, {OVERALL}
+def _report_sql(source: str, classes: int) -> str:
+    areas = "".join(f"\n  UNION ALL SELECT 'auroc', {i}, {_auroc_sql(f'probability_{i}', i)}" for i in range(classes))
+    return f"""WITH {source}, {LABEL_FIGURES}, {OVERALL}
 SELECT metric, label, round(value, 9) AS value FROM (
   SELECT 'confusion_predicted_' || CAST(CAST(prediction AS INTEGER) AS VARCHAR) AS metric, label, CAST(count(*) AS DOUBLE) AS value
   FROM scored_documents GROUP BY ALL
   UNION ALL SELECT unnest(['precision', 'recall', 'f_score']), label, unnest([precision, recall, f_score]) FROM label_metrics
   UNION ALL SELECT unnest(['accuracy', 'precision', 'recall', 'f_score']), NULL,
-    unnest([accuracy, precision, recall, f_score]) FROM overall
-  UNION ALL SELECT 'auroc', 0, {_auroc_sql('probability_0', 0)}
-  UNION ALL SELECT 'auroc', 1, {_auroc_sql('probability_1', 1)}
-)""",
-)
+    unnest([accuracy, precision, recall, f_score]) FROM overall{areas}
+)"""
+
+
+@query("metrics_report", _report_sql(SCORED_DOCUMENTS, 2))
 def metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(metrics.metrics_report(scored_documents(spark, sf_dir)), "value")
 
 
+@query("metrics_report_multiclass", _report_sql(SCORED_BY_THREE, 3))
+def metrics_report_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(metrics.metrics_report(scored_by_three(spark, sf_dir)), "value")
+
+
+@query(
+    "ensemble_vote_multiclass",
+    f"""WITH {SCORED_BY_THREE}, votes AS (
+  SELECT * FROM scored_documents UNION ALL
+  SELECT subject_id, hadm_id, label, CASE WHEN prediction = 2 THEN CAST(2 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END,
+    probability_2, probability_1, probability_0 FROM scored_documents
+) SELECT subject_id, hadm_id, label, round(avg(prediction)) AS prediction, round(avg(probability_0), 9) AS probability_0,
+  round(avg(probability_1), 9) AS probability_1, round(avg(probability_2), 9) AS probability_2
+FROM votes GROUP BY subject_id, hadm_id, label""",
+)
+def ensemble_vote_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = scored_by_three(spark, sf_dir)
+    second = first.withColumns({
+        "prediction": F.when(F.col("prediction") == 2, 2.0).otherwise(0.0),
+        "probability_0": F.col("probability_2"), "probability_2": F.col("probability_0"),
+    })
+    return _rounded(metrics.ensemble_vote(first.unionByName(second)), *[f"probability_{i}" for i in range(3)])
+
+
 EMBEDDING_SLOTS = 64
 
 

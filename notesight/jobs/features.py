@@ -10,7 +10,7 @@ from notesight.functions.words import REMOVER_STOP_WORDS
 from notesight.config import spread, stage
 from notesight.jobs import query
 from notesight.jobs.roles import (
-    NEGATORS, TRANSCRIPT_HEADERS, TRANSCRIPTS, dictionary, documents, labelled_documents, lexicon, transcripts, words_sql,
+    NEGATORS, TRANSCRIPT_HEADERS, TRANSCRIPTS, dictionary, documents, document_notes, lexicon, transcripts, words_sql,
 )
 from notesight.jobs.text import _section_sql, corrections_sql, porter_sql, scores_sql
 from notesight.operators import features
@@ -86,9 +86,7 @@ def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _feature_counts(rows: DataFrame) -> DataFrame:
-    counts = features.term_counts(rows, ["doc_id"], _tokens())
-    known = features.vocabulary(features.totals(counts), SIZE)
-    return features.join_vocabulary(counts, known, SIZE).select("doc_id", "feature", "n")
+    return features.vocabulary_counts(rows, ["doc_id"], _tokens(), SIZE)
 
 
 @query(
@@ -113,9 +111,7 @@ JOIN vocabulary v ON v.value = d.term GROUP BY doc_id, feature""",
 )
 def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir)
-    counts = features.term_counts(rows, ["doc_id"], ngrams(_tokens(), 2))
-    known = features.vocabulary(features.totals(counts), GRAM_SIZE)
-    return features.join_vocabulary(counts, known, GRAM_SIZE).select("doc_id", "feature", "n")
+    return features.vocabulary_counts(rows, ["doc_id"], ngrams(_tokens(), 2), GRAM_SIZE)
 
 
 @query(
@@ -147,8 +143,7 @@ def _long(vectors: DataFrame, places: int = 6) -> DataFrame:
     )
 
 
-LABELLED_WORDS = f"""training AS (SELECT doc_id, text FROM documents JOIN labels USING (doc_id)
-), placed AS (SELECT doc_id, unnest({words_sql('text')}) AS term FROM training
+DOCUMENT_WORDS = f"""placed AS (SELECT doc_id, unnest({words_sql('text')}) AS term FROM documents
 ), words AS (SELECT DISTINCT term FROM placed), {porter_sql('words')}, kept AS (
   SELECT doc_id, stem AS term, count(*) AS n FROM placed JOIN stems USING (term) WHERE stem NOT IN {STOPS} GROUP BY ALL
 ), totals AS (SELECT term, CAST(sum(n) AS BIGINT) AS n FROM kept GROUP BY term)"""
@@ -156,33 +151,33 @@ LABELLED_WORDS = f"""training AS (SELECT doc_id, text FROM documents JOIN labels
 
 @query(
     "bow_vectors",
-    f"""WITH {LABELLED_WORDS}, {_vocabulary_sql('vocabulary', 'totals', SIZE)}
+    f"""WITH {DOCUMENT_WORDS}, {_vocabulary_sql('vocabulary', 'totals', SIZE)}
 SELECT doc_id, feature, CAST(k.n AS DOUBLE) AS value FROM kept k JOIN vocabulary v ON v.value = k.term""",
 )
 def bow_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labelled_documents(spark, sf_dir)
+    rows = document_notes(spark, sf_dir)
     return _long(featurizer("bag_of_words").fit(rows).transform(rows))
 
 
 @query(
     "tfidf_vectors",
     f"""WITH kept AS (SELECT doc_id, term, count(*) AS n FROM (
-    SELECT doc_id, unnest({words_sql('text')}) AS term FROM documents JOIN labels USING (doc_id)) WHERE term NOT IN {STOPS} GROUP BY ALL
+    SELECT doc_id, unnest({words_sql('text')}) AS term FROM documents) WHERE term NOT IN {STOPS} GROUP BY ALL
 ), totals AS (SELECT term, CAST(sum(n) AS BIGINT) AS n FROM kept GROUP BY term), {_vocabulary_sql('vocabulary', 'totals', SIZE)}, found AS (
   SELECT doc_id, feature, k.n FROM kept k JOIN vocabulary v ON v.value = k.term
 ), weights AS (
-  SELECT feature, ln(((SELECT count(*) FROM labels JOIN documents USING (doc_id)) + CAST(1 AS DOUBLE)) / (count(*) + CAST(1 AS DOUBLE))) AS idf
+  SELECT feature, ln(((SELECT count(*) FROM documents) + CAST(1 AS DOUBLE)) / (count(*) + CAST(1 AS DOUBLE))) AS idf
   FROM found GROUP BY feature
 ) SELECT doc_id, feature, round(n * idf, 6) AS value FROM found JOIN weights USING (feature) WHERE n * idf <> 0""",
 )
 def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labelled_documents(spark, sf_dir)
+    rows = document_notes(spark, sf_dir)
     return _long(featurizer("tf_idf").fit(rows).transform(rows))
 
 
 @query(
     "ngram_vectors",
-    f"""WITH training AS (SELECT doc_id, {words_sql('text')} AS ws FROM documents JOIN labels USING (doc_id)
+    f"""WITH training AS (SELECT doc_id, {words_sql('text')} AS ws FROM documents
 ), placed AS (SELECT doc_id, ws[place] AS term, place FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS place FROM training)
 ), words AS (SELECT DISTINCT term FROM placed), {porter_sql('words')}, kept AS (
   SELECT doc_id, stem, lead(stem) OVER (PARTITION BY doc_id ORDER BY place) AS following
@@ -196,7 +191,7 @@ SELECT doc_id, feature, CAST(count(*) AS DOUBLE) AS value FROM (
 GROUP BY ALL""",
 )
 def ngram_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labelled_documents(spark, sf_dir)
+    rows = document_notes(spark, sf_dir)
     return _long(featurizer("ngrams").fit(rows).transform(rows))
 
 
@@ -234,23 +229,22 @@ def section_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("word2vec")
 def word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labelled_documents(spark, sf_dir)
+    rows = document_notes(spark, sf_dir)
     return _long(featurizer("word2vec").fit(rows).transform(rows), 4)
 
 
 @query(
     "complex_vectors",
-    f"""WITH training AS (SELECT doc_id, text FROM documents JOIN labels USING (doc_id)
-), {corrections_sql('training')}, kept AS (
-  SELECT doc_id, corrected AS term, count(*) AS n FROM (SELECT doc_id, unnest({words_sql('text')}) AS term FROM training)
+    f"""WITH {corrections_sql('documents')}, kept AS (
+  SELECT doc_id, corrected AS term, count(*) AS n FROM (SELECT doc_id, unnest({words_sql('text')}) AS term FROM documents)
   JOIN corrections USING (term) WHERE corrected NOT IN {STOPS} GROUP BY ALL
 ), totals AS (SELECT term, CAST(sum(n) AS BIGINT) AS n FROM kept GROUP BY term
-), {_vocabulary_sql('vocabulary', 'totals', 1000)}, {scores_sql('training')}
+), {_vocabulary_sql('vocabulary', 'totals', 1000)}, {scores_sql('documents')}
 SELECT doc_id, feature, CAST(k.n AS DOUBLE) AS value FROM kept k JOIN vocabulary v ON v.value = k.term
 UNION ALL SELECT doc_id, (SELECT count(*) FROM vocabulary), sum(score) FROM scores GROUP BY doc_id HAVING sum(score) <> 0""",
 )
 def complex_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labelled_documents(spark, sf_dir)
+    rows = document_notes(spark, sf_dir)
     plan = featurizer(
         "complex_bow", dictionary=dictionary(spark, sf_dir), lexicon=lexicon(spark), negators=NEGATORS
     )
@@ -259,7 +253,7 @@ def complex_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "feature_map",
-    f"WITH {LABELLED_WORDS}, {_vocabulary_sql('vocabulary', 'totals', SIZE)} SELECT feature, value FROM vocabulary",
+    f"WITH {DOCUMENT_WORDS}, {_vocabulary_sql('vocabulary', 'totals', SIZE)} SELECT feature, value FROM vocabulary",
 )
 def feature_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return featurizer("bag_of_words").fit(labelled_documents(spark, sf_dir)).feature_map(spark)
+    return featurizer("bag_of_words").fit(document_notes(spark, sf_dir)).feature_map(spark)

@@ -146,6 +146,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
+def document_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents under the keys of a note; featurizing needs no label."""
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("subject_id"), F.col("doc_id").alias("hadm_id"), "text")
+
+
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a label: 1 for the toxic ones."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
@@ -182,10 +187,37 @@ SCORED_DOCUMENTS = """scored_documents AS (
 )"""
 
 
-def dictionary(spark: SparkSession, sf_dir: str, least: int = 2) -> DataFrame:
-    """(term, n): the words that occur at least `least` times in the benchmark texts."""
+def scored_by_three(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents in three classes (poor, good, toxic), scored by their length."""
+    labels = table(spark, sf_dir, "labels").select(
+        "doc_id", F.when(F.col("toxic") == 1, 2.0).otherwise(F.col("quality").cast("double")).alias("label")
+    )
+    long = F.col("n_chars") / (F.col("n_chars") + 2000.0)
+    prediction = F.when(F.col("n_chars") > 4000, 2.0).when(F.col("n_chars") > 1000, 1.0).otherwise(0.0)
+    return (
+        table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(labels, "doc_id")
+        .select(
+            F.col("doc_id").alias("subject_id"), F.col("doc_id").alias("hadm_id"), "label", prediction.alias("prediction"),
+            ((1.0 - long) / 2.0).alias("probability_0"), F.lit(0.5).alias("probability_1"), (long / 2.0).alias("probability_2"),
+        )
+    )
+
+
+SCORED_BY_THREE = """scored_documents AS (
+  SELECT doc_id AS subject_id, doc_id AS hadm_id,
+    CASE WHEN toxic = 1 THEN CAST(2 AS DOUBLE) ELSE CAST(quality AS DOUBLE) END AS label,
+    CAST(CASE WHEN n_chars > 4000 THEN 2 WHEN n_chars > 1000 THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
+    (CAST(1 AS DOUBLE) - CAST(n_chars AS DOUBLE) / (CAST(n_chars AS DOUBLE) + CAST(2000 AS DOUBLE))) / 2 AS probability_0,
+    CAST(0.5 AS DOUBLE) AS probability_1,
+    CAST(n_chars AS DOUBLE) / (CAST(n_chars AS DOUBLE) + CAST(2000 AS DOUBLE)) / 2 AS probability_2
+  FROM documents JOIN labels USING (doc_id)
+)"""
+
+
+def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(term, n): the words of the benchmark texts."""
     words = table(spark, sf_dir, "benchmark").select(F.explode(word_tokens(F.col("text"))).alias("term"))
-    return words.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    return words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def words_sql(text: str) -> str:
@@ -193,10 +225,9 @@ def words_sql(text: str) -> str:
     return f"list_filter(regexp_split_to_array(lower({text}), '[^a-z]+'), lambda w: w <> '')"
 
 
-def dictionary_sql(least: int = 2) -> str:
-    return f"""dictionary AS (
+DICTIONARY = f"""dictionary AS (
   SELECT term, count(*) AS n FROM (SELECT unnest({words_sql('text')}) AS term FROM benchmark)
-  GROUP BY term HAVING count(*) >= {least}
+  GROUP BY term
 )"""
 
 
@@ -214,6 +245,6 @@ def lexicon(spark: SparkSession) -> DataFrame:
 LEXICON_SQL = "lexicon(term, polarity) AS (VALUES " + ", ".join(f"('{w}', {p})" for w, p in LEXICON.items()) + ")"
 
 
-def hash_fraction_sql(prefix: str, *parts: str) -> str:
+def hash_fraction_sql(prefix: str, *parts: str, digits: int = 8) -> str:
     joined = f"concat_ws('|', '{prefix}', " + ", ".join(f"CAST({part} AS VARCHAR)" for part in parts) + ")"
-    return f"(CAST(('0x' || substr(md5({joined}), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE))"
+    return f"(CAST(('0x' || substr(md5({joined}), 1, {digits})) AS BIGINT) / CAST({16**digits} AS DOUBLE))"

@@ -14,7 +14,7 @@ from notesight.functions.stemmer import (
 from notesight.functions.tokens import word_tokens
 from notesight.jobs import query
 from notesight.jobs.roles import (
-    CLINICAL_NOTES, LEXICON_SQL, NEGATORS, TRANSCRIPT_HEADERS, TRANSCRIPTS, clinical_notes, dictionary, dictionary_sql,
+    CLINICAL_NOTES, LEXICON_SQL, NEGATORS, TRANSCRIPT_HEADERS, TRANSCRIPTS, clinical_notes, DICTIONARY, dictionary,
     documents, lexicon, transcripts, words_sql,
 )
 from notesight.operators import cleaning as cleaning_jobs, terms
@@ -121,7 +121,7 @@ def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DISCHARGE_NOTES = r"""discharge AS (
   SELECT hadm_id, text || E'\n\nCondition at Discharge: ' || hadm_id || E' stable\n\nDischarge Diagnoses:\n' ||
-    substr(text, 3, 60) || E'\n\nDischarge Status:\n\nDischarge Medications: ' || hadm_id AS text FROM transcripts
+    substr(text, 3) || E'\n\nDischarge Status:\n\nDischarge Medications: ' || hadm_id AS text FROM transcripts
 )"""
 
 
@@ -135,19 +135,16 @@ def discharge_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("hadm_id").cast("string")
     text = F.concat(
         "text", F.lit("\n\nCondition at Discharge: "), number, F.lit(" stable\n\nDischarge Diagnoses:\n"),
-        F.substring("text", 3, 60), F.lit("\n\nDischarge Status:\n\nDischarge Medications: "), number,
+        F.substr("text", F.lit(3)), F.lit("\n\nDischarge Status:\n\nDischarge Medications: "), number,
     )
     notes = transcripts(spark, sf_dir).withColumn("text", text)
     return cleaning_jobs.add_sections(notes).select("hadm_id", *words.SECTION_HEADERS)
 
 
-FREQUENT = 8
-
-
 @query(
     "term_match",
     # the terms are runs of letters, so an occurrence lies within one run of letters of the text
-    f"""WITH {dictionary_sql(FREQUENT)}, numbered AS (
+    f"""WITH {DICTIONARY}, numbered AS (
   SELECT doc_id, runs, unnest(range(1, len(runs) + 1)) AS place FROM (
     SELECT doc_id, regexp_extract_all(text, '[a-z]+') AS runs FROM documents)
 ), starts AS (
@@ -161,12 +158,12 @@ SELECT doc_id, coalesce(terms, '') AS terms FROM documents LEFT JOIN (
   SELECT doc_id, string_agg(term, ' ' ORDER BY place, finish, size DESC) AS terms FROM hits GROUP BY doc_id) USING (doc_id)""",
 )
 def term_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.match_terms(documents(spark, sf_dir), dictionary(spark, sf_dir, FREQUENT), ["doc_id"])
+    return terms.match_terms(documents(spark, sf_dir), dictionary(spark, sf_dir), ["doc_id"])
 
 
 @query(
     "dictionary_words",
-    rf"""WITH {dictionary_sql()} SELECT doc_id,
+    rf"""WITH {DICTIONARY} SELECT doc_id,
   coalesce(string_agg(word, ' ' ORDER BY word) FILTER (WHERE term IS NOT NULL), '') AS words
 FROM (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents)
 LEFT JOIN dictionary ON term = word GROUP BY doc_id""",
@@ -212,12 +209,12 @@ def sentence_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def corrections_sql(source: str) -> str:
     """corrections(term, corrected, distance) of the words of a table's texts, by comparing all pairs."""
-    return f"""{dictionary_sql()}, tokens AS (
+    return f"""{DICTIONARY}, tokens AS (
   SELECT DISTINCT unnest({words_sql('text')}) AS term FROM {source}
 ), near AS (
   SELECT t.term, d.term AS candidate, d.n, levenshtein(t.term, d.term) AS distance
-  FROM tokens t JOIN dictionary d ON abs(length(t.term) - length(d.term)) <= 2
-  WHERE t.term NOT IN (SELECT term FROM dictionary)
+  FROM (SELECT * FROM tokens ANTI JOIN dictionary USING (term)) t
+  JOIN dictionary d ON length(d.term) BETWEEN length(t.term) - 2 AND length(t.term) + 2
 ), best AS (
   SELECT term, candidate AS corrected, CAST(distance AS INTEGER) AS distance FROM (
     SELECT *, row_number() OVER (PARTITION BY term ORDER BY distance, n DESC, candidate) AS place

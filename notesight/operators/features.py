@@ -83,6 +83,15 @@ def join_vocabulary(counts: DataFrame, terms: DataFrame, size: int) -> DataFrame
     return counts.join(lookup, "term").drop("term")
 
 
+def vocabulary_counts(df: DataFrame, keys: Sequence[str], terms: Column, size: int) -> DataFrame:
+    """(keys, feature, n) for the `size` most frequent terms. They are found first, from counts combined per
+    task, so that only their counts, and not every pair of a key and a term, are shuffled by key."""
+    exploded = df.select(*keys, F.explode(terms).alias("term"))
+    known = vocabulary(exploded.groupBy("term").agg(F.count(F.lit(1)).alias("n")), size)
+    found = join_vocabulary(exploded, known, size)
+    return found.groupBy(*keys, "feature").agg(F.count(F.lit(1)).alias("n"))
+
+
 def idf_weights(counts: DataFrame, documents: DataFrame) -> DataFrame:
     """(feature, idf) with idf = ln((N + 1) / (df + 1)) from (keys, feature, n) and the table of all N
     documents."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -83,7 +84,13 @@ def auroc(predictions: DataFrame, score: str = "probability_1", positive: float
     return ranked.agg((wins / F.nullif(pairs, F.lit(0.0))).alias("auroc"))
 
 
-def metrics_report(predictions: DataFrame, classes: int = 2) -> DataFrame:
+def class_columns(predictions: DataFrame) -> list[int]:
+    """The classes that have a probability column."""
+    found = (re.fullmatch(r"probability_(\d+)", name) for name in predictions.columns)
+    return sorted(int(match[1]) for match in found if match)
+
+
+def metrics_report(predictions: DataFrame) -> DataFrame:
     """All metrics in long form: (metric, label, value); label is NULL for the overall figures. AUROC of a
     label scores that label's own probability against that label."""
     per_label = label_metrics(predictions).select(
@@ -111,15 +118,15 @@ def metrics_report(predictions: DataFrame, classes: int = 2) -> DataFrame:
         auroc(predictions, f"probability_{i}", float(i)).select(
             F.lit("auroc").alias("metric"), F.lit(float(i)).alias("label"), F.col("auroc").alias("value")
         )
-        for i in range(classes)
+        for i in class_columns(predictions)
     ]
     return reduce(DataFrame.unionByName, [cells, overall, per_label, *areas])
 
 
-def ensemble_vote(predictions: DataFrame, classes: int = 2) -> DataFrame:
+def ensemble_vote(predictions: DataFrame) -> DataFrame:
     """One prediction per (subject, admission, label) from those of several models: the rounded mean of
     the votes (a tie goes up) and the mean probabilities."""
     return predictions.groupBy("subject_id", "hadm_id", "label").agg(
         F.round(F.avg("prediction")).alias("prediction"),
-        *[F.avg(f"probability_{i}").alias(f"probability_{i}") for i in range(classes)],
+        *[F.avg(f"probability_{i}").alias(f"probability_{i}") for i in class_columns(predictions)],
     )

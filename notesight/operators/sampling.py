@@ -71,14 +71,17 @@ def bags(
     sizes = df.agg(
         F.count_if(F.col("label") == 1).alias("positive"), F.count_if(F.col("label") != 1).alias("other")
     ).first()
-    drawn = df.withColumn("bag", F.explode(F.sequence(F.lit(1), F.lit(count)))).withColumn(
-        "fraction", hash_fraction(F.lit(f"bag{seed}"), F.col("bag"), *keys)
-    )
 
-    def copies(wanted: int, available: int) -> Column:
-        return poisson_copies(F.col("fraction"), wanted / max(available, 1))
+    def copies(bag: Column) -> Column:
+        fraction = hash_fraction(F.lit(f"bag{seed}"), bag, *keys, digits=13)
+        of = lambda wanted, available: poisson_copies(fraction, wanted / max(available, 1))
+        return F.when(F.col("label") == 1, of(positives, sizes["positive"])).when(
+            F.col("label") != 1, of(others, sizes["other"])
+        )
 
-    number = F.when(F.col("label") == 1, copies(positives, sizes["positive"])).when(
-        F.col("label") != 1, copies(others, sizes["other"])
+    every = F.transform(
+        F.sequence(F.lit(1), F.lit(count)), lambda bag: F.struct(bag.alias("bag"), copies(bag).alias("copies"))
     )
-    return drawn.withColumn("copies", number).drop("fraction").filter("copies > 0")
+    # only the bags a row is drawn into are exploded, so a row not drawn at all is not copied once
+    drawn = F.filter(every, lambda item: item["copies"] > 0)
+    return df.withColumn("drawn", F.explode(drawn)).select(*df.columns, "drawn.bag", "drawn.copies")

@@ -1,5 +1,5 @@
 """Learners by name. Each one draws its training rows, fits, reports feature importance, predicts, saves
-and loads; the rows need subject_id, hadm_id, label (0 or 1) and features."""
+and loads; the rows need subject_id, hadm_id, label (0, 1, ..) and features. Boosted trees know two classes only."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,20 +33,20 @@ SEED = 12345
 ROWS_PER_TASK = 5_000
 
 
-def logistic_regression(seed: int, size: int, **options) -> LogisticRegression:
+def logistic_regression(seed: int, size: int, classes: int, **options) -> LogisticRegression:
     return LogisticRegression(**({"regParam": 0.3} | options))
 
 
-def boosted_trees(seed: int, size: int, **options) -> GBTClassifier:
+def boosted_trees(seed: int, size: int, classes: int, **options) -> GBTClassifier:
     return GBTClassifier(**({"maxIter": 10, "featureSubsetStrategy": "auto", "seed": seed} | options))
 
 
-def random_forest(seed: int, size: int, **options) -> RandomForestClassifier:
+def random_forest(seed: int, size: int, classes: int, **options) -> RandomForestClassifier:
     return RandomForestClassifier(**({"numTrees": 10, "featureSubsetStrategy": "auto", "seed": seed} | options))
 
 
-def perceptron(seed: int, size: int, **options) -> MultilayerPerceptronClassifier:
-    layers = [size, 5, 4, 2]
+def perceptron(seed: int, size: int, classes: int, **options) -> MultilayerPerceptronClassifier:
+    layers = [size, 5, 4, classes]
     return MultilayerPerceptronClassifier(**({"layers": layers, "blockSize": 128, "maxIter": 100, "seed": seed} | options))
 
 
@@ -57,10 +57,16 @@ class Method:
     weights: str | None
 
     def importance(self, model: Model) -> list[float]:
-        return [float(value) for value in getattr(model, self.weights).toArray()] if self.weights else []
+        """A weight per feature; of several classes' coefficients the one with the largest size."""
+        if not self.weights:
+            return []
+        weights = getattr(model, self.weights).toArray()
+        if weights.ndim == 2:
+            weights = weights[abs(weights).argmax(0), range(weights.shape[1])]
+        return [float(value) for value in weights]
 
 
-LOGISTIC = Method(logistic_regression, LogisticRegressionModel, "coefficients")
+LOGISTIC = Method(logistic_regression, LogisticRegressionModel, "coefficientMatrix")
 BOOSTED = Method(boosted_trees, GBTClassificationModel, "featureImportances")
 FOREST = Method(random_forest, RandomForestClassificationModel, "featureImportances")
 PERCEPTRON = Method(perceptron, MultilayerPerceptronClassificationModel, None)
@@ -77,6 +83,12 @@ def feature_count(df: DataFrame) -> int:
     return size
 
 
+def class_count(rows: DataFrame) -> int:
+    """One more than the largest label, and at least two."""
+    largest = rows.agg(F.max("label")).first()[0]
+    return max(2, int(largest or 0) + 1)
+
+
 def sized(rows: DataFrame, count: int) -> DataFrame:
     """No more tasks than `count` rows can fill: an iterative fit runs a job per step, and a matched or
     bagged sample is often far smaller than the table it comes from."""
@@ -106,13 +118,13 @@ class Learner:
         saw are `draw(df)`, the same on every call."""
         rows = self.draw(df).persist()
         try:
-            self.model = self.fit(sized(rows, rows.count()), feature_count(df))
+            self.model = self.fit(sized(rows, rows.count()), feature_count(df), class_count(rows))
         finally:
             rows.unpersist()
         return importance_table(df.sparkSession, self.method.importance(self.best_model))
 
-    def fit(self, rows: DataFrame, size: int) -> Model:
-        return self.method.make(self.seed, size, **self.options).fit(rows)
+    def fit(self, rows: DataFrame, size: int, classes: int) -> Model:
+        return self.method.make(self.seed, size, classes, **self.options).fit(rows)
 
     @property
     def best_model(self) -> Model:
@@ -121,11 +133,11 @@ class Learner:
         return self.model
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """(subject_id, hadm_id, label, prediction, probability_0, probability_1)."""
+        """(subject_id, hadm_id, label, prediction, probability_0, .. for each class of the model)."""
         scored = self.best_model.transform(df).select(
             *KEYS, "label", "prediction", vector_to_array("probability").alias("probability")
         )
-        return split_array(scored, "probability", 2)
+        return split_array(scored, "probability", self.best_model.numClasses)
 
     def save(self, path: str) -> None:
         self.best_model.write().overwrite().save(path)
@@ -143,15 +155,15 @@ class CrossValidatedLearner(Learner):
     folds: int = 5
     parallelism: int = 2
 
-    def fit(self, rows: DataFrame, size: int) -> Model:
-        estimator = self.method.make(self.seed, size, **self.options)
+    def fit(self, rows: DataFrame, size: int, classes: int) -> Model:
+        estimator = self.method.make(self.seed, size, classes, **self.options)
         builder = ParamGridBuilder()
         for name, values in self.grid.items():
             builder = builder.addGrid(estimator.getParam(name), list(values))
         search = CrossValidator(
             estimator=estimator,
             estimatorParamMaps=builder.build(),
-            evaluator=BinaryClassificationEvaluator(),
+            evaluator=BinaryClassificationEvaluator() if classes == 2 else MulticlassClassificationEvaluator(),
             numFolds=self.folds,
             foldCol="fold",
             parallelism=self.parallelism,
@@ -189,9 +201,10 @@ class BaggedLearner(Learner):
     def train(self, df: DataFrame) -> DataFrame:
         size = feature_count(df)
         drawn = self.draw(df).persist()
+        classes = class_count(drawn)
 
         def fit_one(bag: int) -> Model:
-            estimator = self.method.make(self.seed + bag, size, weightCol="copies", **self.options)
+            estimator = self.method.make(self.seed + bag, size, classes, weightCol="copies", **self.options)
             return estimator.fit(sized(drawn.filter(F.col("bag") == bag), self.positives + self.others))
 
         try:
@@ -213,7 +226,12 @@ class BaggedLearner(Learner):
         count = F.lit(float(len(self.models)))
         votes = sum((F.col(f"vote_{i}") for i in range(len(self.models))), F.lit(0.0))
         odds = [vector_to_array(f"odds_{i}") for i in range(len(self.models))]
-        mean = [(sum((value.getItem(c) for value in odds), F.lit(0.0)) / count).alias(f"probability_{c}") for c in (0, 1)]
+        # a bag may lack the last class, and its model then gives it no probability
+        classes = range(max(model.numClasses for model in self.models))
+        mean = [
+            (sum((F.coalesce(F.get(value, F.lit(c)), F.lit(0.0)) for value in odds), F.lit(0.0)) / count).alias(f"probability_{c}")
+            for c in classes
+        ]
         return scored.select(*KEYS, "label", F.round(votes / count).alias("prediction"), *mean)
 
     def save(self, path: str) -> None:

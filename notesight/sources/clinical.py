@@ -11,7 +11,7 @@ from notesight.functions.cleaning import drop_commas, flatten_lines, unix_lines
 from notesight.operators.cleaning import add_sections, clean
 from notesight.operators.sampling import hash_sample, random_sample
 from notesight.operators.terms import match_terms
-from notesight.sources.tables import path_exists
+from notesight.sources.tables import is_finished
 
 # The column names and types of the input files.
 PATIENT_SCHEMA = (
@@ -34,7 +34,7 @@ NOTE_SCHEMA = (
 def _read_csv(spark: SparkSession, data_dir: str, name: str, schema: str, **options) -> DataFrame:
     """The CSV file, or the Parquet folder `convert_to_parquet` has made of it."""
     converted = os.path.join(data_dir, f"{name}.parquet")
-    if path_exists(spark, converted):
+    if is_finished(spark, converted):
         return spark.read.parquet(converted)
     reader = spark.read.schema(schema).option("header", True).options(**options)
     return reader.csv(os.path.join(data_dir, f"{name}.csv"))
@@ -77,7 +77,10 @@ def convert_to_parquet(spark: SparkSession, data_dir: str) -> None:
         ("ADMISSIONS", load_admissions(spark, data_dir)),
         ("NOTEEVENTS", notes),
     ):
-        table.write.mode("errorifexists").parquet(os.path.join(data_dir, f"{name}.parquet"))
+        # a conversion that broke off has no success marker, is not read, and is done again
+        path = os.path.join(data_dir, f"{name}.parquet")
+        if not is_finished(spark, path):
+            table.write.mode("overwrite").parquet(path)
 
 
 def load_raw_notes(spark: SparkSession, path: str) -> DataFrame:
@@ -117,8 +120,8 @@ def export_plain_text(notes: DataFrame, path: str) -> None:
 
 def export_terms(notes: DataFrame, terms: DataFrame, path: str) -> None:
     """Notes reduced to the dictionary terms found in them."""
-    found = match_terms(notes, terms, keys=["row_id"])
-    export_text(notes.drop("text").join(found.withColumnRenamed("terms", "text"), "row_id"), path)
+    others = [name for name in notes.columns if name != "text"]
+    export_text(match_terms(notes, terms, keys=others).withColumnRenamed("terms", "text"), path)
 
 
 def export_sections(notes: DataFrame, path: str, keys: tuple[str, ...] = ("row_id",)) -> None:

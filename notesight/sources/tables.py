@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -12,14 +11,9 @@ from notesight.functions.vectors import split_vector
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Works on any file system Spark reads; only the file listing is touched."""
-    try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """Works on any file system Spark reads; one look-up, no listing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
 
 def is_finished(spark: SparkSession, path: str) -> bool:
@@ -27,9 +21,12 @@ def is_finished(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, os.path.join(path, "_SUCCESS"))
 
 
-def load_table(spark: SparkSession, name: str, data_dir: str, schema: StructType | str | None = None) -> DataFrame:
+def load_table(
+    spark: SparkSession, name: str, data_dir: str, schema: StructType | str | None = None, multi_line: bool = False
+) -> DataFrame:
     """A table by file name: CSV with a header (all strings unless a schema is given) or Parquet. A missing
-    table is empty and has the given schema."""
+    table is empty and has the given schema. Only a CSV file with line breaks inside fields needs
+    `multi_line`: such a file is read by one task."""
     path = os.path.join(data_dir, name)
     if not path_exists(spark, path):
         if schema is None:
@@ -37,7 +34,7 @@ def load_table(spark: SparkSession, name: str, data_dir: str, schema: StructType
         return spark.createDataFrame([], schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     if ".csv" in name:
-        return reader.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+        return reader.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
     return reader.parquet(path)
 
 

@@ -76,7 +76,7 @@ def test_tables(spark, tmp_path):
     for name in ("t.csv", "t.parquet"):
         path = tables.save_table(df, name, folder)
         assert tables.is_finished(spark, path)
-        assert [tuple(map(str, row)) for row in tables.load_table(spark, name, folder).collect()] == [("1", 'a "b", c\nd')]
+        assert [tuple(map(str, row)) for row in tables.load_table(spark, name, folder, multi_line=True).collect()] == [("1", 'a "b", c\nd')]
         tables.save_table(df.limit(0), name, folder)
         assert tables.load_table(spark, name, folder, df.schema).count() == 0
     assert tables.load_table(spark, "missing.parquet", folder, df.schema).schema == df.schema
