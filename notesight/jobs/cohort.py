@@ -127,7 +127,7 @@ FROM labelled WHERE {COHORT}""",
 )
 def cohort_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, notes = stays(spark, sf_dir), conversation_notes(spark, sf_dir)
-    combined = cohort.combine_notes(cohort.discharge_notes(notes), source=notes)
+    combined = cohort.combine_notes(cohort.discharge_notes(notes))
     return cohort.cohort_profile(raw, cohort.labelled_cohort(raw), notes, combined)
 
 
@@ -140,21 +140,29 @@ COMBINED = """combined AS (
 @query("notes_combined", f"WITH {KEPT_NOTES}, {COMBINED} SELECT hadm_id, text, CAST(notes AS INTEGER) AS notes FROM combined")
 def notes_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     notes = conversation_notes(spark, sf_dir)
-    combined = cohort.combine_notes(cohort.discharge_notes(notes), source=notes)
+    combined = cohort.combine_notes(cohort.discharge_notes(notes))
     return combined.select("hadm_id", "text", "notes")
 
 
+PART_BYTES = 2000
+
+
 @query(
     "notes_in_parts",
-    f"""WITH {KEPT_NOTES}, large AS (SELECT hadm_id FROM conversation_notes GROUP BY hadm_id HAVING count(*) > 4)
-SELECT hadm_id, string_agg(text, ' ' ORDER BY chart_date, row_id) AS text, CAST(count(*) AS INTEGER) AS notes
-FROM kept_notes GROUP BY hadm_id, CASE WHEN hadm_id IN (SELECT hadm_id FROM large) THEN chart_date END""",
+    f"""WITH {KEPT_NOTES}, cut AS (
+  SELECT hadm_id, subject_id, chart_date, row_id, text, 1 + coalesce(sum(octet_length(encode(text)) + 1) OVER (
+    PARTITION BY subject_id, hadm_id ORDER BY chart_date, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {PART_BYTES} AS part
+  FROM kept_notes
+), joined AS (
+  SELECT subject_id, hadm_id, CAST(part AS BIGINT) AS part, string_agg(text, ' ' ORDER BY chart_date, row_id) AS text,
+    CAST(count(*) AS INTEGER) AS notes FROM cut GROUP BY ALL
+) SELECT hadm_id, part, count(*) OVER (PARTITION BY subject_id, hadm_id) = 1 AS is_whole, text, notes FROM joined""",
 )
 def notes_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Combined notes, with admissions of more than four notes cut into days."""
+    """Combined notes in parts of about two thousand bytes."""
     notes = conversation_notes(spark, sf_dir)
-    combined = cohort.combine_notes(cohort.discharge_notes(notes), source=notes, hot_rows=4)
-    return combined.select("hadm_id", "text", "notes")
+    combined = cohort.combine_notes(cohort.discharge_notes(notes), part_bytes=PART_BYTES)
+    return combined.select("hadm_id", "part", "is_whole", "text", "notes")
 
 
 @query(

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from notesight.operators.skew import HOT_ROWS, calendar_bucket, hot_keys, mark_hot
+from notesight.operators.skew import HOT_ROWS, calendar_bucket, mark_hot
 
 PLANNED = "ELECTIVE"
+#: Bytes of text in one row of combined notes, about: a tenth of what a string can hold.
+PART_BYTES = 256 << 20
 
 
 def add_next_stay(stays: DataFrame, skip_elective: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -17,8 +19,10 @@ def add_next_stay(stays: DataFrame, skip_elective: bool = False, hot_rows: int =
 
     The stays of a subject are ordered within one task, except for subjects with a large share of all
     rows: theirs are ordered day by day, and the last stay of a day takes the first one of the days after
-    it from a table with one row per day."""
+    it from a table with one row per day. A stay of an unknown subject has no next stay."""
     subject, day = "subject_id", "stay_day"
+    nobody = stays.filter(F.col(subject).isNull())
+    stays = stays.filter(F.col(subject).isNotNull())
     stay = F.struct("admit_time", "hadm_id", "admit_type")
     if skip_elective:
         stay = F.when(F.col("admit_type") != PLANNED, stay)
@@ -42,7 +46,8 @@ def add_next_stay(stays: DataFrame, skip_elective: bool = False, hot_rows: int =
         .select(subject, day, "next_day_stay")
     )
     found = in_day.join(days, [subject, day], "left")
-    return found.select(*stays.columns, F.coalesce("next_stay", "next_day_stay").alias("next_stay"))
+    known = found.select(*stays.columns, F.coalesce("next_stay", "next_day_stay").alias("next_stay"))
+    return known.unionByName(nobody.withColumn("next_stay", F.lit(None).cast(known.schema["next_stay"].dataType)))
 
 
 def bucket_label(days: Column, splits: Sequence[float]) -> Column:
@@ -98,8 +103,7 @@ def cohort_profile(stays: DataFrame, labelled: DataFrame, notes: DataFrame, comb
             F.count_if(F.col("label") == 1.0).alias("unplanned_under_30_days"),
         ),
         notes.agg(F.count(F.lit(1)).alias("notes")),
-        # an admission in several parts counts once, at its first part
-        combined.agg(F.count_if("is_first_part").alias("combined_notes")),
+        combined.agg(F.count_if(F.col("part") == 1).alias("combined_notes")),
     ]
     out = counts[0]
     for one_row in counts[1:]:
@@ -127,19 +131,33 @@ def _joined_texts(notes: DataFrame, keys: list[str], order: list[str], columns:
 
 
 def _combine(
-    notes: DataFrame, hot: DataFrame, keys: list[str], order: list[str], columns: Sequence[str], part_rows: int
-) -> tuple[DataFrame, DataFrame]:
-    """The combined notes of ordinary admissions, one row each, and those of the `hot` ones, in parts."""
-    out = [*keys, "part", "is_first_part", *columns, "notes"]
-    few = notes.join(F.broadcast(hot), keys, "left_anti")
-    ordinary = _joined_texts(few, keys, order, columns)
-    ordinary = ordinary.withColumn("part", F.lit(0).cast("bigint")).withColumn("is_first_part", F.lit(True)).select(*out)
-    part = calendar_bucket(order[0]).cast("bigint") * F.lit(10**9) + F.floor(F.col(order[-1]) / part_rows)
-    many = notes.join(F.broadcast(hot), keys, "left_semi").withColumn("part", part)
-    # as many rows as there are hot keys
-    first = many.groupBy(*keys).agg(F.min("part").alias("first_part"))
-    large = _joined_texts(many, [*keys, "part"], order, columns).join(F.broadcast(first), keys)
-    return ordinary, large.withColumn("is_first_part", F.col("part") == F.col("first_part")).select(*out)
+    notes: DataFrame, keys: list[str], order: list[str], columns: Sequence[str], part_bytes: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The combined notes of admissions within `part_bytes`, those of larger ones, and the keys of these."""
+    out = [*keys, "part", "is_whole", *columns, "notes"]
+    size = sum((F.coalesce(F.octet_length(name), F.lit(0)) + 1 for name in columns), F.lit(0)).cast("bigint")
+    sized = notes.withColumn("note_bytes", size)
+    # all texts divided by part_bytes bounds their number: 400,000 keys for 100 TB
+    large = sized.groupBy(*keys).agg(F.sum("note_bytes").alias("bytes")).filter(F.col("bytes") > part_bytes).select(*keys)
+    few = _joined_texts(notes.join(F.broadcast(large), keys, "left_anti"), keys, order, columns)
+    ordinary = few.withColumn("part", F.lit(1).cast("bigint")).withColumn("is_whole", F.lit(True)).select(*out)
+
+    # bytes before a note: those of the days before, from a table with a row per day, and of the day so far
+    many = sized.join(F.broadcast(large), keys, "left_semi").withColumn("note_day", calendar_bucket(order[0]))
+    earlier = Window.partitionBy(*keys).orderBy("note_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = many.groupBy(*keys, "note_day").agg(F.sum("note_bytes").alias("day_bytes")).withColumn(
+        "bytes_before", F.coalesce(F.sum("day_bytes").over(earlier), F.lit(0))
+    )
+    in_day = Window.partitionBy(*keys, "note_day").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("bytes_before") + F.coalesce(F.col("bytes_in_day"), F.lit(0))
+    cut = (
+        many.withColumn("bytes_in_day", F.sum("note_bytes").over(in_day))
+        .join(F.broadcast(days.drop("day_bytes")), [*keys, "note_day"])
+        .withColumn("part", (F.floor(before / part_bytes) + 1).cast("bigint"))
+    )
+    parts = _joined_texts(cut, [*keys, "part"], order, columns)
+    whole = parts.groupBy(*keys).agg((F.count(F.lit(1)) == 1).alias("is_whole"))
+    return ordinary, parts.join(whole, keys).select(*out), large
 
 
 def combine_notes(
@@ -147,20 +165,13 @@ def combine_notes(
     keys: Sequence[str] = ("subject_id", "hadm_id"),
     order: Sequence[str] = ("chart_date", "row_id"),
     columns: Sequence[str] = ("text",),
-    hot_rows: int = HOT_ROWS,
-    part_rows: int = 100_000,
-    source: DataFrame | None = None,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """One row per admission with the texts of its notes, in order, joined by a space.
-
-    An admission with a large share of all notes would not fit one task, so it comes in several rows: one
-    per day and block of `part_rows` row ids, numbered by `part` in reading order. `part` is 0 for all
-    others, and `is_first_part` is true once per admission. The last column of `order` must be a
-    whole number that is unique. `source` is a table to count the keys in without reading the texts, such as
-    the notes before they were filtered."""
-    hot = hot_keys(notes if source is None else source, list(keys), hot_rows)
-    ordinary, large = _combine(notes, hot, list(keys), list(order), columns, part_rows)
-    return ordinary.unionByName(large)
+    """The texts of an admission's notes, in order, joined by a space, as parts numbered from 1: a note is in
+    part 1 + (bytes of the notes before it) // `part_bytes`. So an admission is one row, with `is_whole`, unless
+    its notes have more bytes than a string or a task can hold. The order must be unique."""
+    ordinary, parts, _ = _combine(notes, list(keys), list(order), columns, part_bytes)
+    return ordinary.unionByName(parts)
 
 
 def latest_notes(
@@ -175,13 +186,13 @@ def latest_notes(
 
 
 def join_notes(stays: DataFrame, combined: DataFrame, columns: Sequence[str] = ("text",)) -> DataFrame:
-    """(subject_id, hadm_id, text, label) and the part number, for stays that have a note."""
+    """(subject_id, hadm_id, text, label, part, is_whole), for stays that have a note."""
     keys = ["hadm_id", "subject_id"]
     return (
         stays.select(*keys, "label")
-        .join(combined.select(*keys, "part", *columns), keys, "left")
+        .join(combined.select(*keys, "part", "is_whole", *columns), keys, "left")
         .filter(F.col(columns[0]).isNotNull())
-        .select("subject_id", "hadm_id", *columns, "label", "part")
+        .select("subject_id", "hadm_id", *columns, "label", "part", "is_whole")
     )
 
 
@@ -191,8 +202,7 @@ def readmission_dataset(
     splits: Sequence[float] = (30.0,),
     columns: Sequence[str] = ("text",),
     order: Sequence[str] = ("chart_date", "row_id"),
-    hot_rows: int = HOT_ROWS,
-    part_rows: int = 100_000,
+    part_bytes: int = PART_BYTES,
     **options,
 ) -> DataFrame:
     """Labelled stays joined to their combined discharge notes.
@@ -200,9 +210,8 @@ def readmission_dataset(
     The texts are shuffled once: the join uses the partitioning by admission they were combined in. The
     parts of large admissions meet their stays by a broadcast of the few stays concerned."""
     keys = ["subject_id", "hadm_id"]
-    labelled = labelled_cohort(stays, splits, hot_rows=hot_rows, **options).select(*keys, "label")
-    hot = hot_keys(notes, keys, hot_rows)
-    ordinary, large = _combine(discharge_notes(notes), hot, keys, list(order), columns, part_rows)
-    few = labelled.join(F.broadcast(hot), keys, "left_semi")
-    parts = large.join(F.broadcast(few), keys).select(*keys, *columns, "label", "part")
-    return join_notes(labelled, ordinary, columns).unionByName(parts)
+    labelled = labelled_cohort(stays, splits, **options).select(*keys, "label")
+    ordinary, parts, large = _combine(discharge_notes(notes), keys, list(order), columns, part_bytes)
+    few = labelled.join(F.broadcast(large), keys, "left_semi")
+    large_rows = parts.join(F.broadcast(few), keys).select(*keys, *columns, "label", "part", "is_whole")
+    return join_notes(labelled, ordinary, columns).unionByName(large_rows)

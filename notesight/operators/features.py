@@ -23,24 +23,19 @@ def term_counts(df: DataFrame, keys: Sequence[str], tokens: Column) -> DataFrame
 
 def corpus_counts(df: DataFrame, column: str, n: int = 1, stem: bool = True) -> DataFrame:
     """(term, n): the n-grams of a text column over all rows, after stemming and stop words."""
-    return block_counts(df, [(column, n)], stem).drop("block")
+    tokens = df.select(remove_stop_words(final_tokens(F.col(column), stem)).alias("tokens"))
+    return gram_counts(tokens, [ngrams(F.col("tokens"), n)]).drop("block")
 
 
-def block_counts(df: DataFrame, blocks: Sequence[tuple[str, int]], stem: bool = True) -> DataFrame:
-    """(block, term, n) for several (column, n-gram length) blocks, from one pass over the texts."""
-    columns = list(dict.fromkeys(column for column, _ in blocks))
-    tokens = df.select(*[remove_stop_words(final_tokens(F.col(name), stem)).alias(name) for name in columns])
+def gram_counts(df: DataFrame, blocks: Sequence[Column]) -> DataFrame:
+    """(block, term, n) for several columns of terms, from one pass over the rows."""
 
-    def grams(number: int, column: str, n: int) -> Column:
+    def grams(number: int, terms: Column) -> Column:
         name = F.lit(number).alias("block")
-        return F.transform(ngrams(F.col(column), n), lambda term: F.struct(name, term.alias("term")))
-
-    every = F.concat(*[grams(i, column, n) for i, (column, n) in enumerate(blocks)])
-    return (
-        tokens.select(F.explode(every).alias("gram"))
-        .groupBy("gram.block", "gram.term")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+        return F.transform(terms, lambda term: F.struct(name, term.alias("term")))
+
+    every = F.concat(*[grams(i, terms) for i, terms in enumerate(blocks)])
+    return df.select(F.explode(every).alias("gram")).groupBy("gram.block", "gram.term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def block_vocabularies(counts: DataFrame, sizes: Sequence[int]) -> DataFrame:

@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from notesight.functions.tokens import ngrams, remove_stop_words, word_tokens
 from notesight.functions.words import REMOVER_STOP_WORDS, SECTION_HEADERS
-from notesight.operators.features import block_counts, block_vocabularies, final_tokens, vocabulary
+from notesight.operators.features import block_vocabularies, final_tokens, gram_counts, vocabulary
 from notesight.operators.terms import correct_spelling, sentence_sentiment, token_counts
 
-PART = "part"
+PART, WHOLE = "part", "is_whole"
 
 
 @dataclass(frozen=True)
@@ -63,13 +63,49 @@ class Featurizer:
 
 
     def _vocabularies(self, df: DataFrame) -> list[tuple[Block, list[str]]]:
-        counts = block_counts(df, [(block.column, block.n) for block in self.blocks], self.stem)
+        grams = [self.grams(block) for block in self.blocks]
+        counts = gram_counts(self.tokens(df), grams)
         # bounded by the sizes of the blocks
         rows = block_vocabularies(counts, [block.size for block in self.blocks]).collect()
         rows.sort(key=lambda row: (row["block"], -row["n"], row["term"]))
         terms = [[row["term"] for row in rows if row["block"] == i] for i in range(len(self.blocks))]
         return [(block, found) for block, found in zip(self.blocks, terms) if found]
 
+    def tokens(self, df: DataFrame) -> DataFrame:
+        """The rows with `tokens_..` in place of the texts, and in `carry_..` the last tokens before a row
+        that goes on from another part of its admission."""
+        tokens = {f"tokens_{name}": remove_stop_words(final_tokens(F.col(name), self.stem)) for name in self.columns}
+        empty = {f"carry_{name}": F.array().cast("array<string>") for name in self.columns}
+        rows = df.withColumns(tokens | empty).drop(*self.columns)
+        context = max((block.n for block in self.blocks), default=1) - 1
+        if PART not in df.columns or context == 0:
+            return rows
+        return rows.filter(WHOLE).unionByName(self._carry(rows.filter(~F.col(WHOLE)), context))
+
+    def _carry(self, parts: DataFrame, context: int) -> DataFrame:
+        """From the last few tokens of each earlier part, a handful of words per part."""
+        keys = [name for name in parts.columns if not name.startswith(("tokens_", "carry_")) and name not in (PART, WHOLE)]
+        earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+        tails = parts.select(*keys, PART, *[last_items(F.col(f"tokens_{name}"), context).alias(name) for name in self.columns])
+        named = [F.col(name).alias(f"of_{name}") for name in [*keys, PART]]
+        carried = tails.select(*named, *[
+            last_items(F.flatten(F.collect_list(name).over(earlier)), context).alias(f"carry_{name}") for name in self.columns
+        ])
+        same = [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in [*keys, PART]]
+        rows = parts.drop(*[f"carry_{name}" for name in self.columns])
+        return rows.join(carried, same).drop(*[f"of_{name}" for name in [*keys, PART]])
+
+    def grams(self, block: Block) -> Column:
+        """The n-grams of a block over the columns of `tokens`."""
+        tokens = F.col(f"tokens_{block.column}")
+        if block.n == 1:
+            return tokens
+        return ngrams(F.concat(last_items(F.col(f"carry_{block.column}"), block.n - 1), tokens), block.n)
+
+
+def last_items(items: Column, count: int) -> Column:
+    return F.when(F.size(items) > count, F.slice(items, -count, count)).otherwise(items)
+
 
 @dataclass
 class FittedFeaturizer:
@@ -93,12 +129,11 @@ class FittedFeaturizer:
         return spark.createDataFrame(list(enumerate(values)), "feature bigint, value string")
 
     def counts(self, df: DataFrame) -> DataFrame:
-        """The rows with the vector `counts`. Admissions that come in parts are put together: their vectors
-        are added, with the last token of a part carried over for the n-grams across the cut."""
+        """The rows with the vector `counts`. The vectors of an admission's parts are added."""
+        counted = self._counts(self.plan.tokens(df))
         if PART not in df.columns:
-            return self._counts(self._tokens(df))
-        whole = self._counts(self._tokens(df.filter(F.col(PART) == 0).drop(PART)))
-        parts = self._counts(self._carry(self._tokens(df.filter(F.col(PART) != 0)))).drop(PART)
+            return counted
+        whole, parts = counted.filter(WHOLE).drop(PART, WHOLE), counted.filter(~F.col(WHOLE)).drop(PART, WHOLE)
         keys = [name for name in whole.columns if name != "counts"]
         added = parts.groupBy(*keys).agg(Summarizer.sum(F.col("counts")).alias("counts"))
         return whole.unionByName(added)
@@ -111,39 +146,10 @@ class FittedFeaturizer:
             return self.idf_model.transform(counted).drop("counts")
         return counted.withColumnRenamed("counts", "features")
 
-    def _tokens(self, df: DataFrame) -> DataFrame:
-        tokens = {
-            f"tokens_{name}": remove_stop_words(final_tokens(F.col(name), self.plan.stem))
-            for name in self.plan.columns
-        }
-        carried = {f"carry_{name}": F.array().cast("array<string>") for name in self.plan.columns}
-        return df.withColumns(tokens | carried).drop(*self.plan.columns)
-
-    def _carry(self, parts: DataFrame) -> DataFrame:
-        context = max((block.n for block in self.plan.blocks), default=1) - 1
-        if context == 0:
-            return parts
-        if context > 1:
-            raise ValueError("admissions in parts support n-grams up to 2")
-        names = self.plan.columns
-        keys = [name for name in parts.columns if not name.startswith(("tokens_", "carry_"))]
-        keys = [name for name in keys if name != PART]
-        earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-        tails = parts.select(*keys, PART, *[F.try_element_at(f"tokens_{name}", F.lit(-1)).alias(name) for name in names])
-        carried = tails.select(
-            *keys,
-            PART,
-            *[F.array_compact(F.array(F.last(name, True).over(earlier))).alias(f"carry_{name}") for name in names],
-        )
-        return parts.drop(*[f"carry_{name}" for name in names]).join(carried, [*keys, PART])
-
     def _counts(self, df: DataFrame) -> DataFrame:
         outputs = []
         for i, (block, terms) in enumerate(self.vocabularies):
-            tokens: Column = F.col(f"tokens_{block.column}")
-            if block.n > 1:
-                tokens = ngrams(F.concat(F.col(f"carry_{block.column}"), tokens), block.n)
-            df = df.withColumn("grams", tokens)
+            df = df.withColumn("grams", self.plan.grams(block))
             model = CountVectorizerModel.from_vocabulary(terms, inputCol="grams", outputCol=f"counts_{i}")
             df = model.transform(df).drop("grams")
             outputs.append(f"counts_{i}")
@@ -157,10 +163,10 @@ class FittedFeaturizer:
         rows = self.word2vec_model.transform(df.withColumn("tokens", tokens).drop("text"))
         if PART not in df.columns:
             return rows.drop("tokens")
-        whole = rows.filter(F.col(PART) == 0).drop("tokens", PART)
+        whole = rows.filter(WHOLE).drop("tokens", PART, WHOLE)
         keys = [name for name in whole.columns if name != "features"]
         mean = Summarizer.mean(F.col("features"), F.size("tokens").cast("double")).alias("features")
-        return whole.unionByName(rows.filter(F.col(PART) != 0).groupBy(*keys).agg(mean))
+        return whole.unionByName(rows.filter(~F.col(WHOLE)).groupBy(*keys).agg(mean))
 
 
 @dataclass(frozen=True)
@@ -208,7 +214,7 @@ class FittedComplexFeaturizer:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Needs the key columns to be unique up to `part`."""
-        keys = [name for name in df.columns if name not in ("text", PART)]
+        keys = [name for name in df.columns if name not in ("text", PART, WHOLE)]
         scores = sentence_sentiment(df, self.plan.lexicon, self.plan.negators, keys)
         sentiment = scores.groupBy(*keys).agg(F.sum("score").alias("sentiment"))
         # only vocabulary terms are gathered: at most `size` distinct ones per row

@@ -93,18 +93,29 @@ def test_combine_and_latest(spark):
 
 def test_large_admissions_come_in_parts(spark):
     notes = cohort.discharge_notes(spark.createDataFrame(NOTES, NOTE))
-    parts = cohort.combine_notes(notes, hot_rows=1).orderBy("hadm_id", "part").collect()
-    assert [(row.hadm_id, row.text, row.is_first_part) for row in parts] == [
-        (100, "one", True), (100, "two", False), (100, "three", False), (400, "only", True),
+    parts = cohort.combine_notes(notes, part_bytes=4).orderBy("hadm_id", "part").collect()
+    assert [(row.hadm_id, row.part, row.text, row.is_whole) for row in parts] == [
+        (100, 1, "one", False), (100, 2, "two", False), (100, 3, "three", False), (400, 1, "only", True),
     ]
-    assert parts[-1].part == 0
+
+
+@pytest.mark.parametrize("part_bytes", [1, 7, 20, 10**6])
+def test_parts_of_old_and_unnumbered_days(spark, part_bytes):
+    """Days around 1970, unknown days, large ids and one note larger than a part: one text in order, however cut."""
+    days = [dt(1970, 1, 1), dt(1969, 12, 31), None, dt(1970, 1, 1), dt(2020, 5, 5), dt(2020, 5, 5)]
+    rows = [(10**14 + i, 10, 10, day, "discharge summary", None, f"w{i} " * (1 + i)) for i, day in enumerate(days)]
+    combined = cohort.combine_notes(spark.createDataFrame(rows, NOTE.replace("row_id int", "row_id bigint")), part_bytes=part_bytes)
+    found = combined.orderBy("part").collect()
+    assert " ".join(row.text for row in found) == " ".join(rows[i][-1] for i in (2, 1, 0, 3, 4, 5))
+    assert [row.part for row in found] == sorted({row.part for row in found}) and found[0].part == 1
+    assert all(row.is_whole == (len(found) == 1) for row in found)
 
 
 def test_dataset_with_large_admissions(spark):
     stays, notes = roles.stays(spark, SF), roles.conversation_notes(spark, SF)
     plain = {row.hadm_id: row for row in cohort.readmission_dataset(stays, notes).collect()}
-    split = cohort.readmission_dataset(stays, notes, hot_rows=4).orderBy("hadm_id", "part").collect()
-    assert len(split) > len(plain) > 5 and any(row.part for row in split)
+    split = cohort.readmission_dataset(stays, notes, part_bytes=2000).orderBy("hadm_id", "part").collect()
+    assert len(split) > len(plain) > 5 and any(row.part > 1 for row in split)
     texts, labels = {}, {}
     for row in split:
         texts.setdefault(row.hadm_id, []).append(row.text)

@@ -53,16 +53,21 @@ def test_unseen_words_are_left_out(spark, rows):
     assert vectors(fitted.transform(unseen)) == {9: [1.0, 0.0]}
 
 
-WHOLE = [(1, 1, 0.0, 0, "red dog bites man"), (2, 2, 1.0, 0, "red dog red cat the end")]
-PARTS = [(1, 1, 0.0, 0, "red dog bites man"), (2, 2, 1.0, 5, "red dog"), (2, 2, 1.0, 6, "the"), (2, 2, 1.0, 7, "red cat the end")]
-
-
-@pytest.mark.parametrize("name", ["bag_of_words", "tf_idf", "ngrams", "word2vec"])
-def test_parts_of_an_admission_give_the_whole_vector(spark, name):
-    schema = "subject_id int, hadm_id int, label double, part bigint, text string"
-    whole, parts = spark.createDataFrame(WHOLE * 6, schema), spark.createDataFrame(PARTS, schema)
-    fitted = featurizer(name).fit(whole)
-    expected, ours = vectors(fitted.transform(whole.distinct())), vectors(fitted.transform(parts))
+WHOLE = [(1, 1, 0.0, 1, True, "red dog bites man"), (2, 2, 1.0, 1, True, "red dog red cat the end")]
+PARTS = [(1, 1, 0.0, 1, True, "red dog bites man"), (2, 2, 1.0, 1, False, "red dog"), (2, 2, 1.0, 2, False, "the"),
+         (2, 2, 1.0, 3, False, "red cat the end")]
+
+
+@pytest.mark.parametrize("name", ["bag_of_words", "tf_idf", "ngrams", "trigrams", "word2vec"])
+@pytest.mark.parametrize("fit_on_parts", [False, True])
+def test_parts_of_an_admission_give_the_whole_vector(spark, name, fit_on_parts):
+    schema = "subject_id int, hadm_id int, label double, part bigint, is_whole boolean, text string"
+    times = [1] if name != "word2vec" else range(6)
+    whole, parts = (spark.createDataFrame([(10 * i + r[0], *r[1:]) for i in times for r in rows], schema) for rows in (WHOLE, PARTS))
+    plan = Featurizer("trigrams", tuple(Block("text", n, 100) for n in (1, 2, 3))) if name == "trigrams" else featurizer(name)
+    fitted = plan.fit(parts if fit_on_parts and name != "word2vec" else whole)
+    assert fitted.vocabularies == plan.fit(whole).vocabularies
+    expected, ours = vectors(fitted.transform(whole)), vectors(fitted.transform(parts))
     assert expected.keys() == ours.keys()
     for key in expected:
         assert ours[key] == pytest.approx(expected[key], abs=1e-6)
