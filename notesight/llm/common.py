@@ -98,7 +98,7 @@ class Chunks(dict):
     ids of its own (None), and its text is encoded whole. The memory is bounded: once `most` chunks are
     kept, further ones are encoded anew each time."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         super().__init__()

@@ -58,7 +58,7 @@ def _word(word: bytes) -> int:
     found = _WORDS.get(word)
     if found is None:
         found = xxhash.xxh3_64_intdigest(word)
-        if len(_WORDS) < 1_000_000:
+        if len(_WORDS) < 200_000:
             _WORDS[word] = found
     return found
 
