@@ -143,24 +143,38 @@ def discharge_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "term_match",
-    # the terms are runs of letters, so an occurrence lies within one run of letters of the text
+    # the terms are runs of letters, so an occurrence lies within one run of letters, and distinct runs are looked at once
     f"""WITH {DICTIONARY}, numbered AS (
-  SELECT doc_id, runs, unnest(range(1, len(runs) + 1)) AS place FROM (
-    SELECT doc_id, regexp_extract_all(text, '[a-z]+') AS runs FROM documents)
+  SELECT doc_id, runs[place] AS run, place FROM (SELECT doc_id, runs, unnest(range(1, len(runs) + 1)) AS place FROM (
+    SELECT doc_id, regexp_extract_all(text, '[a-z]+') AS runs FROM documents))
 ), starts AS (
-  SELECT doc_id, place, runs[place] AS run, unnest(range(1, length(runs[place]) + 1)) AS start FROM numbered
-), hits AS (
-  SELECT doc_id, place, start + size - 1 AS finish, size, d.term FROM starts,
-    (SELECT DISTINCT length(term) AS size FROM dictionary) JOIN dictionary d ON d.term = substr(run, start, size)
-  WHERE start + size - 1 <= length(run)
-)
+  SELECT run, unnest(range(1, length(run) + 1)) AS start FROM (SELECT DISTINCT run FROM numbered)
+), pieces AS (
+  SELECT run, start + size - 1 AS finish, size, substr(run, start, size) AS term
+  FROM starts CROSS JOIN (SELECT DISTINCT length(term) AS size FROM dictionary) WHERE start + size - 1 <= length(run)
+), inside AS (SELECT run, finish, size, term FROM pieces JOIN dictionary USING (term))
 SELECT doc_id, coalesce(terms, '') AS terms FROM documents LEFT JOIN (
-  SELECT doc_id, string_agg(term, ' ' ORDER BY place, finish, size DESC) AS terms FROM hits GROUP BY doc_id) USING (doc_id)""",
+  SELECT doc_id, string_agg(term, ' ' ORDER BY place, finish, size DESC) AS terms FROM numbered JOIN inside USING (run)
+  GROUP BY doc_id) USING (doc_id)""",
 )
 def term_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.match_terms(documents(spark, sf_dir), dictionary(spark, sf_dir), ["doc_id"])
 
 
+@query(
+    "term_match_words",
+    f"""WITH {DICTIONARY}, numbered AS (
+  SELECT doc_id, runs, unnest(range(1, len(runs) + 1)) AS place FROM (
+    SELECT doc_id, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+') AS runs FROM documents)
+)
+SELECT doc_id, coalesce(terms, '') AS terms FROM documents LEFT JOIN (
+  SELECT doc_id, string_agg(term, ' ' ORDER BY place) AS terms FROM numbered JOIN dictionary ON term = runs[place]
+  GROUP BY doc_id) USING (doc_id)""",
+)
+def term_match_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return terms.match_terms(documents(spark, sf_dir), dictionary(spark, sf_dir), ["doc_id"], whole_words=True)
+
+
 @query(
     "dictionary_words",
     rf"""WITH {DICTIONARY} SELECT doc_id,

@@ -4,9 +4,8 @@ A word list is a DataFrame. Lists up to a checked size go to the executors whole
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from notesight.functions.tokens import sentences, word_tokens
@@ -15,9 +14,10 @@ MAX_BROADCAST_TERMS = 200_000
 MAX_BROADCAST_CHARS = 20_000_000
 
 
-def _fits(terms: DataFrame, limit: int) -> bool:
-    size = terms.agg(F.count("term").alias("terms"), F.sum(F.length("term")).alias("chars")).first()
-    return size["terms"] <= limit and (size["chars"] or 0) <= MAX_BROADCAST_CHARS
+#: Characters of a text that are looked at together; a text is cut into pieces of this size with overlaps.
+PIECE = 256
+#: First letters by which terms and places meet.
+PREFIX = 4
 
 
 def match_terms(
@@ -28,88 +28,53 @@ def match_terms(
     whole_words: bool = False,
     max_broadcast: int = MAX_BROADCAST_TERMS,
 ) -> DataFrame:
-    """(keys, terms): every occurrence of every term in the text, overlaps and substrings included, by end
-    position and at one end the longest first, joined by a space. `whole_words` keeps only occurrences
-    with no letter or digit next to them."""
+    """(keys, terms), a row for each row of `df`: every occurrence of every term in the text, overlaps and
+    substrings included, by end position and at one end the longest first, joined by a space. `whole_words`
+    keeps only occurrences with no letter or digit next to them.
+
+    A text is cut into overlapping pieces, so that the work grows with its length; the first letters of each
+    place are joined to those of the terms, and the rest is compared there. A list whose size has been
+    checked is broadcast, a larger one joined by a shuffle, with the same result. Occurrences
+    are gathered per row where the row is, so that what is shuffled has one row for each."""
     listed = terms.select("term").filter("term != ''").distinct()
-    if _fits(listed, max_broadcast):
-        try:
-            import ahocorasick  # noqa: F401
-        except ImportError:
-            pass
-        else:
-            return _match_by_automaton(df, listed, keys, text, whole_words)
-    return match_by_join(df, listed, keys, text, whole_words)
-
-
-def _match_by_automaton(
-    df: DataFrame, listed: DataFrame, keys: Sequence[str], text: str, whole_words: bool
-) -> DataFrame:
-    # bounded: match_terms has checked the size of the list
-    shipped = df.sparkSession.sparkContext.broadcast({"terms": [row.term for row in listed.collect()]})
-
-    @F.pandas_udf("string")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        kept = shipped.value  # one object per worker process, so the automaton is built once in each
-        if "automaton" not in kept:
-            built = ahocorasick.Automaton()
-            for term in kept["terms"]:
-                built.add_word(term, term)
-            if len(built):
-                built.make_automaton()
-            kept["automaton"] = built
-        automaton = kept["automaton"]
-
-        def free(value: str, before: int, after: int) -> bool:
-            left = before >= 0 and value[before].isalnum()
-            return not left and not (after < len(value) and value[after].isalnum())
-
-        def terms_of(value: str | None) -> str:
-            if not value or not len(automaton):
-                return ""
-            hits = automaton.iter(value)
-            if whole_words:
-                hits = ((end, term) for end, term in hits if free(value, end - len(term), end + 1))
-            return " ".join(term for _, term in hits)
-
-        for batch in batches:
-            yield batch.map(terms_of)
-
-    return df.select(*keys, found(F.col(text)).alias("terms"))
-
-
-def match_by_join(
-    df: DataFrame, listed: DataFrame, keys: Sequence[str], text: str = "text", whole_words: bool = False
-) -> DataFrame:
-    """The same for word lists of any size: every substring with the length of a term is joined to the
-    list. The join is on the substring, so neither side need fit in memory."""
-    lengths = listed.agg(F.array_sort(F.collect_set(F.length("term")))).scalar()
-    source = df.select(*keys, F.coalesce(text, F.lit("")).alias("source_text"))
-    starts = source.select(
-        "*", F.explode(F.sequence(F.lit(1), F.greatest(F.length("source_text"), F.lit(1)))).alias("start")
+    size = listed.agg(
+        F.count("term").alias("terms"), F.sum(F.length("term")).alias("chars"),
+        F.max(F.length("term")).alias("longest"), F.collect_set(F.least(F.length("term"), F.lit(PREFIX))).alias("widths"),
+    ).first()
+    if not size["terms"]:
+        return df.select(*keys, F.lit("").alias("terms"))
+    lookup = listed.select(
+        F.col("term").alias("found_term"), F.substring("term", 1, PREFIX).alias("first_letters"), F.length("term").alias("size")
     )
-    pieces = (
-        starts.select("*", F.explode(lengths).alias("size"))
-        .filter(F.col("start") + F.col("size") - 1 <= F.length("source_text"))
-        .select(
-            *keys,
-            (F.col("start") + F.col("size") - 1).alias("end"),
-            "size",
-            F.substring(F.col("source_text"), F.col("start"), F.col("size")).alias("term"),
-            F.substring(F.col("source_text"), F.col("start") - 1, F.when(F.col("start") > 1, 1).otherwise(0)).alias("left"),
-            F.substring(F.col("source_text"), F.col("start") + F.col("size"), F.lit(1)).alias("right"),
-        )
+    if size["terms"] <= max_broadcast and size["chars"] <= MAX_BROADCAST_CHARS:
+        lookup = F.broadcast(lookup)
+
+    # a character more on the left, so that each place sees its neighbours
+    padded = F.concat(F.lit(" "), F.coalesce(text, F.lit("")))
+    starts = F.sequence(F.lit(0), F.greatest(F.length(padded) - 2, F.lit(0)), F.lit(PIECE))
+    cut = F.transform(starts, lambda start: F.substr(padded, start + 1, F.lit(PIECE + size["longest"] + 1)))
+    rows = df.withColumn("row", F.monotonically_increasing_id())  # before the pieces, so that they share it
+    pieces = rows.select(*keys, "row", F.posexplode(cut).alias("piece_no", "piece"))
+    places = pieces.select(
+        "*", F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.length("piece") - 1, F.lit(PIECE)), F.lit(1)))).alias("place")
     )
+    # short terms are met by their whole length, others by their first letters
+    widths = F.array(*[F.lit(width) for width in sorted(size["widths"])])
+    places = places.select("*", F.explode(widths).alias("width")).withColumn(
+        "first", F.substr("piece", F.col("place") + 1, F.col("width"))
+    ).filter((F.length("first") == F.col("width")) | ((F.col("piece_no") == 0) & (F.col("place") == 1)))
+    same = (F.col("first") == F.col("first_letters")) & (F.col("width") == F.least(F.col("size"), F.lit(PREFIX))) & (F.substr("piece", F.col("place") + 1, F.col("size")) == F.col("found_term"))
     if whole_words:
-        letter = r"[\p{L}\p{N}]"
-        pieces = pieces.filter(~F.col("left").rlike(letter) & ~F.col("right").rlike(letter))
-    hits = pieces.select(*keys, "end", "size", "term").join(listed.select("term"), "term")
-    order = F.array_sort(F.collect_list(F.struct("end", (-F.col("size")).alias("shorter"), "term")))
-    joined = F.array_join(F.transform(order, lambda hit: hit["term"]), " ")
-    matched = hits.groupBy(*keys).agg(joined.alias("terms"))
-    return source.select(*keys).join(matched, list(keys), "left").withColumn("terms", F.coalesce("terms", F.lit("")))
+        letter = r"^[\p{L}\p{N}]"
+        same = same & ~F.substr("piece", F.col("place"), F.lit(1)).rlike(letter)
+        same = same & ~F.substr("piece", F.col("place") + F.col("size") + 1, F.lit(1)).rlike(letter)
+    hits = places.join(lookup, same, "left")
+    end = F.col("piece_no") * PIECE + F.col("place") + F.col("size")
+    hit = F.when(F.col("found_term").isNotNull(), F.struct(end.alias("end"), (-F.col("size")).alias("shorter"), F.col("found_term").alias("term")))
+    # every row keeps one place, so that rows without an occurrence stay
+    some = hits.filter(F.col("found_term").isNotNull() | ((F.col("piece_no") == 0) & (F.col("place") == 1)))
+    ordered = F.array_sort(F.collect_list(hit))
+    return some.groupBy("row", *keys).agg(F.array_join(F.transform(ordered, lambda h: h["term"]), " ").alias("terms")).drop("row")
 
 
 def dictionary_words(df: DataFrame, terms: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
@@ -200,15 +165,16 @@ def sentence_sentiment(
     """(keys, sentence_no, score): the sum of the polarities of a sentence's words in the lexicon (term,
     polarity); the word right after a negator counts reversed. Sentences without such words score 0."""
     tokens = word_tokens(F.col("sentence"))
-    words = (
-        sentence_rows(df, keys, text)
-        .select(*keys, "sentence_no", tokens.alias("tokens"))
-        .select(*keys, "sentence_no", "tokens", F.posexplode_outer("tokens").alias("place", "term"))
-        .withColumn("after", F.when(F.col("place") > 0, F.get("tokens", F.col("place") - 1)))
-        .drop("tokens", "place")
+    # each word with the one before it; nothing else of the sentence rides along
+    pairs = F.zip_with(tokens, F.concat(F.array(F.lit("")), tokens), lambda word, before: F.struct(word.alias("term"), before.alias("after")))
+    words = sentence_rows(df, keys, text).select(*keys, "sentence_no", F.explode_outer(pairs).alias("pair")).select(
+        *keys, "sentence_no", "pair.term", "pair.after"
     )
+    listed = lexicon.groupBy("term").agg(F.sum("polarity").alias("polarity"))
+    size = listed.agg(F.count("term").alias("terms"), F.sum(F.length("term")).alias("chars")).first()
+    if size["terms"] <= MAX_BROADCAST_TERMS and (size["chars"] or 0) <= MAX_BROADCAST_CHARS:
+        listed = F.broadcast(listed)  # words are scored where they are; only sums per sentence are shuffled
     sign = F.when(F.col("after").isin(list(negators)), F.lit(-1)).otherwise(F.lit(1))
-    scored = words.join(lexicon.select("term", "polarity"), "term", "left")
-    return scored.groupBy(*keys, "sentence_no").agg(
+    return words.join(listed, "term", "left").groupBy(*keys, "sentence_no").agg(
         F.coalesce(F.sum(F.col("polarity") * sign), F.lit(0)).cast("double").alias("score")
     )

@@ -18,7 +18,7 @@ def matched(df, listed, **options):
     return [row.terms for row in terms.match_terms(df, listed, ["id"], **options).orderBy("id").collect()]
 
 
-@pytest.mark.parametrize("limit", [0, 1000])  # joined, or by automaton
+@pytest.mark.parametrize("limit", [0, 1000])  # joined by a shuffle, or by a broadcast
 def test_overlapping_terms(spark, limit):
     listed = word_list(spark, "he", "she", "her", "hers")
     df = table(spark, "ushers", "", None, "xyz", "he")
@@ -33,6 +33,19 @@ def test_whole_words_and_edges(spark, limit):
     assert matched(df, word_list(spark).limit(0), max_broadcast=limit) == ["", ""]
 
 
+def test_terms_across_pieces_and_repeated_keys(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abé ", k=n)) for n in (0, 1, 255, 256, 257, 258, 511, 1500)]
+    listed = ["a", "ab", "bé a", "".join(texts[-1][250:262]), texts[-1][100:500]]
+    rows = [(i // 2, text) for i, text in enumerate(texts)]
+    found = terms.match_terms(spark.createDataFrame(rows, "id int, text string"), word_list(spark, *listed, "ab"), ["id"])
+    expected = []
+    for key, text in rows:
+        hits = sorted((i + len(t), -len(t), t) for t in set(listed) for i in range(len(text)) if text.startswith(t, i))
+        expected.append((key, " ".join(t for _, _, t in hits)))
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
 def test_dictionary_words(spark):
     df = table(spark, "b a b c", "z", None)
     found = terms.dictionary_words(df, word_list(spark, "a", "b"), ["id"]).orderBy("id")
