@@ -5,7 +5,6 @@ from collections import Counter
 
 import corpus
 import numpy as np
-import pytest
 
 from notesight.llm import boosting, decision_list
 from notesight.llm.queries import QUERIES
