@@ -67,3 +67,17 @@ def test_split_vector(spark, data):
     wide = split_vector(data[0], "features")
     assert wide.columns == [*KEYS, "label", "features_0", "features_1", "features_2"]
     assert split_vector(data[0].limit(0), "features", 3).count() == 0
+
+
+@pytest.mark.parametrize("name", ["lr", "rf", "mlp", "lr_cv", "lr_bagged"])
+def test_three_classes(spark, data, name):
+    from notesight.operators.metrics import metrics_report
+
+    train, test = (df.withColumn("label", (F.col("hadm_id") % 3).cast("double")) for df in data)
+    fitted = learner(name, **OPTIONS.get(name, {}))
+    importance = fitted.train(train)
+    assert importance.count() == (0 if name == "mlp" else 3)
+    predicted = fitted.predict(test)
+    assert predicted.columns[-3:] == ["probability_0", "probability_1", "probability_2"]
+    assert predicted.filter("abs(probability_0 + probability_1 + probability_2 - 1) > 1e-6").count() == 0
+    assert {r.label for r in metrics_report(predicted).filter("metric = 'auroc'").collect()} == {0.0, 1.0, 2.0}

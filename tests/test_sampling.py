@@ -51,3 +51,20 @@ def test_bags_draw_about_the_wanted_rows_and_differ(spark):
         assert r.n == pytest.approx(400 if r.label == 1 else 1000, rel=0.2)
     ids = [frozenset(r.id for r in drawn.filter(f"bag = {b} and label = 0").collect()) for b in (1, 2)]
     assert len(ids[0] & ids[1]) < 0.5 * len(ids[0])
+
+
+def test_bags_of_one_positive_row(spark):
+    """Means of 400 copies and of a billionth of one."""
+    drawn = sampling.bags(rows(spark, 1, 3000), ["id"], positives=400, others=1000, count=20)
+    copies = [r.copies for r in drawn.filter("label = 1").collect()]
+    assert len(copies) == 20 and 300 < min(copies) < max(copies) < 500 and sum(copies) / 20 == pytest.approx(400, rel=0.05)
+
+
+@pytest.mark.parametrize("mean", [0.0, 1e-11, 0.5, 30.0, 400.0, 5000.0])
+def test_poisson_quantiles(spark, mean):
+    from notesight.functions.hashing import poisson_copies
+
+    fractions = [0.0, 0.5, 1 - 1e-10, 1 - 2.0**-52]
+    got = [r[0] for r in spark.createDataFrame([(f,) for f in fractions], "f double").select(poisson_copies(F.col("f"), mean)).collect()]
+    assert got == sorted(got) and got[1] == pytest.approx(mean, abs=1 + mean**0.5 / 10) and got[-1] < mean + 9 * mean**0.5 + 20
+    assert mean == 0 or got[-1] > 0
