@@ -4,7 +4,9 @@ A word list is a DataFrame. Lists up to a checked size go to the executors whole
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,11 +15,57 @@ from notesight.functions.tokens import sentences, word_tokens
 MAX_BROADCAST_TERMS = 200_000
 MAX_BROADCAST_CHARS = 20_000_000
 
-
-#: Characters of a text that are looked at together; a text is cut into pieces of this size with overlaps.
+#: Characters of a word list, and of its longest term, up to which it is compiled into one pattern.
+MAX_PATTERN_CHARS = 1_000_000
+MAX_PATTERN_TERM = 256
+#: Characters of a text that are looked at together by the join; a text is cut into pieces of this size with overlaps.
 PIECE = 256
 #: First letters by which terms and places meet.
 PREFIX = 4
+#: Between the terms found, before they are joined by spaces; a list with this character is joined.
+BREAK = "\x01"
+LETTER = r"[\p{L}\p{N}]"
+
+
+def _alternatives(words: list[str]) -> str:
+    """A pattern of sorted words, none the beginning of another, that tries each letter once."""
+    if len(words) == 1:
+        return _literal(words[0])
+    common = os.path.commonprefix([words[0], words[-1]])
+    groups = groupby((word[len(common) :] for word in words), lambda rest: rest[0])
+    return _literal(common) + "(?:" + "|".join(_alternatives(list(group)) for _, group in groups) + ")"
+
+
+def _literal(text: str) -> str:
+    return "".join(c if c.isalnum() or ord(c) > 127 else "\\" + c for c in text)
+
+
+def terms_in(text: Column, terms: Sequence[str], whole_words: bool = False) -> Column:
+    """All occurrences of the terms, as `match_terms` gives them, in one pass over the text and without a shuffle.
+
+    The text is read backwards. Of the terms that end at one place each is the beginning of the next longer one
+    when read so; a term's level is the number of such beginnings. At each place one pattern takes the
+    term of every level, shortest first, and turning the result round gives the order asked for."""
+    levels: list[list[str]] = []
+    inside: list[str] = []
+    for word in sorted({term[::-1] for term in terms if term}):
+        while inside and not word.startswith(inside[-1]):
+            inside.pop()
+        if len(inside) == len(levels):
+            levels.append([])
+        levels[len(inside)].append(word)
+        inside.append(word)
+    if not levels:
+        return F.lit("")
+    edge, begin = (f"(?!{LETTER})", f"(?<!{LETTER})") if whole_words else ("", "")
+    # without edges there is no level unless there is the first one
+    skip = ["|" if whole_words or number else "" for number in range(len(levels))]
+    taken = "".join(f"(?=({_alternatives(level)}){edge}{none})" for level, none in zip(levels, skip))
+    found = F.regexp_replace(
+        F.reverse(F.coalesce(text, F.lit(""))), F.lit(f"(?s)(?:{begin}{taken})?."),
+        F.lit("".join(f"${level}{BREAK}" for level in range(1, len(levels) + 1))),
+    )
+    return F.regexp_replace(F.btrim(F.reverse(found), F.lit(BREAK)), BREAK + "+", " ")
 
 
 def match_terms(
@@ -26,33 +74,33 @@ def match_terms(
     keys: Sequence[str],
     text: str = "text",
     whole_words: bool = False,
-    max_broadcast: int = MAX_BROADCAST_TERMS,
+    max_pattern: int = MAX_PATTERN_CHARS,
 ) -> DataFrame:
     """(keys, terms), a row for each row of `df`: every occurrence of every term in the text, overlaps and
     substrings included, by end position and at one end the longest first, joined by a space. `whole_words`
     keeps only occurrences with no letter or digit next to them.
 
-    A text is cut into overlapping pieces, so that the work grows with its length; the first letters of each
-    place are joined to those of the terms, and the rest is compared there. A list whose size has been
-    checked is broadcast, a larger one joined by a shuffle, with the same result. Occurrences
-    are gathered per row where the row is, so that what is shuffled has one row for each."""
+    A list whose size has been checked becomes a pattern. A larger one is joined, with the same result: a text is cut
+    into overlapping pieces, so that the work grows with its length; the first letters of each place are joined to those
+    of the terms, and the rest is compared there. Occurrences are gathered per row where the row is, so that
+    what is shuffled has one row for each."""
     listed = terms.select("term").filter("term != ''").distinct()
     size = listed.agg(
-        F.count("term").alias("terms"), F.sum(F.length("term")).alias("chars"),
-        F.max(F.length("term")).alias("longest"), F.collect_set(F.least(F.length("term"), F.lit(PREFIX))).alias("widths"),
+        F.count("term").alias("terms"), F.sum(F.length("term")).alias("chars"), F.max(F.length("term")).alias("longest"),
+        F.collect_set(F.least(F.length("term"), F.lit(PREFIX))).alias("widths"), F.max(F.contains("term", F.lit(BREAK))).alias("breaks"),
     ).first()
     if not size["terms"]:
         return df.select(*keys, F.lit("").alias("terms"))
+    if size["chars"] <= max_pattern and size["longest"] <= MAX_PATTERN_TERM and not size["breaks"]:
+        words = [row["term"] for row in listed.collect()]
+        return df.select(*keys, terms_in(F.col(text), words, whole_words).alias("terms"))
     lookup = listed.select(
         F.col("term").alias("found_term"), F.substring("term", 1, PREFIX).alias("first_letters"), F.length("term").alias("size")
     )
-    if size["terms"] <= max_broadcast and size["chars"] <= MAX_BROADCAST_CHARS:
-        lookup = F.broadcast(lookup)
 
     # a character more on the left, so that each place sees its neighbours
     padded = F.concat(F.lit(" "), F.coalesce(text, F.lit("")))
-    starts = F.sequence(F.lit(0), F.greatest(F.length(padded) - 2, F.lit(0)), F.lit(PIECE))
-    cut = F.transform(starts, lambda start: F.substr(padded, start + 1, F.lit(PIECE + size["longest"] + 1)))
+    cut = F.regexp_extract_all(padded, F.lit(rf"(?s)(?=(.{{1,{PIECE + size['longest'] + 1}}})).{{1,{PIECE}}}"), F.lit(1))
     rows = df.withColumn("row", F.monotonically_increasing_id())  # before the pieces, so that they share it
     pieces = rows.select(*keys, "row", F.posexplode(cut).alias("piece_no", "piece"))
     places = pieces.select(
@@ -63,9 +111,10 @@ def match_terms(
     places = places.select("*", F.explode(widths).alias("width")).withColumn(
         "first", F.substr("piece", F.col("place") + 1, F.col("width"))
     ).filter((F.length("first") == F.col("width")) | ((F.col("piece_no") == 0) & (F.col("place") == 1)))
-    same = (F.col("first") == F.col("first_letters")) & (F.col("width") == F.least(F.col("size"), F.lit(PREFIX))) & (F.substr("piece", F.col("place") + 1, F.col("size")) == F.col("found_term"))
+    same = (F.col("first") == F.col("first_letters")) & (F.col("width") == F.least(F.col("size"), F.lit(PREFIX)))
+    same = same & (F.substr("piece", F.col("place") + 1, F.col("size")) == F.col("found_term"))
     if whole_words:
-        letter = r"^[\p{L}\p{N}]"
+        letter = "^" + LETTER
         same = same & ~F.substr("piece", F.col("place"), F.lit(1)).rlike(letter)
         same = same & ~F.substr("piece", F.col("place") + F.col("size") + 1, F.lit(1)).rlike(letter)
     hits = places.join(lookup, same, "left")

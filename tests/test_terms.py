@@ -18,27 +18,28 @@ def matched(df, listed, **options):
     return [row.terms for row in terms.match_terms(df, listed, ["id"], **options).orderBy("id").collect()]
 
 
-@pytest.mark.parametrize("limit", [0, 1000])  # joined by a shuffle, or by a broadcast
+@pytest.mark.parametrize("limit", [0, 1000])  # joined, or made a pattern
 def test_overlapping_terms(spark, limit):
     listed = word_list(spark, "he", "she", "her", "hers")
     df = table(spark, "ushers", "", None, "xyz", "he")
-    assert matched(df, listed, max_broadcast=limit) == ["she he her hers", "", "", "", "he"]
+    assert matched(df, listed, max_pattern=limit) == ["she he her hers", "", "", "", "he"]
 
 
 @pytest.mark.parametrize("limit", [0, 1000])
 def test_whole_words_and_edges(spark, limit):
     df = table(spark, "he is here, the he", "aaa")
-    assert matched(df, word_list(spark, "he", "aaaa"), whole_words=True, max_broadcast=limit) == ["he he", ""]
-    assert matched(df, word_list(spark, "aa"), max_broadcast=limit) == ["", "aa aa"]
-    assert matched(df, word_list(spark).limit(0), max_broadcast=limit) == ["", ""]
+    assert matched(df, word_list(spark, "he", "aaaa"), whole_words=True, max_pattern=limit) == ["he he", ""]
+    assert matched(df, word_list(spark, "aa"), max_pattern=limit) == ["", "aa aa"]
+    assert matched(df, word_list(spark).limit(0), max_pattern=limit) == ["", ""]
 
 
-def test_terms_across_pieces_and_repeated_keys(spark):
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_terms_across_pieces_and_repeated_keys(spark, limit):
     rng = random.Random(4)
     texts = ["".join(rng.choices("abé ", k=n)) for n in (0, 1, 255, 256, 257, 258, 511, 1500)]
     listed = ["a", "ab", "bé a", "".join(texts[-1][250:262]), texts[-1][100:500]]
     rows = [(i // 2, text) for i, text in enumerate(texts)]
-    found = terms.match_terms(spark.createDataFrame(rows, "id int, text string"), word_list(spark, *listed, "ab"), ["id"])
+    found = terms.match_terms(spark.createDataFrame(rows, "id int, text string"), word_list(spark, *listed, "ab"), ["id"], max_pattern=limit)
     expected = []
     for key, text in rows:
         hits = sorted((i + len(t), -len(t), t) for t in set(listed) for i in range(len(text)) if text.startswith(t, i))
@@ -46,6 +47,23 @@ def test_terms_across_pieces_and_repeated_keys(spark):
     assert sorted(map(tuple, found.collect())) == sorted(expected)
 
 
+@pytest.mark.parametrize("whole", [False, True])
+def test_odd_terms_alike_by_pattern_and_join(spark, whole):
+    rng = random.Random(5)
+    letters = "ab.$\\(|[ \n\u00e9\U0001f600-1"
+    texts = ["".join(rng.choices(letters, k=n)) for n in (0, 1, 2, 40, 300, 900)]
+    listed = {"".join(rng.choices(letters, k=rng.randint(1, 4))) for _ in range(60)}
+    df = table(spark, *texts)
+    expected = []
+    for text in texts:
+        hits = [(i + len(t), -len(t), t) for t in listed for i in range(len(text)) if text.startswith(t, i)]
+        near = lambda at: 0 <= at < len(text) and text[at].isalnum()
+        expected.append(" ".join(t for end, size, t in sorted(hits) if not whole or not (near(end) or near(end + size - 1))))
+    for limit in (0, 10_000):
+        assert matched(df, word_list(spark, *listed), whole_words=whole, max_pattern=limit) == expected
+    assert matched(table(spark, "xa\x01b"), word_list(spark, "a\x01b", "b")) == ["a\x01b b"]
+
+
 def test_dictionary_words(spark):
     df = table(spark, "b a b c", "z", None)
     found = terms.dictionary_words(df, word_list(spark, "a", "b"), ["id"]).orderBy("id")
