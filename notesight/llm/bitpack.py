@@ -228,5 +228,6 @@ def read(files: DataFrame, with_ids: bool = True) -> DataFrame:
         return pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(arrays)])
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    # a file a task: the manifest is small, and its rows stand for much work
-    return files.select("folder", "path", "start").repartition(F.col("path")).mapInArrow(documents, schema)
+    # a file a task: the manifest is small, and its rows stand for much work. Only a stated number of
+    # partitions is left as it is by adaptive execution, which would else merge such small rows into one task
+    return files.select("folder", "path", "start").repartition(max(1, files.count())).mapInArrow(documents, schema)
