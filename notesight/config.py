@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ class JobConfig:
     cleaner: str | None = "notes"
     featurizer: str = "bag_of_words"
     learner: str = "lr"
+    csv_copies: bool = False  # also write the combined table, vectors and predictions as CSV, for people
 
 
 def local_session(app: str = "notesight", cpus: str | None = None, memory: str = "8g") -> SparkSession:
@@ -42,13 +44,13 @@ def local_session(app: str = "notesight", cpus: str | None = None, memory: str =
 def stage(df: DataFrame) -> DataFrame:
     """Cut the lineage of `df` by a reliable checkpoint, so that iterative fits do not redo the text work
     and a lost executor does not lose it. The folder is the one the cluster names in
-    `spark.checkpoint.dir`; only a local session falls back to a folder of its own."""
+    `spark.checkpoint.dir`; only a session of one process falls back to a folder of its own."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="notesight-checkpoint-")
         context.setCheckpointDir(folder)

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from notesight.functions import words
 from notesight.functions.cleaning import drop_commas, flatten_lines, unix_lines
-from notesight.operators.cleaning import add_sections, clean
+from notesight.operators.cleaning import add_sections, clean, prepare_notes
 from notesight.operators.sampling import hash_sample, random_sample
-from notesight.operators.terms import match_terms
-from notesight.sources.tables import is_finished
+from notesight.operators.terms import dictionary_words, match_terms
+from notesight.sources.tables import is_finished, path_exists
 
 # The column names and types of the input files.
 PATIENT_SCHEMA = (
@@ -71,16 +71,13 @@ def load(spark: SparkSession, data_dir: str, flatten: bool = True) -> tuple[Data
 
 def convert_to_parquet(spark: SparkSession, data_dir: str) -> None:
     """A CSV file with line breaks inside fields cannot be split, so one task reads it. Do that once."""
-    notes = _read_csv(spark, data_dir, "NOTEEVENTS", NOTE_SCHEMA, multiLine=True, escape='"')
-    for name, table in (
-        ("PATIENTS", load_patients(spark, data_dir)),
-        ("ADMISSIONS", load_admissions(spark, data_dir)),
-        ("NOTEEVENTS", notes),
-    ):
+    tables = {"PATIENTS": PATIENT_SCHEMA, "ADMISSIONS": ADMISSION_SCHEMA, "NOTEEVENTS": NOTE_SCHEMA}
+    for name, schema in tables.items():
         # a conversion that broke off has no success marker, is not read, and is done again
         path = os.path.join(data_dir, f"{name}.parquet")
-        if not is_finished(spark, path):
-            table.write.mode("overwrite").parquet(path)
+        if not is_finished(spark, path) and path_exists(spark, os.path.join(data_dir, f"{name}.csv")):
+            options = {"multiLine": True, "escape": '"'} if name == "NOTEEVENTS" else {}
+            _read_csv(spark, data_dir, name, schema, **options).write.mode("overwrite").parquet(path)
 
 
 def load_raw_notes(spark: SparkSession, path: str) -> DataFrame:
@@ -118,6 +115,15 @@ def export_plain_text(notes: DataFrame, path: str) -> None:
     export_text(clean(notes, ["text"], "plain"), path)
 
 
+def export_clean_notes(notes: DataFrame, path: str, cleaner: str = "notes", terms: DataFrame | None = None) -> None:
+    """Raw notes with their sections, all cleaned; with a word list, the text is its words that the list knows."""
+    ready = prepare_notes(notes, cleaner)
+    if terms is not None:
+        others = [name for name in ready.columns if name != "text"]
+        ready = dictionary_words(ready, terms, others).withColumnRenamed("words", "text")
+    export_text(ready, path)
+
+
 def export_terms(notes: DataFrame, terms: DataFrame, path: str) -> None:
     """Notes reduced to the dictionary terms found in them."""
     others = [name for name in notes.columns if name != "text"]

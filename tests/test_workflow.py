@@ -127,3 +127,48 @@ def test_run_and_resume(spark, inputs, tmp_path, featurizer, learner):
     assert all(tables.is_finished(spark, str(tmp_path / name)) for name in names)
     tables.save_vectors_csv(spark.read.parquet(str(tmp_path / "test.parquet")), "features", "test.csv", str(tmp_path), 5)
     assert "features_4" in spark.read.option("header", True).csv(str(tmp_path / "test.csv")).columns
+
+
+def test_other_settings_are_not_resumed(spark, tmp_path):
+    from dataclasses import replace
+
+    config = JobConfig(str(tmp_path), str(tmp_path / "models"))
+    one = spark.range(1)
+    for name, names in ((workflow.COMBINED, workflow.COMBINED_SETTINGS), (workflow.TRAIN, workflow.TRAIN_SETTINGS)):
+        with workflow._recorded(spark, config, str(tmp_path / name), names):
+            tables.save_table(one, name, str(tmp_path))
+    tables.save_table(one, workflow.TEST, str(tmp_path))
+    assert workflow.next_stage(spark, config) == "train"
+    assert workflow.next_stage(spark, replace(config, validation_ratio=0.1)) == "preprocess"
+    assert workflow.next_stage(spark, replace(config, featurizer="tf_idf")) == "preprocess"
+    assert workflow.next_stage(spark, replace(config, featurizer="section_bow")) == "clean"
+    assert workflow.next_stage(spark, replace(config, splits=(30.0, 90.0))) == "clean"
+    with pytest.raises(ZeroDivisionError):
+        with workflow._recorded(spark, config, str(tmp_path / workflow.TRAIN), workflow.TRAIN_SETTINGS):
+            1 / 0
+    assert workflow.next_stage(spark, config) == "preprocess"
+
+
+def test_command_line_jobs(spark, inputs, tmp_path):
+    import shutil
+
+    from notesight.__main__ import main
+
+    for name in ("ADMISSIONS", "NOTEEVENTS", "PATIENTS"):
+        shutil.copy(f"{inputs}/{name}.csv", tmp_path)
+    (tmp_path / "raw.csv").write_text('ROW_ID,TEXT\n1,"seen well\n\nDischarge Condition: stable now\n\nend"\n')
+    (tmp_path / "list.txt").write_text("Stable\nwell\n")
+    main(["clean", str(tmp_path / "raw.csv"), str(tmp_path / "cleaned"), "--terms", str(tmp_path / "list.txt")])
+    row = spark.read.option("header", True).csv(str(tmp_path / "cleaned")).first()
+    assert (row.row_id, row.text, row.discharge_condition.strip()) == ("1", "stable well", "stable")
+    (tmp_path / "words").mkdir()
+    (tmp_path / "words" / "a.txt").write_text("fever weak relapse stable well home seen ok discharge condition end")
+    (tmp_path / "lexicon.csv").write_text("term,polarity\nwell,1\nweak,-1\n")
+    options = ["--dictionary", str(tmp_path / "words"), "--lexicon", str(tmp_path / "lexicon.csv"), "--csv"]
+    main([str(tmp_path), str(tmp_path / "models"), "lr", "complex_bow", *options])
+    assert spark.read.parquet(str(tmp_path / "feature_map.parquet")).filter("value = '(sentiment)'").count() == 1
+    assert '"ok"' in spark.read.parquet(str(tmp_path / "combined.parquet")).first().text
+    for name in ("combined.csv", "train.csv", "predictions_test.csv", "metrics_test.csv", "NOTEEVENTS.parquet"):
+        assert tables.is_finished(spark, str(tmp_path / name))
+    with pytest.raises(SystemExit):
+        main([str(tmp_path), str(tmp_path / "models"), "lr", "complex_bow"])
