@@ -9,6 +9,9 @@
 3. Candidates with sizes or signatures too far apart for the similarity are dropped. What is left is confirmed on the full
    sets: first each node's three likeliest partners, then all pairs that are not yet in one component.
 4. Components are joined by the confirmed links.
+5. Regions of more than `REGION` nodes that still hold several components are compared in full on the sets, in pairs of parts of
+   bounded size: every two nodes of different components, once. Nodes that are found linked are one component from then
+   on, so that a part gives at most as many links as it has nodes.
 
 A pair at the similarity of 0.8 shares a prefix of five in a given order with probability 0.33, so it misses all 32
 orders with a probability of about 3 in a million; a larger group has many more ways to connect. A run of
@@ -37,6 +40,8 @@ REGION, NEAR = 16, 2
 STEP = HASHES // TREES
 #: Standard deviations that a signature's estimate may lie below the similarity.
 SIGMAS = 4.5
+#: Nodes, and bytes of sets, in a part of a region that is compared in full.
+PART_NODES, PART_BYTES = 1024, 4 << 20
 
 _WORDS: dict[bytes, int] = {}
 
@@ -181,10 +186,14 @@ def neighbours(tree, keys, node, size, old: int, percent: int) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["a", "b"])
 
 
+def least_agreement(percent: int) -> float:
+    share = percent / 100
+    return HASHES * (share - SIGMAS * (share * (1 - share) / HASHES) ** 0.5)
+
+
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose signatures agree often enough, with that number as `agree`."""
-    share = percent / 100
-    least = HASHES * (share - SIGMAS * (share * (1 - share) / HASHES) ** 0.5)
+    least = least_agreement(percent)
     of = lambda side: classes.select(F.col("node").alias(side), F.col("signature").alias(f"{side}_signature"))
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,6 +226,107 @@ def confirmed(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "a_members", "b_members").mapInArrow(make, "a binary, b binary")
 
 
+def regions(parts: DataFrame) -> DataFrame:
+    """A row per node and tree: tree, region (hash of the tree and the first LEAST positions of its order), node, group, n_shingles."""
+    positions = (np.arange(TREES)[:, None] * STEP + np.arange(LEAST)) % HASHES
+
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), ">u2").reshape(n, HASHES).astype(np.uint64)
+            mixed = np.tile(np.arange(1, TREES + 1, dtype=np.uint64), (n, 1))
+            for j in range(LEAST):
+                mixed = _mix(mixed * np.uint64(31) + values[:, positions[:, j]])
+            repeated = pa.array(np.repeat(np.arange(n), TREES))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.tile(np.arange(TREES, dtype=np.int32), n)), pa.array(mixed.ravel().view(np.int64)),
+                 *[batch.column(c).take(repeated) for c in ("node", "group", "n_shingles")]],
+                ["tree", "region", "node", "group", "n_shingles"],
+            )
+
+    of_nodes = parts.select("signature", "node", F.xxhash64("top").alias("group"), "n_shingles")
+    return of_nodes.mapInArrow(make, "tree int, region long, node binary, group long, n_shingles long")
+
+
+def within_regions(texts: DataFrame, parts: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """Links a, b between the components (`top`) of `parts` (node, rank, n_shingles, signature, top) from all pairs of nodes in regions of
+    more than REGION nodes; None if no such region holds two components."""
+    size = F.sum(F.col("n_shingles") * 8 + 2 * HASHES)
+    large = staged(
+        regions(parts).groupBy("region")
+        .agg(F.count(F.lit(1)).alias("n"), size.alias("size"), F.min("group").alias("low"), F.max("group").alias("high"))
+        .filter((F.col("n") > REGION) & (F.col("low") < F.col("high")))
+        .select("region", F.ceil(F.greatest(F.col("n") / PART_NODES, F.col("size") / PART_BYTES)).cast("int").alias("n_parts")),
+        "regions",
+    )
+    if not large.limit(1).count():
+        return None
+    at = staged(
+        regions(parts).join(large, "region").groupBy("node").agg(F.collect_list(F.struct("tree", "region", "n_parts")).alias("at")), "at"
+    )
+    ranks = at.join(parts.select("node", "rank"), "node").select("rank").distinct()
+    wanted = texts.join(ranks, texts["doc_id"].eqNullSafe(F.col("rank")), "left_semi")
+    members = staged(sets(wanted, width).join(at.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    rows = at.join(members, "node").join(parts.select("node", "signature", "top"), "node")
+    part = F.pmod(F.xxhash64("node"), F.col("one.n_parts")).cast("int")
+    dealt = (
+        rows.select("*", F.explode("at").alias("one"))
+        .withColumn("part", part)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("one.n_parts") - 1)))
+        .select(
+            F.col("one.region").alias("region"), F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"),
+            "part", F.col("one.tree").alias("tree"), "top", "signature", "members",
+            F.transform("at", lambda r: r["tree"]).alias("trees"), F.transform("at", lambda r: r["region"]).alias("regions"),
+        )
+    )
+    return dealt.groupBy("region", "x", "y").applyInArrow(lambda rows: linked_parts(rows, percent), "a binary, b binary")
+
+
+def linked_parts(rows: pa.Table, percent: int) -> pa.Table:
+    """Links between the components of two parts of a region, or within one part. Pairs that are in one region of an earlier
+    tree too are left to that."""
+    rows = rows.sort_by("part")
+    n, x, y, tree = rows.num_rows, rows["x"][0].as_py(), rows["y"][0].as_py(), rows["tree"][0].as_py()
+    firsts = int((rows["part"].to_numpy() == x).sum())
+    tops = np.array(rows["top"].to_pylist(), object)
+    label = np.unique(tops, return_inverse=True)[1]
+    signatures = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint16).reshape(n, HASHES)
+    parts = [np.frombuffer(m, np.uint64) for m in rows["members"].to_pylist()]
+    size = np.array([len(m) for m in parts])
+    starts = size.cumsum() - size
+    ids = np.unique(np.concatenate(parts), return_inverse=True)[1]
+    mark = np.zeros(len(ids), bool)
+    earlier = np.zeros((n, TREES), np.int64)
+    for i, (trees, found) in enumerate(zip(rows["trees"].to_pylist(), rows["regions"].to_pylist())):
+        earlier[i, trees] = found
+    earlier = earlier[:, :tree]
+    least, a, b = least_agreement(percent), [], []
+    for i in range(firsts):
+        begin = i + 1 if x == y else firsts
+        small, large = np.minimum(size[begin:], size[i]), np.maximum(size[begin:], size[i])
+        j = begin + np.flatnonzero((label[begin:] != label[i]) & (100 * small >= percent * large))
+        own = np.flatnonzero(earlier[i])
+        j = j[~(earlier[j][:, own] == earlier[i, own]).any(1)]
+        j = j[(signatures[j] == signatures[i]).sum(1) >= least]
+        if not len(j):
+            continue
+        mark[ids[starts[i] : starts[i] + size[i]]] = True
+        each = size[j]
+        offsets = each.cumsum() - each
+        both = np.add.reduceat(mark[ids[np.repeat(starts[j] - offsets, each) + np.arange(each.sum())]], offsets, dtype=np.int64)
+        mark[ids[starts[i] : starts[i] + size[i]]] = False
+        j = j[100 * both >= percent * (size[i] + each - both)]
+        met, at = np.unique(label[j], return_index=True)
+        a += [tops[i]] * len(met)
+        b += tops[j[at]].tolist()
+        label[np.isin(label, met)] = label[i]
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
 def groups(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (doc_id = component_id) of every row of (doc_id, text)."""
     rows = staged(nodes(docs, width), "nodes")
@@ -231,7 +341,7 @@ def groups(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame:
     probable = staged(likely(pairs, classes, percent), "likely")
     wanted = probable.select(F.col("a").alias("node")).union(probable.select("b")).distinct()
     needed = staged(wanted.join(classes.select("node", "rank"), "node"), "wanted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = texts_of(docs)
     texts = texts.join(needed.select("rank").distinct(), texts["doc_id"].eqNullSafe(F.col("rank")), "left_semi")
     members = staged(sets(texts, width).dropDuplicates(["node"]), "sets")
 
@@ -249,14 +359,25 @@ def groups(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame:
     more = confirmed(rest, members, percent)
     between = more.join(root_of("a"), "a").join(root_of("b"), "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
     tops = roots.filter("node = root").select("node", F.col("root_rank").alias("rank"))
-    joined = connect(between, tops).select(F.col("node").alias("root"), F.col("root_rank").alias("top_rank"))
-    ids = roots.select("node", "root").join(joined, "root").select("node", F.col("top_rank").alias("component"))
+    joined = connect(between, tops).select(F.col("node").alias("root"), F.col("root").alias("top"), F.col("root_rank").alias("top_rank"))
+    ids = roots.select("node", "root").join(joined, "root").select("node", "top", "top_rank")
     last = F.lit((1 << 63) - 1)
-    known = staged(
-        classes.select("node", "rank").join(ids, "node", "left")
-        .select("node", F.nullif(F.coalesce("component", "rank"), last).alias("component")),
-        "components",
+    parts = staged(
+        classes.join(ids, "node", "left").select(
+            "node", "rank", "n_shingles", "signature", F.coalesce("top", "node").alias("top"), F.coalesce("top_rank", "rank", last).alias("top_rank")
+        ),
+        "parts",
     )
+    dense = within_regions(texts_of(docs), parts, width, percent)
+    if dense is None:
+        known = parts.withColumn("component", F.col("top_rank"))
+    else:
+        dense = staged(dense.distinct(), "links")
+        met = dense.select(F.col("a").alias("node")).union(dense.select("b")).distinct()
+        tops = parts.filter("node = top").select("node", F.col("top_rank").alias("rank")).join(met, "node", "left_semi")
+        joined = connect(dense, tops).select(F.col("node").alias("top"), "root_rank")
+        known = parts.join(joined, "top", "left").withColumn("component", F.coalesce("root_rank", "top_rank"))
+    known = staged(known.select("node", F.nullif("component", last).alias("component")), "components")
     component = F.coalesce("component", "doc_id")
     return rows.select("doc_id", "n_shingles", "node").join(known, "node", "left").select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")

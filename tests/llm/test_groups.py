@@ -52,6 +52,24 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.doc_id: r.component_id for r in found} == {d: 5000 if d >= 5000 else d - d % 2 for d, _ in rows}
 
 
+def test_few_links_in_a_large_group(spark, monkeypatch):
+    """Copies most of which are just below the similarity: each true link counts, in one part or several."""
+    rng, rows, base = random.Random(2), [], corpus.prose(150, 1).split()
+    for i in range(1000):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randint(5, 7)):
+            words[at] = f"w{rng.random()}"
+        rows.append((i, " ".join(words)))
+    sets = {d: shingles(t, 2) for d, t in rows}
+    links = [(a, b) for a in sets for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    root = corpus.roots(links, sets)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for size in (1024, 150):
+        monkeypatch.setattr(forest, "PART_NODES", size, raising=False)
+        assert {r.doc_id: r.component_id for r in forest.groups(docs, width=2).collect()} == root
+    assert 100 < len(set(root.values())) < 1000
+
+
 def test_near_duplicates_of_odd_rows(spark, odd):
     rows = sorted(((r.doc_id, r.n_shingles > 0, r.component_id, r.kept) for r in forest.groups(odd).collect()), key=repr)
     empty, alone, base = (1, 2, 3), (9, 10, 11, 12, 13, 14, 15, 16), (6, 7, 8, 8, None)
