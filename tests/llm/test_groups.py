@@ -135,6 +135,17 @@ def test_planted_passages(spark):
         assert all(45 <= r.first_word and r.first_word + r.n_words <= 135 and r.n_words >= 50 for r in found)
 
 
+def test_a_chain_within_another_partners(spark):
+    """A short exact match with the first document does not hide the longer fuzzy passage around it."""
+    words = lambda n, seed: corpus.prose(n, 15 + seed).replace(".", "").split()  # noqa: E731  (the outer words give no common seed)
+    middle, outer, own = words(30, 0), words(32, 1), [words(60, 10 + i) for i in range(3)]
+    changed = [f"c{i}" if i in (7, 15, 16, 24) else w for i, w in enumerate(outer)]
+    parts = [middle, outer[:16] + middle + outer[16:], changed[:16] + middle + changed[16:]]
+    rows = [(i, " ".join(own[i][:30] + parts[i] + own[i][30:])) for i in range(3)]
+    found = passages.shared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.partner_id) for r in found} == {(1, 2), (2, 1)} and all(r.n_words > 50 for r in found)
+
+
 def test_best_chains_by_hand():
     rng = np.random.default_rng(5)
     for _ in range(100):
