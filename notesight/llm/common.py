@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import tempfile
@@ -73,6 +74,25 @@ def reads(*columns: str) -> Callable:
     return mark
 
 
+def query_blocks(queries: DataFrame, text: str, block_bytes: int) -> Iterator[list[tuple]]:
+    """The rows of `queries` in blocks with at most `block_bytes` of their column `text` (plus one row), each sent to the driver
+    when the one before it is done. Rows are dealt by a hash."""
+    total = queries.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 16)).first()[0] or 0
+    n = 1 if total <= block_bytes else -(-2 * total // block_bytes)
+    dealt = queries.withColumn("dealt", F.pmod(F.xxhash64(*queries.columns), F.lit(n)))
+    at = queries.columns.index(text)
+    for block in range(n):
+        rows, size = [], 0
+        for row in dealt.filter(F.col("dealt") == block).toLocalIterator():
+            rows.append(tuple(row)[:-1])
+            size += len((row[at] or "").encode()) + 16
+            if size >= block_bytes:
+                yield rows
+                rows, size = [], 0
+        if rows or n == 1 and size == 0:
+            yield rows
+
+
 def numbered(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     """Stage `df` and add `rank` (from 0, gapless within `keys`) without bringing the rows of a key
     together: each input split counts its own rows, and only the counts (a row per split and key) meet.
@@ -96,15 +116,19 @@ class Chunks(dict):
     A chunk is a run between spaces with the space before it, where a byte-level pattern always starts a
     new token, so that its ids do not depend on its surroundings. A chunk next to other white space has no
     ids of its own (None), and its text is encoded whole. The memory is bounded: once `most` chunks are
-    kept, further ones are encoded anew each time."""
+    kept, further ones are encoded anew each time.
+
+    Ids are those of the library's plain call. A text with the string of an added token, and every text if the file
+    splits texts by another pattern, is encoded whole by the library."""
 
     def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         self.model = self.whole.model
+        self.added = [token.content for token in self.whole.get_added_tokens_decoder().values()]
+        self.known = _is_byte_level(json.loads(self.whole.to_str()))
         self.width = "<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4"
         self.code = "H" if self.width == "<u2" else "I"
         self.most = most
@@ -138,7 +162,7 @@ class Chunks(dict):
         return array(self.code, ids).tobytes() if little else np.array(ids, self.width).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if "\0" not in text:
+        if self.known and "\0" not in text and not any(content in text for content in self.added):
             ids = list(map(self.__getitem__, text.replace(" ", "\0 ").split("\0")))
             if None not in ids:
                 return b"".join(ids)
@@ -149,6 +173,13 @@ class Chunks(dict):
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def _is_byte_level(file: dict) -> bool:
+    """Whether a tokenizer file splits texts as `Chunks` does, and does nothing else to them."""
+    splits = file["pre_tokenizer"] or {}
+    plain = splits.get("type") == "ByteLevel" and splits.get("use_regex", True) and not splits.get("add_prefix_space")
+    return plain and file["normalizer"] is None and file["model"]["type"] == "BPE" and not file["model"].get("ignore_merges")
+
+
 def _byte_letters() -> Iterator[tuple[int, int]]:
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = 256
@@ -168,3 +199,67 @@ def chunks(path: str) -> Chunks:
     if path not in _CHUNKS:
         _CHUNKS[path] = Chunks(path)
     return _CHUNKS[path]
+
+
+class WordChunks(Chunks):
+    """Token ids of lower-cased words, as little-endian bytes, remembered by each Python worker.
+
+    For vocabularies with word ends, whose pattern drops white space, the text between two spaces or line feeds has ids of
+    its own. Words of letters below U+0300, where composing changes nothing, are cut by the file's pattern and
+    given to the model; other ones, and those that may hold an added token, are encoded by the library. If
+    the file prepares texts otherwise, they are encoded whole. Memory is bounded as in `Chunks`."""
+
+    def __init__(self, path: str, most: int = 500_000):
+        super().__init__(path, most)
+        pattern = _word_pattern(json.loads(self.whole.to_str()))
+        self.pieces = pattern and regex.compile(pattern)
+        first = "".join({content[:1] for content in self.added})
+        self.marked = re.compile(f"[{re.escape(first)}]") if first else re.compile("(?!)")
+
+    def __missing__(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            ids = self.pack([token.id for token in self.model.tokenize(chunk.lower())])
+        elif SIMPLE.fullmatch(chunk) and not self.marked.search(chunk):
+            found = self.pieces.findall(chunk.lower())
+            # a piece is a chunk of its own, with the same ids
+            ids = b"".join([self.get(piece) or self._kept(piece) for piece in found])
+        else:
+            ids = self.pack(self.whole.encode(chunk, add_special_tokens=False).ids)
+        if len(self) < self.most:
+            self[chunk] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if self.pieces is None:
+            return self.pack(self.whole.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+#: Letters that composing leaves as they are and that are lower-cased one by one.
+SIMPLE = re.compile("[\x00-\u02ff]*")
+
+
+def _word_pattern(file: dict) -> str | None:
+    """The pattern of a tokenizer file that composes, lower-cases and drops white space, as `WordChunks` does."""
+    steps = (file["normalizer"] or {}).get("normalizers") or []
+    splits = (file["pre_tokenizer"] or {}).get("pretokenizers") or []
+    if [s["type"] for s in steps] != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in splits] != ["Split", "ByteLevel"]:
+        return None
+    split, letters = splits
+    if (steps[1]["pattern"], steps[1]["content"]) != ({"Regex": r"\s+"}, " ") or file["model"].get("ignore_merges"):
+        return None
+    # what the pattern matches are the pieces, and none has white space in it
+    if not split["invert"] or split["behavior"] != "Removed" or letters["use_regex"] or letters["add_prefix_space"]:
+        return None
+    pattern = split["pattern"].get("Regex")
+    return pattern if pattern and not regex.search(pattern, " \n") else None
+
+
+_WORD_CHUNKS: dict[str, WordChunks] = {}
+
+
+def word_chunks(path: str) -> WordChunks:
+    """The worker's encoder of that kind for the tokenizer file at `path`."""
+    if path not in _WORD_CHUNKS:
+        _WORD_CHUNKS[path] = WordChunks(path)
+    return _WORD_CHUNKS[path]

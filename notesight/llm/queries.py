@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from notesight.llm import bitpack, boosting, decision_list, decontaminate, forest, packing, passages, pii, ring, warc
+from notesight.llm import (
+    bitpack, boosting, decision_list, decontaminate, dominance, forest, packing, passages, pii, ranked, ring, runs, warc,
+)
 from notesight.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,11 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "byte_bpe_50k.json") -> str:
     """The vocabulary file, by its path; it is not part of the repository."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query(
@@ -175,3 +177,69 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bitpack.read(bitpack.write(docs, tokenizer(), end_id=2), with_ids=False)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id, text: of every tenth document by a hash of the id, the words from some place on repeat a period."""
+    hashed = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.select("doc_id", "text", hashed.alias("h"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")).alias("w"))
+    place = words.withColumn("n", F.size("w")).withColumn("g", F.floor(F.col("h") / 10)).filter("h % 10 = 0 AND n > 0")
+    period = place.withColumn("a", F.expr("g % n")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.expr("transform(sequence(0L, n - 1L), i -> w[int(if(i < a, i, a + (i - a) % p))])")
+    others = words.filter("NOT coalesce(h % 10 = 0 AND size(w) > 0, false)")
+    return period.select("doc_id", F.array_join(again, " ").alias("text")).unionByName(others.select("doc_id", "text"))
+
+
+@query("op11_minimizer_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = runs.detect(docs, keep=["doc_id"], digests=True)
+    first = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    best = F.array_max(first)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-best["s"]).alias("start"), best["length"].alias("length"),
+        (-best["p"]).alias("period"), "runs_sha256", "collapsed_sha256",
+    ).withColumn("exponent_milli", F.expr("1000 * length div period"))
+
+
+@query("op12_dominance_packing")
+def fewest_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dominance.pack(docs, tokenizer("word_bpe_49k.json"), end_id=0, with_ids=False)
+
+
+TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    "op13_range_maxima",
+    f"""
+    WITH q AS (
+        SELECT item_id, term, count(*) AS times
+        FROM (SELECT item_id, unnest({TERMS}) AS term FROM benchmark) GROUP BY ALL
+    ),
+    d AS (SELECT doc_id, {TERMS} AS w FROM documents),
+    s AS (SELECT count(*) AS n_docs, sum(len(w)) AS n_terms FROM d WHERE len(w) > 0),
+    tf AS (SELECT doc_id, len(w) AS n, term, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS term FROM d)
+           WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS double) / CAST(2 * df + 1 AS double))) AS bigint) AS w FROM df, s
+    ),
+    impacts AS (
+        SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + CAST((75 * n * n_docs) // n_terms AS bigint))) AS impact FROM tf, s
+    ),
+    scores AS (
+        SELECT item_id, doc_id, CAST(sum(times * w * impact) AS bigint) AS score
+        FROM q JOIN weights USING (term) JOIN impacts USING (term) GROUP BY ALL
+    )
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS integer) AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= 10
+    """,
+)
+def best_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked.top(docs, table(spark, sf_dir, "benchmark"), k=10)

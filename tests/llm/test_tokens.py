@@ -1,8 +1,9 @@
 """Packing and packed files against the tokenizer itself."""
 
-
+import json
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import corpus
 import numpy as np
@@ -10,15 +11,14 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from notesight.llm import bitpack, packing
-from notesight.llm.common import chunks
+from notesight.llm import bitpack, dominance, packing
+from notesight.llm.common import Chunks, WordChunks, chunks, word_chunks
 from notesight.llm.queries import QUERIES, tokenizer
 
 
 @pytest.fixture(scope="module")
 def encode():
     whole = Tokenizer.from_file(tokenizer())
-    whole.encode_special_tokens = True
     return lambda text: whole.encode(text or "", add_special_tokens=False).ids
 
 
@@ -31,11 +31,138 @@ def test_chunks_give_the_tokenizers_ids(encode, most, monkeypatch):
     encoder = chunks(tokenizer())
     monkeypatch.setattr(encoder, "most", most)
     encoder.clear()
-    odd = ["  a  b", "a\n b", " ", "x y z", "a 　 b", "it's we'll don't 12ab", "\0 a b", "a\x1c b", "a\x85 b", "a\n\nb  c\t d 's"]
+    odd = ["a <|endoftext|> b<|endoftext|>", "a <|endoftex b", "  a  b", "a\n b", " ", "x y z", "a 　 b", "it's we'll don't 12ab", "\0 a b", "a\x1c b", "a\x85 b", "a\n\nb  c\t d 's"]
     for text in odd + [t for _, t in corpus.odd_texts() if t]:
         assert np.frombuffer(encoder.encode(text), encoder.width).tolist() == encode(text)
 
 
+@pytest.fixture(scope="module")
+def encode_words():
+    whole = Tokenizer.from_file(tokenizer("word_bpe_49k.json"))
+    return lambda text: whole.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("most", [0, 3, 1_000_000])
+def test_word_chunks_give_the_tokenizers_ids(encode_words, most, monkeypatch):
+    encoder = word_chunks(tokenizer("word_bpe_49k.json"))
+    monkeypatch.setattr(encoder, "most", most)
+    encoder.clear()
+    odd = ["a <|endoftext|> b<|EndOfText|>c", "x\x1cy\x85z w\u3000q\u00a0r", "ΣΑΣ ΣΑΣ. İstanbul e\u0301 \u0301x", "'LL it'S don't 12ab34 9²½", "\t\r\n  ",
+           "\U0001f600x\x00y", "ﬁ ǅ ßẞ ªº Å", "e\n\u0301 \u1100\u1161"]
+    for text in odd + [t for _, t in corpus.odd_texts() if t]:
+        assert np.frombuffer(encoder.encode(text), encoder.width).tolist() == encode_words(text)
+
+
+@pytest.mark.parametrize("name, make", [("byte_bpe_50k.json", Chunks), ("word_bpe_49k.json", WordChunks)])
+def test_files_that_split_otherwise_are_encoded_whole(tmp_path, name, make):
+    file = json.loads(Path(tokenizer(name)).read_text())
+    file["normalizer"], file["pre_tokenizer"] = {"type": "NFC"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(file))
+    encoder, whole = make(str(path)), Tokenizer.from_file(str(path))
+    for text in ("a b  c's", corpus.prose(50, 3)):
+        assert np.frombuffer(encoder.encode(text), encoder.width).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def fewest(sizes, capacity):
+    """The number of bins of an optimal packing, by search."""
+    sizes = sorted(sizes, reverse=True)
+    best = len(sizes)
+
+    def place(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(sizes):
+            best = len(bins)
+            return
+        for room in sorted(set(b for b in bins if b >= sizes[i])):
+            left = list(bins)
+            left.remove(room)
+            place(i + 1, left + [room - sizes[i]])
+        place(i + 1, bins + [capacity - sizes[i]])
+
+    place(0, [])
+    return best
+
+
+def test_fixed_sets_keep_an_optimal_packing():
+    rng = np.random.default_rng(7)
+    fixed_some = 0
+    for _ in range(400):
+        capacity = int(rng.integers(4, 40))
+        sizes = rng.integers(1 if rng.random() < 0.5 else max(1, capacity // 4), capacity + 1, rng.integers(1, 10)).tolist()
+        counts = np.bincount(sizes, minlength=capacity + 1)
+        left = counts.copy()
+        fixed = dominance.fix_dominating(left, capacity)
+        fixed_some += bool(fixed)
+        assert all(sum(size * n for size, n in used.items()) <= capacity for _, used in fixed)
+        rest = np.repeat(np.arange(capacity + 1), left).tolist()
+        assert sum(times for times, _ in fixed) + fewest(rest, capacity) == fewest(sizes, capacity)
+    assert fixed_some > 200
+
+
+def test_best_fit_puts_each_where_one_by_one_would():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        capacity = int(rng.integers(3, 60))
+        counts = np.bincount(rng.integers(1, capacity + 1, rng.integers(0, 80)), minlength=capacity + 1)
+        bins = []
+        for size in np.repeat(np.arange(capacity + 1), counts)[::-1].tolist():
+            fits = [i for i, b in enumerate(bins) if capacity - sum(b) >= size]
+            if fits:
+                bins[min(fits, key=lambda i: capacity - sum(bins[i]))].append(size)
+            else:
+                bins.append([size])
+        made = dominance.best_fit(counts.copy(), capacity)
+        # bins of equal room may change places
+        ours = sorted(sum(s * n for s, n in used.items()) for times, used in made for _ in range(times))
+        assert ours == sorted(map(sum, bins))
+        assert sum((times * np.bincount(np.repeat(list(used), list(used.values())), minlength=capacity + 1) for times, used in made), 0 * counts).tolist() == counts.tolist()
+
+
+def check_whole_pieces(rows, documents, capacity):
+    by_sequence, by_document = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append(r)
+        by_document[r.doc_id].append((r.piece, r.start, r.length, r.ids_crc32))
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at and r.length > 0
+            at += r.length
+        assert at <= capacity
+    wanted = {
+        doc_id: sorted(
+            (i, at, len(ids[at : at + capacity]), crc(ids[at : at + capacity]))
+            for ids in each for i, at in enumerate(range(0, len(ids), capacity))
+        )
+        for doc_id, each in documents.items()
+    }
+    assert {doc_id: sorted(pieces) for doc_id, pieces in by_document.items()} == wanted
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    return len(by_sequence)
+
+
+def test_dominance_packing_query(spark, sf, texts, encode_words):
+    documents = {d: [encode_words(t) + [0]] for d, t in texts.items()}
+    rows = QUERIES["op12_dominance_packing"](spark, sf).collect()
+    n = check_whole_pieces(rows, documents, 2048)
+    assert n <= 1.01 * -(-sum(r.length for r in rows) // 2048) + 1
+
+
+def test_dominance_packing_of_odd_rows(spark, odd, encode_words):
+    documents = defaultdict(list)
+    for doc_id, text in corpus.odd_texts():
+        documents[doc_id].append(encode_words(text) + [7])
+    path = tokenizer("word_bpe_49k.json")
+    for capacity in (1, 5, 64, 2048):
+        check_whole_pieces(dominance.pack(odd, path, end_id=7, capacity=capacity).collect(), documents, capacity)
+    rows = dominance.pack(odd, path, end_id=7).collect()
+    assert all(crc(np.frombuffer(r.ids, "<u2")) == r.ids_crc32 for r in rows)
+    assert dominance.pack(odd.filter("false"), path, end_id=7).count() == 0
+
+
 def check_pieces(rows, documents, capacity):
     """Every document's pieces make its ids once; sequences are gapless; what is padded."""
     by_sequence, by_document, padding = defaultdict(list), defaultdict(list), 0
