@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,19 +42,29 @@ def local_session(app: str = "notesight", cpus: str | None = None, memory: str =
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in `spark.checkpoint.dir`; only a session of one process falls back to a folder
+    of its own, and keeps it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="notesight-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Cut the lineage of `df` by a reliable checkpoint, so that iterative fits do not redo the text work
-    and a lost executor does not lose it. The folder is the one the cluster names in
-    `spark.checkpoint.dir`; only a session of one process falls back to a folder of its own."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    """Cut the lineage of `df` by a reliable checkpoint in the shared folder, so that iterative fits do not redo the text
+    work and a lost executor does not lose it."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not re.fullmatch(r"local(\[.*\])?", context.master):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="notesight-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from notesight.jobs import cohort, features, learning, text  # noqa: F401
+    from notesight.jobs import cohort, features, ingest, learning, text  # noqa: F401

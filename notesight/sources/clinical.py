@@ -11,6 +11,7 @@ from notesight.functions.cleaning import drop_commas, flatten_lines, unix_lines
 from notesight.operators.cleaning import add_sections, clean, prepare_notes
 from notesight.operators.sampling import hash_sample, random_sample
 from notesight.operators.terms import dictionary_words, match_terms
+from notesight.sources.quoted_csv import read_quoted_csv
 from notesight.sources.tables import is_finished, path_exists
 
 # The column names and types of the input files.
@@ -31,13 +32,16 @@ NOTE_SCHEMA = (
 )
 
 
-def _read_csv(spark: SparkSession, data_dir: str, name: str, schema: str, **options) -> DataFrame:
-    """The CSV file, or the Parquet folder `convert_to_parquet` has made of it."""
+def _read_csv(spark: SparkSession, data_dir: str, name: str, schema: str, escape: str | None = None) -> DataFrame:
+    """The CSV file, or the Parquet folder `convert_to_parquet` has made of it. With `escape` its fields may have line
+    breaks."""
     converted = os.path.join(data_dir, f"{name}.parquet")
     if is_finished(spark, converted):
         return spark.read.parquet(converted)
-    reader = spark.read.schema(schema).option("header", True).options(**options)
-    return reader.csv(os.path.join(data_dir, f"{name}.csv"))
+    path = os.path.join(data_dir, f"{name}.csv")
+    if escape is not None:
+        return read_quoted_csv(spark, path, schema, escape=escape)
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def load_patients(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -51,7 +55,7 @@ def load_admissions(spark: SparkSession, data_dir: str) -> DataFrame:
 def load_notes(spark: SparkSession, data_dir: str, escape: str = '"') -> DataFrame:
     """Notes with a text. The admission id is written like a float, so it is read as a double (exact to
     2^53) and cast."""
-    notes = _read_csv(spark, data_dir, "NOTEEVENTS", NOTE_SCHEMA, multiLine=True, escape=escape)
+    notes = _read_csv(spark, data_dir, "NOTEEVENTS", NOTE_SCHEMA, escape)
     return notes.filter(F.col("text").isNotNull()).withColumn("hadm_id", F.col("hadm_id").cast("bigint"))
 
 
@@ -70,19 +74,19 @@ def load(spark: SparkSession, data_dir: str, flatten: bool = True) -> tuple[Data
 
 
 def convert_to_parquet(spark: SparkSession, data_dir: str) -> None:
-    """A CSV file with line breaks inside fields cannot be split, so one task reads it. Do that once."""
+    """The CSV files as Parquet, which later stages read by column; the notes' records are cut and parsed only once."""
     tables = {"PATIENTS": PATIENT_SCHEMA, "ADMISSIONS": ADMISSION_SCHEMA, "NOTEEVENTS": NOTE_SCHEMA}
     for name, schema in tables.items():
         # a conversion that broke off has no success marker, is not read, and is done again
         path = os.path.join(data_dir, f"{name}.parquet")
         if not is_finished(spark, path) and path_exists(spark, os.path.join(data_dir, f"{name}.csv")):
-            options = {"multiLine": True, "escape": '"'} if name == "NOTEEVENTS" else {}
-            _read_csv(spark, data_dir, name, schema, **options).write.mode("overwrite").parquet(path)
+            escape = '"' if name == "NOTEEVENTS" else None
+            _read_csv(spark, data_dir, name, schema, escape).write.mode("overwrite").parquet(path)
 
 
 def load_raw_notes(spark: SparkSession, path: str) -> DataFrame:
     """Notes for the text cleaner: backslash escapes, lower-case column names, Unix line ends."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", "\\").csv(path)
+    raw = read_quoted_csv(spark, path, escape="\\")
     named = raw.toDF(*[name.lower() for name in raw.columns])
     return named.withColumn("text", unix_lines(F.col("text")))
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from notesight.functions.vectors import split_vector
+from notesight.sources.quoted_csv import read_quoted_csv
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -25,28 +27,44 @@ def load_table(
     spark: SparkSession, name: str, data_dir: str, schema: StructType | str | None = None, multi_line: bool = False
 ) -> DataFrame:
     """A table by file name: CSV with a header (all strings unless a schema is given) or Parquet. A missing
-    table is empty and has the given schema. Only a CSV file with line breaks inside fields needs
-    `multi_line`: such a file is read by one task."""
+    table is empty and has the given schema. Only a CSV file with line breaks inside fields needs `multi_line`."""
     path = os.path.join(data_dir, name)
     if not path_exists(spark, path):
         if schema is None:
             raise FileNotFoundError(f"{path} is missing and no schema was given for an empty table")
         return spark.createDataFrame([], schema)
+    if ".csv" in name and multi_line:
+        return read_quoted_csv(spark, path, schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     if ".csv" in name:
-        return reader.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
+        return reader.option("header", True).option("escape", '"').csv(path)
     return reader.parquet(path)
 
 
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of another one. The old one is moved aside and deleted last, so that it is there,
+    under one name or the other, whenever this breaks off."""
+    place, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{new}-old"))
+    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.exists(place) and not files.rename(place, old):
+        raise OSError(f"{path} cannot be moved")
+    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(new), place):
+        raise OSError(f"{new} cannot be moved to {path}")
+    if files.exists(old):
+        files.delete(old, True)
+
+
 def save_table(df: DataFrame, name: str, data_dir: str, single_file: bool = False) -> str:
-    """Write a table by file name, replacing the old one; an empty table replaces it by an empty one.
-    `single_file` is for reports that are known to be small."""
+    """Write a table by file name, replacing the old one once the new one is complete; so `df` may read the old one. An
+    empty table replaces it by an empty one. `single_file` is for reports that are known to be small."""
     path = os.path.join(data_dir, name)
-    writer = (df.coalesce(1) if single_file else df).write.mode("overwrite")
+    new = os.path.join(data_dir, f".{name}-{uuid.uuid4().hex}")
+    writer = (df.coalesce(1) if single_file else df).write
     if ".csv" in name:
-        writer.option("header", True).option("escape", '"').csv(path)
+        writer.option("header", True).option("escape", '"').csv(new)
     else:
-        writer.parquet(path)
+        writer.parquet(new)
+    replace_folder(df.sparkSession, new, path)
     return path
 
 
