@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 RANGE = ["file", "block"]
-STATES = "file long, block long, " + ", ".join(f"ends_inside_{s} boolean, has_start_{s} boolean" for s in (0, 1))
+STATES = "file long, block long, " + ", ".join(f"ends_inside_{s} boolean, has_start_{s} boolean" for s in (0, 1)) + ", crlf boolean"
 PIECES = "file long, block long, owner long, whole boolean, is_first boolean, record string"
 
 
@@ -62,9 +62,10 @@ def _end_states(quoting: Quoting):
         rows: dict[tuple[int, int], list[bool]] = {}
         for key, part in _ranges(batches):
             # ends inside, has a record start; assuming a start outside, then inside
-            state = rows.setdefault(key, [False, False, True, False])
-            at = 0
             values = part.column("value")
+            crlf = key[1] == 0 and (values[0].as_py() or "").endswith("\r")
+            state = rows.setdefault(key, [False, False, True, False, crlf])
+            at = 0
             for i in pc.indices_nonzero(pc.match_substring(values, quoting.quote)).to_pylist():
                 for s in (0, 2):
                     state[s + 1] |= not state[s]  # a record starts here or on a line before
@@ -83,8 +84,8 @@ def _end_states(quoting: Quoting):
 
 
 def _follow(states: DataFrame) -> DataFrame:
-    """file, block, inside (the range begins inside a field) and owner (the block where the record began that
-    is not over when the range begins)."""
+    """file, block, inside (the range begins inside a field), owner (the block where the record began that
+    is not over when the range begins) and crlf (lines of the file end with a carriage return, as its first one does)."""
     first, second = F.col("ends_inside_0"), F.col("ends_inside_1")
     turns = (first & ~second).cast("int")  # else the range keeps the state, or ends in the same one from both
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -100,7 +101,8 @@ def _follow(states: DataFrame) -> DataFrame:
     )
     has_start = F.when(F.col("inside"), F.col("has_start_1")).otherwise(F.col("has_start_0"))
     owner = F.last(F.when(has_start, F.col("block")), ignorenulls=True).over(before)
-    return followed.select(*RANGE, "inside", F.coalesce(owner, F.lit(-1)).cast("long").alias("owner"))
+    crlf = F.max("crlf").over(Window.partitionBy("file"))
+    return followed.select(*RANGE, "inside", F.coalesce(owner, F.lit(-1)).cast("long").alias("owner"), crlf.alias("crlf"))
 
 
 def _cut(quoting: Quoting):
@@ -144,13 +146,14 @@ def _cut(quoting: Quoting):
 def csv_records(spark: SparkSession, path: str, quoting: Quoting) -> DataFrame:
     """(record, is_first): the text of every record, however many lines it has, and whether it is the first of its file."""
     block = F.col("_metadata.file_block_start")
-    # one text per line feed; a carriage return before it stays with the line
+    # one text per line feed; a carriage return before it goes with it if the file's first line has one
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.xxhash64("_metadata.file_path").alias("file"), block.alias("block"), "value"
     )
     # a row for each range: as many as the text has input splits
     starts = _follow(lines.mapInArrow(_end_states(quoting), STATES))
-    pieces = lines.join(F.broadcast(starts), RANGE).select(*RANGE, "inside", "owner", "value").mapInArrow(_cut(quoting), PIECES)
+    value = F.when(F.col("crlf"), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value")).alias("value")
+    pieces = lines.join(F.broadcast(starts), RANGE).select(*RANGE, "inside", "owner", value).mapInArrow(_cut(quoting), PIECES)
     whole = pieces.filter("whole").select("record", "is_first")
     parts = F.array_sort(F.collect_list(F.struct("block", "record", "is_first")))
     crossing = (
@@ -166,8 +169,8 @@ def read_quoted_csv(
 ) -> DataFrame:
     """The rows of CSV files with quoted line breaks; without a schema all columns are strings named by the first record.
 
-    Lines end with a line feed, with or without a carriage return. Each file has its own header. Blank lines are no
-    records. Further options are those of Spark's CSV parser."""
+    Lines end with a line feed, in files whose first line has one with a carriage return before it; fields have line feeds only
+    then. Each file has its own header. Blank lines are no records. Further options are those of Spark's CSV parser."""
     settings = {"quote": quote, "escape": escape, "sep": sep, "multiLine": "true", **options}
     if schema is None:
         named = spark.read.options(**settings).option("header", header).csv(path)

@@ -40,12 +40,14 @@ def test_ranges_give_the_rows_of_one(spark, tmp_path, ranges, escape, end):
     rows = [(i, text(), text()) for i in range(60)]
     for k in range(2):
         with open(tmp_path / f"f{k}.csv", "w", newline="") as f:
-            f.write(f'id,"a\nname",b{end}')  # the header too has a line break
+            f.write(f'id,"a{end}name",b{end}')  # the header too has a line break
             f.writelines(f"{i},{written(a, escape)},{written(b, escape)}{end}" for i, a, b in rows[k::2])
     for size in (1 << 30, 600):
         ranges(size)
         df = read_quoted_csv(spark, str(tmp_path), "id int, a string, b string", escape=escape)
-        assert sorted(map(tuple, df.collect()), key=repr) == sorted(rows, key=repr)
+        # the line ends of the file are line feeds in its fields
+        wanted = [tuple(v.replace(end, "\n") if isinstance(v, str) else v for v in row) for row in rows]
+        assert sorted(map(tuple, df.collect()), key=repr) == sorted(wanted, key=repr)
     assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() >= 20
     assert read_quoted_csv(spark, str(tmp_path), escape=escape).columns == ["id", "a\nname", "b"]
 
