@@ -66,8 +66,25 @@ def readmit_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("readmit_large_subjects", f"WITH {STAYS}, {_labelled_sql('stays', BINARY)} {SELECT_LABELS}")
 def readmit_large_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same labels, with every subject of more than ten stays ordered day by day."""
-    return _label_columns(cohort.reverse_label(cohort.n_day_label(stays(spark, sf_dir), (30.0,), hot_rows=10)))
+    """The same labels, scanned over so many ranges that subjects are cut."""
+    return _label_columns(cohort.reverse_label(cohort.n_day_label(stays(spark, sf_dir), (30.0,), ranges=61)))
+
+
+ONE_SUBJECT = """event_stays AS (
+  SELECT 1 AS subject_id, event_id AS hadm_id, TIMESTAMP '2024-02-01 00:00:00' AS admit_time, TIMESTAMP '2024-01-31 00:00:00' AS discharge_time,
+    CASE WHEN event_id % 7 < 3 THEN 'ELECTIVE' ELSE event_type END AS admit_type FROM events
+)"""
+
+
+@query("readmit_one_subject", f"WITH {ONE_SUBJECT}, {_labelled_sql('event_stays', BINARY)} {SELECT_LABELS}")
+def readmit_one_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as stays of one subject on one day."""
+    day = lambda text: F.lit(text).cast("timestamp")
+    one = table(spark, sf_dir, "events").select(
+        F.lit(1).alias("subject_id"), F.col("event_id").alias("hadm_id"), day("2024-02-01").alias("admit_time"),
+        day("2024-01-31").alias("discharge_time"), F.when(F.col("event_id") % 7 < 3, "ELECTIVE").otherwise(F.col("event_type")).alias("admit_type"),
+    )
+    return _label_columns(cohort.reverse_label(cohort.n_day_label(one, (30.0,))))
 
 
 @query("readmit_multiclass", f"WITH {STAYS}, {_labelled_sql('stays', THREE_WAY)} {SELECT_LABELS}")
@@ -165,6 +182,21 @@ def notes_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combined.select("hadm_id", "part", "is_whole", "text", "notes")
 
 
+@query(
+    "notes_one_admission",
+    f"""WITH cut AS (
+  SELECT turn, conv_id, text, 1 + coalesce(sum(octet_length(encode(text)) + 1) OVER (
+    ORDER BY turn, conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {100 * PART_BYTES} AS part FROM conversations
+) SELECT CAST(part AS BIGINT) AS part, string_agg(text, ' ' ORDER BY turn, conv_id) AS text, CAST(count(*) AS INTEGER) AS notes
+FROM cut GROUP BY part""",
+)
+def notes_one_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as notes of one day of one admission, in parts."""
+    turns = table(spark, sf_dir, "conversations").select(F.lit(1).alias("hadm_id"), "turn", "conv_id", "text")
+    combined = cohort.combine_notes(turns, ["hadm_id"], ["turn", "conv_id"], part_bytes=100 * PART_BYTES)
+    return combined.select("part", "text", "notes")
+
+
 @query(
     "notes_latest",
     f"""WITH {KEPT_NOTES} SELECT hadm_id, text FROM (

@@ -4,49 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from notesight.operators.skew import HOT_ROWS, calendar_bucket, mark_hot
+from notesight.operators.ordered import with_next, with_sum_before
 
 PLANNED = "ELECTIVE"
 #: Bytes of text in one row of combined notes, about: a tenth of what a string can hold.
 PART_BYTES = 256 << 20
 
 
-def add_next_stay(stays: DataFrame, skip_elective: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add `next_stay`, the (admit_time, admit_type) of the same subject's next stay by admission time, then
+def add_next_stay(stays: DataFrame, skip_elective: bool = False, ranges: int | None = None) -> DataFrame:
+    """Add `next_stay`, the (admit_time, hadm_id, admit_type) of the same subject's next stay by admission time, then
     by hadm_id. With `skip_elective` it is the next stay that is not elective.
 
-    The stays of a subject are ordered within one task, except for subjects with a large share of all
-    rows: theirs are ordered day by day, and the last stay of a day takes the first one of the days after
-    it from a table with one row per day. A stay of an unknown subject has no next stay."""
-    subject, day = "subject_id", "stay_day"
-    nobody = stays.filter(F.col(subject).isNull())
-    stays = stays.filter(F.col(subject).isNotNull())
-    stay = F.struct("admit_time", "hadm_id", "admit_type")
-    if skip_elective:
-        stay = F.when(F.col("admit_type") != PLANNED, stay)
-    split = (
-        mark_hot(stays, [subject], hot_rows)
-        .withColumn(day, F.when(F.col("is_hot"), calendar_bucket("admit_time")))
+    The stays are scanned in order over ranges of subjects and times, so that a subject may have any share of
+    the rows. A stay of an unknown subject has no next stay."""
+    nobody = stays.filter(F.col("subject_id").isNull())
+    known = with_next(
+        stays.filter(F.col("subject_id").isNotNull()),
+        ["subject_id"],
+        ["admit_time", "hadm_id"],
+        F.struct("admit_time", "hadm_id", "admit_type"),
+        F.col("admit_type") != PLANNED if skip_elective else F.lit(True),
+        "next_stay",
+        ranges,
     )
-
-    def following(value: Column, partition: list[str], order: list[str]) -> Column:
-        if not skip_elective:
-            return F.lead(value).over(Window.partitionBy(*partition).orderBy(*order))
-        backwards = Window.partitionBy(*partition).orderBy(*[F.desc(name) for name in order])
-        return F.last(value, ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, -1))
-
-    in_day = split.withColumn("next_stay", following(stay, [subject, day], ["admit_time", "hadm_id"]))
-    days = (
-        split.filter("is_hot")
-        .groupBy(subject, day)
-        .agg(F.min(stay).alias("first_stay"))
-        .withColumn("next_day_stay", following(F.col("first_stay"), [subject], [day]))
-        .select(subject, day, "next_day_stay")
-    )
-    found = in_day.join(days, [subject, day], "left")
-    known = found.select(*stays.columns, F.coalesce("next_stay", "next_day_stay").alias("next_stay"))
     return known.unionByName(nobody.withColumn("next_stay", F.lit(None).cast(known.schema["next_stay"].dataType)))
 
 
@@ -60,14 +42,14 @@ def n_day_label(
     stays: DataFrame,
     splits: Sequence[float] = (30.0,),
     skip_elective: bool = False,
-    hot_rows: int = HOT_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add readmit_time, readmit_type, readmit_days (NULL unless the next stay is unplanned) and the label
     of the day bucket. Needs subject_id, hadm_id, admit_time, discharge_time, admit_type."""
     following = F.col("next_stay")
     unplanned = following["admit_type"] != PLANNED
     return (
-        add_next_stay(stays, skip_elective, hot_rows)
+        add_next_stay(stays, skip_elective, ranges)
         .withColumn("readmit_time", F.when(unplanned, following["admit_time"]))
         .withColumn("readmit_type", F.when(unplanned, following["admit_type"]))
         .drop("next_stay")
@@ -131,7 +113,7 @@ def _joined_texts(notes: DataFrame, keys: list[str], order: list[str], columns:
 
 
 def _combine(
-    notes: DataFrame, keys: list[str], order: list[str], columns: Sequence[str], part_bytes: int
+    notes: DataFrame, keys: list[str], order: list[str], columns: Sequence[str], part_bytes: int, ranges: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The combined notes of admissions within `part_bytes`, those of larger ones, and the keys of these."""
     out = [*keys, "part", "is_whole", *columns, "notes"]
@@ -142,18 +124,10 @@ def _combine(
     few = _joined_texts(notes.join(F.broadcast(large), keys, "left_anti"), keys, order, columns)
     ordinary = few.withColumn("part", F.lit(1).cast("bigint")).withColumn("is_whole", F.lit(True)).select(*out)
 
-    # bytes before a note: those of the days before, from a table with a row per day, and of the day so far
-    many = sized.join(F.broadcast(large), keys, "left_semi").withColumn("note_day", calendar_bucket(order[0]))
-    earlier = Window.partitionBy(*keys).orderBy("note_day").rowsBetween(Window.unboundedPreceding, -1)
-    days = many.groupBy(*keys, "note_day").agg(F.sum("note_bytes").alias("day_bytes")).withColumn(
-        "bytes_before", F.coalesce(F.sum("day_bytes").over(earlier), F.lit(0))
-    )
-    in_day = Window.partitionBy(*keys, "note_day").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("bytes_before") + F.coalesce(F.col("bytes_in_day"), F.lit(0))
-    cut = (
-        many.withColumn("bytes_in_day", F.sum("note_bytes").over(in_day))
-        .join(F.broadcast(days.drop("day_bytes")), [*keys, "note_day"])
-        .withColumn("part", (F.floor(before / part_bytes) + 1).cast("bigint"))
+    # the notes of large admissions are scanned in order over ranges of admissions and dates
+    many = notes.join(F.broadcast(large), keys, "left_semi").select(*dict.fromkeys([*keys, *order, *columns]))
+    cut = with_sum_before(many, keys, order, size, "bytes_before", ranges).withColumn(
+        "part", (F.floor(F.col("bytes_before") / part_bytes) + 1).cast("bigint")
     )
     parts = _joined_texts(cut, [*keys, "part"], order, columns)
     whole = parts.groupBy(*keys).agg((F.count(F.lit(1)) == 1).alias("is_whole"))
@@ -166,11 +140,12 @@ def combine_notes(
     order: Sequence[str] = ("chart_date", "row_id"),
     columns: Sequence[str] = ("text",),
     part_bytes: int = PART_BYTES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """The texts of an admission's notes, in order, joined by a space, as parts numbered from 1: a note is in
     part 1 + (bytes of the notes before it) // `part_bytes`. So an admission is one row, with `is_whole`, unless
     its notes have more bytes than a string or a task can hold. The order must be unique."""
-    ordinary, parts, _ = _combine(notes, list(keys), list(order), columns, part_bytes)
+    ordinary, parts, _ = _combine(notes, list(keys), list(order), columns, part_bytes, ranges)
     return ordinary.unionByName(parts)
 
 

@@ -33,13 +33,13 @@ def label_of(spark, *following, **options):
 def test_label(spark, following, days, label):
     assert label_of(spark, *following) == (days, label)
     # the same stays with the subject treated as too large for one task
-    assert label_of(spark, *following, hot_rows=0) == (days, label)
+    assert label_of(spark, *following, ranges=3) == (days, label)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 100_000])
-def test_skip_elective(spark, hot_rows):
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_skip_elective(spark, ranges):
     following = [(dt(2020, 2, 5), "ELECTIVE"), (dt(2020, 2, 10), "EMERGENCY")]
-    assert label_of(spark, *following, skip_elective=True, hot_rows=hot_rows) == (10, 1.0)
+    assert label_of(spark, *following, skip_elective=True, ranges=ranges) == (10, 1.0)
 
 
 @pytest.mark.parametrize("skip", [False, True])
@@ -47,7 +47,7 @@ def test_hot_subjects_get_the_same_labels(spark, skip):
     # every order belongs to one of three subjects, one of them with a third of the rows
     stays = roles.stays(spark, SF).withColumn("subject_id", F.col("subject_id") % 3)
     plain = cohort.n_day_label(stays, skip_elective=skip)
-    split = cohort.n_day_label(stays, skip_elective=skip, hot_rows=100)
+    split = cohort.n_day_label(stays, skip_elective=skip, ranges=23)
     assert plain.count() == stays.count()
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
 
