@@ -13,7 +13,7 @@ from notesight.jobs.roles import (
     NEGATORS, TRANSCRIPT_HEADERS, TRANSCRIPTS, dictionary, documents, document_notes, lexicon, transcripts, words_sql,
 )
 from notesight.jobs.text import _section_sql, corrections_sql, porter_sql, scores_sql
-from notesight.operators import features
+from notesight.operators import features, frequent
 from notesight.operators.cleaning import add_sections
 from notesight.plans.featurizers import Block, Featurizer, featurizer
 
@@ -76,6 +76,15 @@ def stem_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 TERM_COUNTS = "document_counts AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS term FROM tokens) GROUP BY ALL)"
 
 
+@query(
+    "bigram_top",
+    f"WITH {TOKENS}, {BIGRAMS}, {_counts_sql('counts', 'bigrams')} SELECT term, n FROM counts ORDER BY n DESC, term LIMIT {GRAM_SIZE}",
+)
+def bigram_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent bigrams, without a shuffle of all of them."""
+    return frequent.most_frequent(documents(spark, sf_dir), ngrams(_tokens(), 2), GRAM_SIZE)
+
+
 @query(
     "term_counts",
     f"""WITH {TOKENS}, {_counts_sql('counts', 'tokens')}, {_vocabulary_sql('vocabulary', 'counts', SIZE)}, {TERM_COUNTS}
