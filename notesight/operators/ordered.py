@@ -39,6 +39,10 @@ def _key_at(batch: pa.RecordBatch, keys: Sequence[str], row: int) -> tuple:
     return tuple(batch.column(k)[row].as_py() for k in keys)
 
 
+def _as(column: pa.Array, kind: pa.DataType) -> pa.Array:
+    return column if column.type == kind else column.cast(kind)
+
+
 def _edge(schema: StructType, arrow: pa.Schema, keys: Sequence[str], number: int, key: tuple, value: object) -> pa.RecordBatch:
     """One row that holds only the key, the number of the range and what it hands on."""
     known = dict(zip(keys, key)) | {RANGE: number, EDGE: True, VALUE: value}
@@ -83,11 +87,11 @@ def with_next(
             # -1 stands for what was carried into this batch
             source = np.where(before >= np.maximum(began, 0), before, -1)
             known = (source >= 0) | (began < 0)
-            values = batch.column(VALUE).cast(kind)
+            values = _as(batch.column(VALUE), kind)
             pool = pa.concat_arrays([pa.array([carried], kind), values])
             taken = pool.take(pa.array(np.where(known, source + 1, 0), mask=~known))
             columns = [batch.column(c) for c in kept] + [pa.array([number] * n, pa.int32()), pa.array([False] * n), taken]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([_as(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
             key = _key_at(batch, keys, n - 1)
             if last[-1] >= max(began[-1], 0):
                 carried = values[int(last[-1])].as_py()
@@ -137,7 +141,7 @@ def with_sum_before(
             began = np.maximum.accumulate(np.where(starts, np.arange(n), -1))
             sums = before[:-1] - np.where(began >= 0, before[np.maximum(began, 0)], 0)
             columns = [batch.column(c) for c in kept] + [pa.array([number] * n, pa.int32()), pa.array([False] * n), pa.array(sums)]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([_as(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
             key, carried = _key_at(batch, keys, n - 1), int(sums[-1] + amounts[-1])
         if key is not None:
             yield _edge(schema, arrow, keys, number, key, carried)
