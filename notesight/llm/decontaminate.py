@@ -1,8 +1,9 @@
 """Benchmark decontamination: windows of normalised benchmark words, as hash sets of a bounded size, are
 scanned over the words of every document; hits are verified word by word, then spans or documents removed.
 
-The benchmark goes to the executors in blocks of at most `block_bytes` of its text; each block is one more pass
-over the rows within the same stage, so that a benchmark of any size is scanned whole with bounded memory.
+The benchmark goes to the executors in blocks of at most `block_bytes` of its text. A block's set is sorted arrays: 20 bytes a
+window (hash, place, item) and 4 a word, beside a number for each distinct word. Each block is one more pass, and rows
+are written to the shared folder between two passes, so that one block is in memory at a time.
 
 Null or empty texts and texts without words have no windows and no hits. An item with fewer words than the
 width is one window. Repeated items count once by item_id; a null item_id marks words but is no item. Rows of
@@ -11,18 +12,16 @@ width is one window. Repeated items count once by item_id; a null item_id marks
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from notesight.llm.common import by_batch, reads
+from notesight.llm.common import by_batch, query_blocks, reads, staged
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-#: Benchmark text that one pass broadcasts, at most (plus one item).
-BLOCK_BYTES = 32 << 20
-
+#: Benchmark text that one pass broadcasts, at most (plus one item): about 25 MB of arrays, and the distinct words.
+BLOCK_BYTES = 4 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -32,52 +31,65 @@ def words_of(text: str | None) -> list[bytes]:
 
 @dataclass
 class Windows:
-    """Hash sets of the windows of some items, one for each window length."""
+    """The windows of some items as sorted hashes, for each window length, with where each window is."""
 
     width: int
-    vocabulary: dict[bytes, int] = field(default_factory=dict)
-    items: dict[bytes, set] = field(default_factory=dict)  # by the window's word numbers
-    hashes: dict[int, np.ndarray] = field(default_factory=dict)  # sorted, by length
+    vocabulary: dict[bytes, int]
+    numbers: np.ndarray  # of the words of all items, one after the other
+    ids: list  # of the items
+    sets: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # hashes, places, items, by length
 
     @classmethod
     def of(cls, items: list[tuple[object, str | None]], width: int) -> Windows:
-        made = cls(width)
-        by_length: dict[int, list[np.ndarray]] = {}
-        for item_id, text in items:
-            numbers = np.array([made.vocabulary.setdefault(w, len(made.vocabulary) + 1) for w in words_of(text)], np.uint32)
+        vocabulary: dict[bytes, int] = {}
+        every, at, sets = [], 0, {}
+        for item, (_, text) in enumerate(items):
+            numbers = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)], np.uint32)
             length = min(width, len(numbers))
-            if not length:
-                continue
-            for at in range(len(numbers) - length + 1):
-                window = made.items.setdefault(numbers[at : at + length].tobytes(), set())
-                if item_id is not None:
-                    window.add(item_id)
-            by_length.setdefault(length, []).append(_rolled(numbers, length))
-        made.hashes = {length: np.unique(np.concatenate(h)) for length, h in by_length.items()}
-        return made
+            if length:
+                hashes = _rolled(numbers, length)
+                places = np.arange(at, at + len(hashes), dtype=np.int64)
+                sets.setdefault(length, []).append((hashes, places, np.full(len(hashes), item, np.int32)))
+            every.append(numbers)
+            at += len(numbers)
+        made = {}
+        for length, parts in sets.items():
+            hashes, places, owners = (np.concatenate(p) for p in zip(*parts))
+            order = np.lexsort((owners, hashes))
+            made[length] = hashes[order], places[order], owners[order]
+        return cls(width, vocabulary, np.concatenate(every or [np.zeros(0, np.uint32)]), [i for i, _ in items], made)
 
     def scan(self, words: list[bytes]) -> tuple[np.ndarray, set]:
         """Which words lie in a window that occurs, and the items of those windows."""
         hit = np.zeros(len(words) + 1, np.int32)
-        items: set = set()
+        found: set[int] = set()
         get = self.vocabulary.get
         numbers = np.array([get(w, 0) for w in words], np.uint32)
         known = np.concatenate([[0], (numbers > 0).cumsum()])
-        for length, hashes in self.hashes.items():
+        for length, (hashes, places, owners) in self.sets.items():
             if len(numbers) < length:
                 continue
             whole = np.flatnonzero(known[length:] - known[:-length] == length)
             if not len(whole):
                 continue
             rolled = _rolled(numbers, length)[whole]
-            place = np.minimum(np.searchsorted(hashes, rolled), len(hashes) - 1)
-            for at in whole[hashes[place] == rolled]:
-                found = self.items.get(numbers[at : at + length].tobytes())  # verified on the words themselves
-                if found is not None:
-                    hit[at] += 1
-                    hit[at + length] -= 1
-                    items |= found
-        return hit.cumsum()[:-1] > 0, items
+            first, last = np.searchsorted(hashes, rolled), np.searchsorted(hashes, rolled, side="right")
+            seen: dict[int, np.ndarray] = {}
+            for at, low, high in zip(*(a[last > first].tolist() for a in (whole, first, last))):
+                window = numbers[at : at + length]
+                # verified on the words themselves, once for each window that is found again
+                before = seen.get(low)
+                if before is None or not np.array_equal(before, window):
+                    same = np.ones(high - low, bool)
+                    for j in range(length):
+                        same &= self.numbers[places[low:high] + j] == window[j]
+                    if not same.any():
+                        continue
+                    seen[low] = window
+                    found.update(owners[low:high][same].tolist())
+                hit[at] += 1
+                hit[at + length] -= 1
+        return hit.cumsum()[:-1] > 0, {self.ids[i] for i in found} - {None}
 
 
 def _rolled(numbers: np.ndarray, length: int) -> np.ndarray:
@@ -89,24 +101,6 @@ def _rolled(numbers: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[object, str | None]]]:
-    """The benchmark in blocks, each sent to the driver by itself. Rows are dealt by a hash; a block that
-    is still too large is dealt again, down to single rows."""
-    bytes_of = F.coalesce(F.octet_length(text), F.lit(0))
-    total = benchmark.agg(F.sum(bytes_of)).first()[0] or 0
-    n = max(1, -(-2 * total // block_bytes) if total > block_bytes else 1)
-    dealt = benchmark.select(item, text, F.pmod(F.xxhash64(item, text), F.lit(n)).alias("block"))
-    for block in range(n):
-        rows, size = [], 0
-        for row in dealt.filter(F.col("block") == block).toLocalIterator():
-            rows.append((row[0], row[1]))
-            size += len(row[1] or "") * 4
-            if size > 4 * block_bytes:
-                yield rows
-                rows, size = [], 0
-        yield rows
-
-
 def scan(
     docs: DataFrame, benchmark: DataFrame, width: int = 10, keep: list[str] | None = None, text: str = "text",
     item: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES,
@@ -119,7 +113,10 @@ def scan(
         *keep, F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
         F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("hit_items"),
     )
-    for items in _blocks(benchmark, item, item_text, block_bytes):
+    rest = query_blocks(benchmark.select(item, item_text), item_text, block_bytes)
+    for number, items in enumerate(rest):
+        if number:
+            scanned = staged(scanned, "scanned")
         index = docs.sparkSession.sparkContext.broadcast(Windows.of(items, width))
 
         @reads(text)

@@ -178,6 +178,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,
     before = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("split").agg((F.max("in_split") + 1).alias("n"))
     firsts = counts.select("split", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    return rows.join(firsts, "split").select(
+    return rows.join(F.broadcast(firsts), "split").select(  # one row for each input split
         "doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", (F.col("first") + F.col("in_split")).alias("sequence_id"), "offset"
     )

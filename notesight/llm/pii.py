@@ -79,7 +79,7 @@ CYRILLIC = dict(zip("авеікмнорстухјѕѵԁԛԝАВЕІКМНОРС
 GREEK = dict(zip("αικνορυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aiknopuxABEZHIKMNOPTYX"))
 WIDTHLESS = "".join(map(chr, (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)))
 SIGNS = dict(zip("‐‑‒–․。｡﹫", "----...@"))
-# Words for digits, and endings of host names that make a bare "at ... dot ..." an address.
+# Words for digits, and endings of host names that make a bare "at ... . ..." an address; after the word dot any ending does.
 DIGITS = "zero one two three four five six seven eight nine".split()
 ENDINGS = "com org net edu gov info biz io co de fr es uk us it nl ru eu example test".split()
 
@@ -98,8 +98,12 @@ BRACKETED = re.compile(r"(?i)[\[({<]\s{0,3}(?:(?P<at>at|@)|dot|\.)\s{0,3}[\])}>]
 CODED = re.compile(r"(?i)(?P<at>&#0{0,3}64;|&#x0{0,3}40;|&commat;)|&#0{0,3}46;|&#x0{0,3}2e;|&period;")
 _ARTICLE = "the|a|an|this|that|these|those|my|your|our|his|her|their|any|each|every|some|no"  # fixed values: not a host
 BARE = re.compile(
-    rf"(?i)(?<=[a-z0-9])(?P<at> {{1,2}}(?:at|@) {{1,2}})(?!(?:{_ARTICLE}) )(?=(?:[a-z0-9-]{{1,63}} {{1,2}}(?:dot|\.) {{1,2}}){{1,4}}{_TLD})"
+    rf"(?i)(?<=[a-z0-9])(?P<at> {{1,2}}(?:at|@) {{1,2}})(?!(?:{_ARTICLE}) )(?=(?:[a-z0-9-]{{1,63}} {{1,2}}(?:dot|\.) {{1,2}}){{0,3}}[a-z0-9-]{{1,63}}"
+    rf" {{1,2}}(?:dot {{1,2}}[a-z]{{2,24}}(?![a-z0-9])|\. {{1,2}}{_TLD}))"
 )
+#: Names joined by the word dot before an "at".
+LOCAL_DOTS = re.compile(r"(?i)(?<![a-z0-9._%+-])(?:[a-z0-9_%+-]{1,64} {1,2}dot {1,2}){1,4}[a-z0-9_%+-]{1,64}\Z")
+DOT_WORD = re.compile(r"(?i) {1,2}dot {1,2}")
 BARE_DOT = re.compile(rf"(?i)(?<=[a-z0-9-])( {{1,2}}(?:dot|\.) {{1,2}})(?=[a-z0-9])")
 
 
@@ -145,6 +149,10 @@ def bare_at_and_dot(text: str) -> Iterator[Edit]:
     for found in BARE.finditer(text) if " dot " in text.lower() or " . " in text else ():
         if found.start() < done:
             continue
+        low = max(done, found.start() - 360)
+        if names := LOCAL_DOTS.search(text[low : found.start()]):
+            for dot in DOT_WORD.finditer(text, low + names.start(), low + names.end()):
+                yield *dot.span(), "."
         yield *found.span("at"), "@"
         at = found.end()
         while dot := BARE_DOT.search(text, at, at + 68):  # a label and the dot after it

@@ -96,7 +96,7 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(text).alias("text_crc32"),
         F.xxhash64(text).alias("ring_key"),
     )
-    placed = ring.assign(rows, F.col("ring_key"), shards=8)
+    placed = ring.assign(rows, F.col("ring_key"), shards=8, ties=["doc_id"])
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),

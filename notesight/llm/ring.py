@@ -9,20 +9,21 @@ With `slack` 0 the capacities are the exact even shares, so that counts differ b
 moves fewer keys when shards are added. Equal keys lie on one arc and stay together unless their shard fills up.
 
 Null keys hash like any value. Repeated rows each take a place of their own. An empty table gives no rows.
-Columns named arc, rank, split, place, shard or slot are replaced."""
+Columns named shard or slot are replaced."""
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from notesight.llm.common import numbered
+from notesight.operators.ordered import with_sum_before
 
-OWN = ("arc", "rank", "split", "place", "shard", "slot", "local_rank", "ranks_before")
+OWN = ("shard", "slot")
 
 
 def virtual_nodes(shards: int, nodes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,23 +64,24 @@ def walk(counts: np.ndarray, owners: np.ndarray, room: list[int]) -> list[tuple[
     return blocks
 
 
-def assign(df: DataFrame, key: Column, shards: int, nodes: int = 64, slack: float = 0.0) -> DataFrame:
-    """Add `shard` and `slot` (its place there, gapless from 0). `df` is staged once; no rows of an arc meet in
-    one task, and what goes to the driver and back has shards x nodes rows, and `shards` more, at most."""
+def assign(df: DataFrame, key: Column, shards: int, nodes: int = 64, slack: float = 0.0, ties: Sequence[str] = ()) -> DataFrame:
+    """Add `shard` and `slot` (its place there, gapless from 0). The rows are ranked along the ring by a scan over ranges, and
+    written once; no rows of an arc meet in one task, and what goes to the driver and back has shards x nodes
+    rows, and `shards` more, at most. Rows equal in key and `ties` are placed in any order."""
     spark = df.sparkSession
     kept = [c for c in df.columns if c not in OWN]
     positions, owners = virtual_nodes(shards, nodes)
 
     def arcs(batches):
         for batch in batches:
-            keys = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            keys = batch.column("hash").to_numpy(zero_copy_only=False)
             arc = np.searchsorted(positions, keys) % len(positions)
-            columns = [*batch.columns[:-1], pa.array(arc.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "arc"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(arc.astype(np.int32))], [*batch.schema.names, "arc"])
 
-    schema = StructType([df.schema[c] for c in kept] + [StructField("arc", IntegerType())])
-    placed = df.select(*kept, F.xxhash64(key).alias("arc")).mapInArrow(arcs, schema)
-    ranked = numbered(placed, ["arc"], "ring")
+    order = [f"tie_{i}" for i in range(len(ties))]
+    rows = df.select(F.struct(*kept).alias("row"), F.xxhash64(key).alias("hash"), *[F.col(t).alias(o) for t, o in zip(ties, order)])
+    placed = rows.mapInArrow(arcs, StructType([*rows.schema.fields, StructField("arc", IntegerType())]))
+    ranked = with_sum_before(placed, ["arc"], ["hash", *order], F.lit(1), "rank")
     counts = np.zeros(len(owners), np.int64)
     for arc, n in ranked.groupBy("arc").agg(F.max("rank") + 1).collect():
         counts[arc] = n
@@ -87,5 +89,5 @@ def assign(df: DataFrame, key: Column, shards: int, nodes: int = 64, slack: floa
     table = spark.createDataFrame(blocks, "arc int, low long, high long, shard int, base long")
     inside = (ranked["arc"] == table["arc"]) & (ranked["rank"] >= table["low"]) & (ranked["rank"] < table["high"])
     return ranked.join(F.broadcast(table), inside).select(
-        *[ranked[c] for c in kept], "shard", (F.col("base") + ranked["rank"] - F.col("low")).alias("slot")
+        *[F.col("row")[c].alias(c) for c in kept], "shard", (F.col("base") + ranked["rank"] - F.col("low")).alias("slot")
     )

@@ -113,8 +113,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label_of_sample")
         .limit(max_rows)
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(max_rows).repartition("doc_id")
+    # texts stay where they are: rows of numbers are ordered and cut
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     stats = with_stats(texts, keep=["doc_id", "label_of_sample"])
-    rows = stats.select(*[ratio(f).alias(f) for f in FEATURES], "label_of_sample", "doc_id").toPandas()
+    numbers = stats.select(*[ratio(f).alias(f) for f in FEATURES], "label_of_sample", "doc_id")
+    rows = numbers.orderBy(F.xxhash64("doc_id"), *numbers.columns[::-1]).limit(max_rows).toPandas()
     rows = rows.sort_values(list(rows.columns), kind="stable")  # the same model however the rows arrive
     return rows[list(FEATURES)].to_numpy(float), rows["label_of_sample"].to_numpy(float)

@@ -195,7 +195,7 @@ def _plain(file) -> Iterator[tuple[bytes, object]]:
 
 
 class _Member:
-    """One gzip member, inflated only as far as asked for."""
+    """One gzip member, inflated only as far as asked for; what has been passed is let go."""
 
     def __init__(self, file, start: int, header: int, length: int | None):
         self.file, self.at, self.stop = file, start + header, None if length is None else start + length
@@ -214,55 +214,72 @@ class _Member:
             self.out += self.inflate.decompress(data, max(n - len(self.out), 1 << 12))
         return self.out
 
+    def skip(self, n: int) -> bool:
+        """Pass over n bytes; whether a record follows, with nothing but line ends before it."""
+        while n > len(self.out) and not self.inflate.eof:
+            n -= len(self.out)
+            self.out = b""
+            self.until(min(n, 1 << 16))
+        self.out = self.out[n:]
+        while not (rest := self.until(4).lstrip(b"\r\n")) and not self.inflate.eof:
+            self.out = b""
+        self.out = self.out.lstrip(b"\r\n")
+        return bool(rest)
+
     def end(self) -> int:
         """Where the next member starts, inflating the rest only if the length is unknown."""
         if self.stop is not None:
             return self.stop
-        kept = self.out
         while not self.inflate.eof:
             self.out = b""
             self.until(1 << 16)
-        self.out = kept
         return self.at - len(self.inflate.unused_data) + 8  # after the sum and size
 
 
 def _members(file) -> Iterator[tuple[bytes, object]]:
+    """Headers and a function for the first n bytes of the block, of each record of each member. A member that states its
+    whole size is left after its last record without inflating more."""
     size, at = file.size(), 0
     while at < size:
         file.seek(at)
         start = file.read(4096)
-        header, length = _gzip_header(start)
-        member = _Member(file, at, header, length)
-        n = 2048
-        while (end := member.until(n).find(b"\r\n\r\n")) < 0 and not member.inflate.eof:
-            n *= 2
-        if end < 0:
-            raise ValueError("WARC record without an end of its headers")
+        header, length, whole = _gzip_header(start)
+        member, more, passed = _Member(file, at, header, length), True, 0
+        while more:
+            n = 2048
+            while (end := member.until(n).find(b"\r\n\r\n")) < 0 and not member.inflate.eof:
+                n *= 2
+            if end < 0:
+                raise ValueError("WARC record without an end of its headers")
 
-        def body(n: int, member=member, end=end) -> bytes:
-            return member.until(end + 4 + n)[end + 4 : end + 4 + n]
+            def body(n: int, member=member, end=end) -> bytes:
+                return member.until(end + 4 + n)[end + 4 : end + 4 + n]
 
-        yield member.out[:end], body
+            head = member.out[:end]
+            yield head, body
+            record = end + 4 + int(parse_headers(head).get("content-length", 0)) + 4
+            passed += record
+            more = (whole is None or passed < whole) and member.skip(record)
         at = member.end()
 
 
-def _gzip_header(data: bytes) -> tuple[int, int | None]:
-    """Its length, and the length of the member if an `sl` field says it."""
+def _gzip_header(data: bytes) -> tuple[int, int | None, int | None]:
+    """Its length, and the lengths of the member and of what it inflates to if an `sl` field says them."""
     if data[:3] != b"\x1f\x8b\x08":
         raise ValueError("not a gzip member")
-    flags, at, length = data[3], 10, None
+    flags, at, length, whole = data[3], 10, None, None
     if flags & 4:
         (n,) = struct.unpack_from("<H", data, at)
         field, at = data[at + 2 : at + 2 + n], at + 2 + n
         while len(field) >= 4:
             (m,) = struct.unpack_from("<H", field, 2)
             if field[:2] == b"sl" and m == 8:
-                (length,) = struct.unpack_from("<I", field, 4)
+                length, whole = struct.unpack_from("<II", field, 4)
             field = field[4 + m :]
     for flag in (8, 16):  # name, comment
         if flags & flag:
             at = data.index(b"\0", at) + 1
-    return at + 2 * bool(flags & 2), length or None
+    return at + 2 * bool(flags & 2), length or None, whole if length else None
 
 
 @dataclass

@@ -183,3 +183,33 @@ def test_no_pages(spark, tmp_path):
     folder = f"file://{tmp_path}/none"
     warc.write(warc.archived(pages(spark, ODD_PAGES).filter("false"), "page_id", "url", "html"), folder)
     assert warc.read(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("cuts", [[0, 5], [0, 2, 5], [0, 1, 2, 3, 4, 5]])
+def test_every_record_of_a_member_is_read(spark, tmp_path, cuts):
+    rows = [dict(record_id=f"urn:page:{i}", record_type="response", target_uri="u", refers_to=None, payload_digest=None, payload_bytes=None,
+                 payload=b"x" * (i * 40_000)) for i in range(5)]
+    made = [warc.record(r) for r in rows]
+    members = [gzip.compress(b"".join(made[a:b]) + b"\r\n" * (a == 0)) for a, b in zip(cuts, cuts[1:])]
+    (tmp_path / "one.warc.gz").write_bytes(b"".join(members))
+    got = {r.record_id: (r.payload_bytes, bytes(r.payload)) for r in warc.read(spark, str(tmp_path)).collect()}
+    assert got == {r["record_id"]: (len(r["payload"]), r["payload"]) for r in rows}
+    light = warc.read(spark, str(tmp_path), payload=False).select("record_id", "payload_bytes").collect()
+    assert {r.record_id: r.payload_bytes for r in light} == {k: v[0] for k, v in got.items()}
+
+
+@pytest.mark.parametrize("text, spans", [
+    ("write jane at mail dot ca now", [(6, 25)]), ("jane dot doe at example dot com", [(0, 31)]), ("see a dot b dot c at mail dot co dot jp", [(4, 39)]),
+    ("we looked at the dot com", []), ("she is at home . then", []), ("bob at mail . com", [(0, 17)]), ("bob at mail dot c3", []),
+])
+def test_names_and_endings_of_bare_addresses(spark, text, spans):
+    found = pii.detect(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().spans
+    assert [(s.start, s.end) for s in found if s.kind == "email"] == spans
+
+
+def test_windows_of_many_items(spark):
+    shared = " ".join(f"w{i}" for i in range(12))
+    items = [(i, shared + f" end{i}") for i in range(50)] + [(None, "w3"), (99, "w5")]
+    docs = spark.createDataFrame([(1, "x " + shared + " " + shared), (2, "w3 w4"), (3, "y")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.hit_items) for r in decontaminate.scan(docs, spark.createDataFrame(items, ITEMS), block_bytes=700).collect()}
+    assert got == {1: (24, sorted(map(str, [*range(50), 99]))), 2: (1, []), 3: (0, [])}

@@ -236,3 +236,15 @@ def test_pipeline_stages_on_odd_rows(spark, odd, sf):
         assert stage(spark, odd, sf).columns == odd.columns
         assert stage(spark, odd.filter("false"), sf).count() == 0
         stage(spark, odd, sf).count()
+
+
+@pytest.mark.parametrize("slack", [0, 0.2])
+def test_shards_do_not_depend_on_files(spark, slack):
+    rows = [(i, str(i % 70 if i % 3 else 1), {"a": i}) for i in range(900)]
+    random.Random(1).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rank map<string,int>")
+    placed = [
+        sorted((r.doc_id, r.shard, r.slot, r["rank"]["a"]) for r in ring.assign(d, F.col("text"), shards=5, slack=slack, ties=["doc_id"]).collect())
+        for d in (docs.repartition(7), docs.orderBy("doc_id").coalesce(1))
+    ]
+    assert placed[0] == placed[1]
