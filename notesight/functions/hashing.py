@@ -15,6 +15,17 @@ def hash_fraction(*parts: Column | str, digits: int = 8) -> Column:
     return F.conv(F.substring(digest, 1, digits), 16, 10).cast("double") / F.lit(16.0**digits)
 
 
+#: Hexadecimal digits of a `hash_number`, as many as a long holds.
+HASH_DIGITS = 15
+
+
+def hash_number(*parts: Column | str) -> Column:
+    """A long from the first HASH_DIGITS digits of the same MD5."""
+    columns = [F.col(part) if isinstance(part, str) else part for part in parts]
+    digest = F.md5(F.concat_ws("|", *[column.cast("string") for column in columns]))
+    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("long")
+
+
 def poisson_copies(fraction: Column, mean: float) -> Column:
     """How often a row is drawn in a sample with replacement: the Poisson quantile of `fraction`, for any
     mean. The cumulative probabilities go into one array literal of about 17 standard deviations; what lies

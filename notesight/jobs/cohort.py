@@ -299,6 +299,19 @@ def balance_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.balance(_labels(spark, sf_dir), LINE_KEYS)
 
 
+@query(
+    "balance_exact",
+    f"""WITH {LABELS}, ranked AS (
+  SELECT *, row_number() OVER (ORDER BY CAST('0x' || substr(md5(concat_ws('|', 'balance12345', CAST(l_orderkey AS VARCHAR),
+    CAST(l_linenumber AS VARCHAR))), 1, 15) AS BIGINT)) AS place FROM line_labels WHERE label <> 1
+) SELECT * FROM line_labels WHERE label = 1
+UNION ALL SELECT * EXCLUDE (place) FROM ranked WHERE place <= (SELECT count(*) FROM line_labels WHERE label = 1)""",
+)
+def balance_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many rows of the other class as there are positive ones, exactly."""
+    return sampling.balance_exact(_labels(spark, sf_dir), ["l_orderkey", "l_linenumber"])
+
+
 @query(
     "negatives_except",
     f"""WITH {LABELS} SELECT l_orderkey, label FROM line_labels

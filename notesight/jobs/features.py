@@ -10,11 +10,13 @@ from notesight.functions.words import REMOVER_STOP_WORDS
 from notesight.config import spread, stage
 from notesight.jobs import query
 from notesight.jobs.roles import (
-    NEGATORS, TRANSCRIPT_HEADERS, TRANSCRIPTS, dictionary, documents, document_notes, lexicon, transcripts, words_sql,
+    NEGATORS, TRANSCRIPT_HEADERS, TRANSCRIPTS, dictionary, documents, document_notes, hash_fraction_sql, lexicon, transcripts,
+    words_sql,
 )
 from notesight.jobs.text import _section_sql, corrections_sql, porter_sql, scores_sql
 from notesight.operators import features, frequent
 from notesight.operators.cleaning import add_sections
+from notesight.operators.sampling import split_ratio
 from notesight.plans.featurizers import Block, Featurizer, featurizer
 
 STOPS = "(" + ", ".join("'" + word.replace("'", "''") + "'" for word in REMOVER_STOP_WORDS) + ")"
@@ -168,6 +170,21 @@ def bow_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(featurizer("bag_of_words").fit(rows).transform(rows))
 
 
+IS_TEST = f"{hash_fraction_sql('split12345', 'doc_id', 'doc_id')} < CAST(0.15 AS DOUBLE)"
+
+
+@query(
+    "bow_vectors_held_out",
+    f"""WITH {DOCUMENT_WORDS.replace('SELECT term, CAST(sum(n) AS BIGINT) AS n FROM kept', f'SELECT term, CAST(sum(n) AS BIGINT) AS n FROM kept WHERE NOT ({IS_TEST})')},
+  {_vocabulary_sql('vocabulary', 'totals', SIZE)}
+SELECT doc_id, feature, CAST(k.n AS DOUBLE) AS value FROM kept k JOIN vocabulary v ON v.value = k.term WHERE {IS_TEST}""",
+)
+def bow_vectors_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on the training documents, applied to the others."""
+    train, test = split_ratio(document_notes(spark, sf_dir), ["subject_id", "hadm_id"])
+    return _long(featurizer("bag_of_words").fit(train).transform(test))
+
+
 @query(
     "tfidf_vectors",
     f"""WITH kept AS (SELECT doc_id, term, count(*) AS n FROM (

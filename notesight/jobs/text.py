@@ -221,14 +221,26 @@ def sentence_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.sentence_sentiment(documents(spark, sf_dir), lexicon(spark), NEGATORS, ["doc_id"])
 
 
+def _deletions_sql(name: str, source: str) -> str:
+    """{name}(term, part): the words of a table with none, one or two letters left out."""
+    less = lambda table: f"""SELECT DISTINCT term, substr(part, 1, i - 1) || substr(part, i + 1) AS part
+    FROM (SELECT term, part, unnest(range(1, length(part) + 1)) AS i FROM {table})"""
+    return f"""{name}_0 AS MATERIALIZED (SELECT term, term AS part FROM {source}), {name}_1 AS MATERIALIZED ({less(f'{name}_0')}),
+  {name}_2 AS MATERIALIZED ({less(f'{name}_1')}),
+  {name} AS MATERIALIZED (SELECT * FROM {name}_0 UNION SELECT * FROM {name}_1 UNION SELECT * FROM {name}_2)"""
+
+
 def corrections_sql(source: str) -> str:
-    """corrections(term, corrected, distance) of the words of a table's texts, by comparing all pairs."""
-    return f"""{DICTIONARY}, tokens AS (
+    """corrections(term, corrected, distance) of the words of a table's texts: words at most two changes apart are equal
+    with at most two letters left out of each."""
+    return f"""{DICTIONARY}, tokens AS MATERIALIZED (
   SELECT DISTINCT unnest({words_sql('text')}) AS term FROM {source}
-), near AS (
-  SELECT t.term, d.term AS candidate, d.n, levenshtein(t.term, d.term) AS distance
-  FROM (SELECT * FROM tokens ANTI JOIN dictionary USING (term)) t
-  JOIN dictionary d ON length(d.term) BETWEEN length(t.term) - 2 AND length(t.term) + 2
+), unknown AS MATERIALIZED (
+  SELECT term FROM tokens ANTI JOIN dictionary USING (term) WHERE length(term) <= (SELECT max(length(term)) + 2 FROM dictionary)
+), {_deletions_sql('token_parts', 'unknown')}, {_deletions_sql('known_parts', 'dictionary')}, pairs AS MATERIALIZED (
+  SELECT DISTINCT t.term, k.term AS candidate FROM token_parts t JOIN known_parts k USING (part)
+), near AS MATERIALIZED (
+  SELECT p.term, candidate, d.n, levenshtein(p.term, candidate) AS distance FROM pairs p JOIN dictionary d ON d.term = candidate
 ), best AS (
   SELECT term, candidate AS corrected, CAST(distance AS INTEGER) AS distance FROM (
     SELECT *, row_number() OVER (PARTITION BY term ORDER BY distance, n DESC, candidate) AS place
@@ -256,34 +268,34 @@ def porter_sql(source: str) -> str:
     def suffix_step(name: str, before: str, endings: dict[str, str], measure: str, extra: str = "TRUE") -> str:
         pattern = "(" + "|".join(endings) + ")$"
         cases = " ".join(f"WHEN '{old}' THEN '{new}'" for old, new in endings.items())
-        return f"""{name}_found AS (SELECT term, w, suffix, substr(w, 1, length(w) - length(suffix)) AS root
+        return f"""{name}_found AS MATERIALIZED (SELECT term, w, suffix, substr(w, 1, length(w) - length(suffix)) AS root
     FROM (SELECT term, w, regexp_extract(w, '{pattern}', 1) AS suffix FROM {before})),
-  {name} AS (SELECT term, CASE WHEN suffix <> '' AND {has('root', measure)} AND {extra}
+  {name} AS MATERIALIZED (SELECT term, CASE WHEN suffix <> '' AND {has('root', measure)} AND {extra}
     THEN root || CASE suffix {cases} END ELSE w END AS w FROM {name}_found)"""
 
-    return f"""p0 AS (SELECT term, regexp_replace(term, '^y', 'Y') AS w FROM {source}),
-  p1 AS (SELECT term, CASE WHEN w LIKE '%sses' OR w LIKE '%ies' THEN {cut('w', 2)} WHEN w LIKE '%ss' THEN w
+    return f"""p0 AS MATERIALIZED (SELECT term, regexp_replace(term, '^y', 'Y') AS w FROM {source}),
+  p1 AS MATERIALIZED (SELECT term, CASE WHEN w LIKE '%sses' OR w LIKE '%ies' THEN {cut('w', 2)} WHEN w LIKE '%ss' THEN w
     WHEN w LIKE '%s' THEN {cut('w', 1)} ELSE w END AS w FROM p0),
-  p2 AS (SELECT term, w, CASE WHEN w LIKE '%eed' THEN NULL
+  p2 AS MATERIALIZED (SELECT term, w, CASE WHEN w LIKE '%eed' THEN NULL
     WHEN w LIKE '%ed' AND {has(cut('w', 2), HAS_VOWEL)} THEN {cut('w', 2)}
     WHEN w LIKE '%ing' AND {has(cut('w', 3), HAS_VOWEL)} THEN {cut('w', 3)} END AS root FROM p1),
-  p3 AS (SELECT term, CASE WHEN w LIKE '%eed' THEN CASE WHEN {has(cut('w', 3), MEASURE_1_UP)} THEN {cut('w', 1)} ELSE w END
+  p3 AS MATERIALIZED (SELECT term, CASE WHEN w LIKE '%eed' THEN CASE WHEN {has(cut('w', 3), MEASURE_1_UP)} THEN {cut('w', 1)} ELSE w END
     WHEN root IS NULL THEN w
     WHEN {has('root', '(at|bl|iz)$')} OR {has('root', SHORT_SYLLABLE)} THEN root || 'e'
     WHEN {has('root', DOUBLE_CONSONANT)} THEN {cut('root', 1)} ELSE root END AS w FROM p2),
-  p4 AS (SELECT term, CASE WHEN w LIKE '%y' AND {has(cut('w', 1), HAS_VOWEL)} THEN {cut('w', 1)} || 'i' ELSE w END AS w FROM p3),
+  p4 AS MATERIALIZED (SELECT term, CASE WHEN w LIKE '%y' AND {has(cut('w', 1), HAS_VOWEL)} THEN {cut('w', 1)} || 'i' ELSE w END AS w FROM p3),
   {suffix_step('p5', 'p4', STEP_2, MEASURE_1_UP)},
   {suffix_step('p6', 'p5', STEP_3, MEASURE_1_UP)},
   {suffix_step('p7', 'p6', {ending: '' for ending in STEP_4}, MEASURE_2_UP, "(suffix <> 'ion' OR root LIKE '%s' OR root LIKE '%t')")},
-  p8 AS (SELECT term, CASE WHEN w LIKE '%e' AND ({has(cut('w', 1), MEASURE_2_UP)} OR
+  p8 AS MATERIALIZED (SELECT term, CASE WHEN w LIKE '%e' AND ({has(cut('w', 1), MEASURE_2_UP)} OR
       ({has(cut('w', 1), MEASURE_1)} AND NOT {has(cut('w', 1), SHORT_SYLLABLE)})) THEN {cut('w', 1)} ELSE w END AS w FROM p7),
-  p9 AS (SELECT term, CASE WHEN w LIKE '%ll' AND {has('w', MEASURE_2_UP)} THEN {cut('w', 1)} ELSE w END AS w FROM p8),
-  stems AS (SELECT term, CASE WHEN length(term) > 2 THEN lower(w) ELSE term END AS stem FROM p9)"""
+  p9 AS MATERIALIZED (SELECT term, CASE WHEN w LIKE '%ll' AND {has('w', MEASURE_2_UP)} THEN {cut('w', 1)} ELSE w END AS w FROM p8),
+  stems AS MATERIALIZED (SELECT term, CASE WHEN length(term) > 2 THEN lower(w) ELSE term END AS stem FROM p9)"""
 
 
 @query(
     "stems",
-    f"""WITH words AS (
+    f"""WITH words AS MATERIALIZED (
   SELECT term, count(*) AS n FROM (SELECT unnest({words_sql('text')}) AS term FROM documents) GROUP BY term
 ), {porter_sql('words')} SELECT term, n, stem FROM words JOIN stems USING (term)""",
 )

@@ -6,7 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from notesight.functions.hashing import hash_fraction, poisson_copies
+from notesight.functions.hashing import HASH_DIGITS, hash_fraction, hash_number, poisson_copies
+from notesight.operators.ordered import with_sum_before
+
+#: Bits of a hash that are counted in one round.
+STEP_BITS = 12
 
 
 def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 12345) -> DataFrame:
@@ -58,6 +62,37 @@ def balance(df: DataFrame, keys: Sequence[str], seed: int = 12345) -> DataFrame:
     return df.filter((F.col("label") == 1) | ((F.col("label") != 1) & drawn))
 
 
+def smallest(df: DataFrame, keys: Sequence[str], count: int, prefix: str) -> DataFrame:
+    """Exactly `count` rows of `df` (all, if it has fewer): those with the smallest hashes of the keys, then keys.
+
+    The largest hash taken is found digit by digit: each round counts the rows by the next three of the fifteen
+    hexadecimal digits. Rows are not sorted; only those that share that one hash are ranked."""
+    hashed = df.withColumn("chosen_by", hash_number(F.lit(prefix), *keys))
+    low, left, bits = 0, count, 4 * HASH_DIGITS
+    while bits:
+        bits -= STEP_BITS
+        within = hashed.filter(F.shiftright("chosen_by", bits + STEP_BITS) == low >> STEP_BITS)
+        digit = F.shiftright("chosen_by", bits).alias("digit")
+        # at most 2^STEP_BITS rows
+        for number, n in sorted(map(tuple, within.groupBy(digit).agg(F.count(F.lit(1))).collect())):
+            if left <= n:
+                low = number
+                break
+            left -= n
+        else:
+            return df
+        low = low << STEP_BITS if bits else low
+    sure = hashed.filter(F.col("chosen_by") < low)
+    ties = with_sum_before(hashed.filter(F.col("chosen_by") == low), ["chosen_by"], list(keys), F.lit(1), "place")
+    return sure.select(*df.columns).unionByName(ties.filter(F.col("place") < left).select(*df.columns))
+
+
+def balance_exact(df: DataFrame, keys: Sequence[str], seed: int = 12345) -> DataFrame:
+    """All positive rows and exactly as many of the others (all, if there are fewer), by a hash of the key."""
+    positive = df.filter(F.col("label") == 1)
+    return positive.unionByName(smallest(df.filter(F.col("label") != 1), keys, positive.count(), f"balance{seed}"))
+
+
 def bags(
     df: DataFrame,
     keys: Sequence[str],

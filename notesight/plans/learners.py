@@ -3,6 +3,7 @@ and loads; the rows need subject_id, hadm_id, label (0, 1, ..) and features. Boo
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -17,6 +18,8 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     RandomForestClassificationModel,
+    OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -37,8 +40,11 @@ def logistic_regression(seed: int, size: int, classes: int, **options) -> Logist
     return LogisticRegression(**({"regParam": 0.3} | options))
 
 
-def boosted_trees(seed: int, size: int, classes: int, **options) -> GBTClassifier:
-    return GBTClassifier(**({"maxIter": 10, "featureSubsetStrategy": "auto", "seed": seed} | options))
+def boosted_trees(seed: int, size: int, classes: int, **options) -> GBTClassifier | OneVsRest:
+    """Boosted trees tell two classes apart; of several, each is told from the rest, all at once."""
+    weight = {"weightCol": options["weightCol"]} if "weightCol" in options else {}
+    trees = GBTClassifier(**({"maxIter": 10, "featureSubsetStrategy": "auto", "seed": seed} | options))
+    return trees if classes == 2 else OneVsRest(classifier=trees, parallelism=classes, **weight)
 
 
 def random_forest(seed: int, size: int, classes: int, **options) -> RandomForestClassifier:
@@ -60,6 +66,8 @@ class Method:
         """A weight per feature; of several classes' coefficients the one with the largest size."""
         if not self.weights:
             return []
+        if isinstance(model, OneVsRestModel):
+            return [sum(each) / len(each) for each in zip(*map(self.importance, model.models))]
         weights = getattr(model, self.weights).toArray()
         if weights.ndim == 2:
             weights = weights[abs(weights).argmax(0), range(weights.shape[1])]
@@ -72,6 +80,33 @@ FOREST = Method(random_forest, RandomForestClassificationModel, "featureImportan
 PERCEPTRON = Method(perceptron, MultilayerPerceptronClassificationModel, None)
 
 
+def n_classes(model: Model) -> int:
+    return len(model.models) if isinstance(model, OneVsRestModel) else model.numClasses
+
+
+def scored_by(model: Model, df: DataFrame, prediction: str, probability: str) -> DataFrame:
+    """Add the predicted class and an array with a probability for each class. Of models for one class against the rest, the
+    probabilities of the classes are brought to a sum of one."""
+    vector = f"{probability}_vector"
+    if not isinstance(model, OneVsRestModel):
+        renamed = model.copy().setPredictionCol(prediction).setProbabilityCol(vector).setRawPredictionCol("")
+        return renamed.transform(df).withColumn(probability, vector_to_array(vector)).drop(vector)
+    for c, one in enumerate(model.models):
+        renamed = one.copy().setPredictionCol("").setProbabilityCol(f"{vector}_{c}").setRawPredictionCol("")
+        df = renamed.transform(df)
+    odds = F.array(*[vector_to_array(f"{vector}_{c}")[1] for c in range(len(model.models))])
+    total = F.aggregate(odds, F.lit(0.0), lambda a, b: a + b)
+    found = df.withColumn(probability, F.transform(odds, lambda p: p / total))
+    likeliest = (F.array_position(probability, F.array_max(probability)) - 1).cast("double")
+    return found.withColumn(prediction, likeliest).drop(*[f"{vector}_{c}" for c in range(len(model.models))])
+
+
+def load_model(kind: type[Model], path: str) -> Model:
+    """A saved model of a kind, or one for each class against the rest of that kind."""
+    saved = SparkSession.active().read.text(os.path.join(path, "metadata")).first()[0]
+    return OneVsRestModel.load(path) if "OneVsRestModel" in json.loads(saved)["class"] else kind.load(path)
+
+
 def feature_count(df: DataFrame) -> int:
     """The length of the feature vectors: from the column's ML metadata, else from one row."""
     size = df.schema["features"].metadata.get("ml_attr", {}).get("num_attrs")
@@ -134,22 +169,22 @@ class Learner:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """(subject_id, hadm_id, label, prediction, probability_0, .. for each class of the model)."""
-        scored = self.best_model.transform(df).select(
-            *KEYS, "label", "prediction", vector_to_array("probability").alias("probability")
-        )
-        return split_array(scored, "probability", self.best_model.numClasses)
+        rows = df.select(*KEYS, "label", "features")
+        scored = scored_by(self.best_model, rows, "prediction", "probability").drop("features")
+        return split_array(scored, "probability", n_classes(self.best_model))
 
     def save(self, path: str) -> None:
         self.best_model.write().overwrite().save(path)
 
     def load(self, path: str) -> "Learner":
-        self.model = self.method.model.load(path)
+        self.model = load_model(self.method.model, path)
         return self
 
 
 @dataclass
 class CrossValidatedLearner(Learner):
-    """Chosen from a parameter grid by area under the ROC curve over folds fixed by a hash of the key."""
+    """Chosen from a parameter grid by area under the ROC curve over folds fixed by a hash of the key. Boosted trees are
+    searched for two classes only."""
 
     grid: dict[str, Sequence] = field(default_factory=dict)
     folds: int = 5
@@ -221,13 +256,12 @@ class BaggedLearner(Learner):
             raise ValueError(f"learner {self.name} is neither trained nor loaded")
         scored = df.select(*KEYS, "label", "features")
         for i, model in enumerate(self.models):
-            renamed = model.copy().setPredictionCol(f"vote_{i}").setProbabilityCol(f"odds_{i}").setRawPredictionCol("")
-            scored = renamed.transform(scored)
+            scored = scored_by(model, scored, f"vote_{i}", f"odds_{i}")
         count = F.lit(float(len(self.models)))
         votes = sum((F.col(f"vote_{i}") for i in range(len(self.models))), F.lit(0.0))
-        odds = [vector_to_array(f"odds_{i}") for i in range(len(self.models))]
+        odds = [F.col(f"odds_{i}") for i in range(len(self.models))]
         # a bag may lack the last class, and its model then gives it no probability
-        classes = range(max(model.numClasses for model in self.models))
+        classes = range(max(map(n_classes, self.models)))
         mean = [
             (sum((F.coalesce(F.get(value, F.lit(c)), F.lit(0.0)) for value in odds), F.lit(0.0)) / count).alias(f"probability_{c}")
             for c in classes
@@ -242,7 +276,7 @@ class BaggedLearner(Learner):
 
     def load(self, path: str) -> "Learner":
         count = SparkSession.active().read.parquet(os.path.join(path, "ensemble")).first()["models"]
-        self.models = [self.method.model.load(os.path.join(path, f"model_{i}")) for i in range(1, count + 1)]
+        self.models = [load_model(self.method.model, os.path.join(path, f"model_{i}")) for i in range(1, count + 1)]
         return self
 
 

@@ -69,8 +69,8 @@ def test_split_vector(spark, data):
     assert split_vector(data[0].limit(0), "features", 3).count() == 0
 
 
-@pytest.mark.parametrize("name", ["lr", "rf", "mlp", "lr_cv", "lr_bagged"])
-def test_three_classes(spark, data, name):
+@pytest.mark.parametrize("name", ["lr", "rf", "mlp", "lr_cv", "lr_bagged", "gbt", "gbt_bagged"])
+def test_three_classes(spark, data, tmp_path, name):
     from notesight.operators.metrics import metrics_report
 
     train, test = (df.withColumn("label", (F.col("hadm_id") % 3).cast("double")) for df in data)
@@ -81,3 +81,5 @@ def test_three_classes(spark, data, name):
     assert predicted.columns[-3:] == ["probability_0", "probability_1", "probability_2"]
     assert predicted.filter("abs(probability_0 + probability_1 + probability_2 - 1) > 1e-6").count() == 0
     assert {r.label for r in metrics_report(predicted).filter("metric = 'auroc'").collect()} == {0.0, 1.0, 2.0}
+    fitted.save(str(tmp_path / "model"))
+    assert sorted(learner(name).load(str(tmp_path / "model")).predict(test).collect()) == sorted(predicted.collect())

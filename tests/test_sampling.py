@@ -68,3 +68,22 @@ def test_poisson_quantiles(spark, mean):
     got = [r[0] for r in spark.createDataFrame([(f,) for f in fractions], "f double").select(poisson_copies(F.col("f"), mean)).collect()]
     assert got == sorted(got) and got[1] == pytest.approx(mean, abs=1 + mean**0.5 / 10) and got[-1] < mean + 9 * mean**0.5 + 20
     assert mean == 0 or got[-1] > 0
+
+
+def test_smallest_takes_exactly_so_many(spark):
+    from notesight.functions.hashing import hash_number
+    from notesight.operators.sampling import balance_exact, smallest
+
+    # one key has a third of the rows, so that the cut falls within it for some counts
+    rows = spark.range(300).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id").repartition(5)
+    order = [r.id for r in rows.withColumn("h", hash_number(F.lit("p"), "k")).orderBy("h", "k").collect()]
+    hashes = {r.id: r.k for r in rows.collect()}
+    for count in (0, 1, 50, 120, 200, 299, 300, 900):
+        taken = [r.id for r in smallest(rows, ["k"], count, "p").collect()]
+        assert len(taken) == len(set(taken)) == min(count, 300)
+        assert sorted(hashes[i] for i in taken) == sorted(hashes[i] for i in order[:count])
+    labelled = spark.range(1000).select("id", (F.col("id") % 5 == 0).cast("double").alias("label"))
+    counts = {r.label: r["count"] for r in balance_exact(labelled, ["id"]).groupBy("label").count().collect()}
+    assert counts == {1.0: 200, 0.0: 200}
+    assert balance_exact(labelled.filter("label = 1"), ["id"]).count() == 200
+    assert balance_exact(labelled.filter("false"), ["id"]).count() == 0
