@@ -175,6 +175,24 @@ def term_match_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.match_terms(documents(spark, sf_dir), dictionary(spark, sf_dir), ["doc_id"], whole_words=True)
 
 
+@query(
+    "term_match_long_list",
+    f"""WITH numbered AS (
+  SELECT doc_id, runs, unnest(range(1, len(runs) + 1)) AS place FROM (
+    SELECT doc_id, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+') AS runs FROM documents)
+), listed AS (SELECT DISTINCT runs[place] AS term FROM numbered WHERE length(runs[place]) % 4 = 0)
+SELECT doc_id, coalesce(terms, '') AS terms FROM documents LEFT JOIN (
+  SELECT doc_id, string_agg(term, ' ' ORDER BY place) AS terms FROM numbered JOIN listed ON term = runs[place]
+  GROUP BY doc_id) USING (doc_id)""",
+)
+def term_match_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of the texts with four, eight, .. letters as a list, which is joined whatever its size."""
+    rows = documents(spark, sf_dir)
+    runs = rows.select(F.explode(F.regexp_extract_all("text", F.lit(r"([\p{L}\p{N}]+)"))).alias("term"))
+    listed = runs.filter(F.length("term") % 4 == 0).distinct()
+    return terms.match_terms(rows, listed, ["doc_id"], whole_words=True, max_pattern=0)
+
+
 @query(
     "dictionary_words",
     rf"""WITH {DICTIONARY} SELECT doc_id,

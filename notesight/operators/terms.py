@@ -5,10 +5,13 @@ A word list is a DataFrame. Lists up to a checked size go to the executors whole
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import groupby
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from notesight.functions.tokens import sentences, word_tokens
 
@@ -18,10 +21,10 @@ MAX_BROADCAST_CHARS = 20_000_000
 #: Characters of a word list, and of its longest term, up to which it is compiled into one pattern.
 MAX_PATTERN_CHARS = 1_000_000
 MAX_PATTERN_TERM = 256
-#: Characters of a text that are looked at together by the join; a text is cut into pieces of this size with overlaps.
-PIECE = 256
-#: First letters by which terms and places meet.
-PREFIX = 4
+#: Letters of a term by which terms and places meet.
+GRAM = 8
+#: Size of the filter of places, at most, as a power of two of bits; and letters that go on at a time.
+MAX_FILTER_BITS, MAX_BATCH_CHARS = 28, 1 << 23
 #: Between the terms found, before they are joined by spaces; a list with this character is joined.
 BREAK = "\x01"
 LETTER = r"[\p{L}\p{N}]"
@@ -80,52 +83,132 @@ def match_terms(
     substrings included, by end position and at one end the longest first, joined by a space. `whole_words`
     keeps only occurrences with no letter or digit next to them.
 
-    A list whose size has been checked becomes a pattern. A larger one is joined, with the same result: a text is cut
-    into overlapping pieces, so that the work grows with its length; the first letters of each place are joined to those
-    of the terms, and the rest is compared there. Occurrences are gathered per row where the row is, so that
-    what is shuffled has one row for each."""
+    A list whose size has been checked becomes a pattern. A larger one is joined, with the same result: each term is known by
+    its rarest few letters, texts are filtered by these within the row, and only the places that may be a term's are joined,
+    with the letters around them. Occurrences are gathered per row, so that what is shuffled has one row for each."""
     listed = terms.select("term").filter("term != ''").distinct()
     size = listed.agg(
         F.count("term").alias("terms"), F.sum(F.length("term")).alias("chars"), F.max(F.length("term")).alias("longest"),
-        F.collect_set(F.least(F.length("term"), F.lit(PREFIX))).alias("widths"), F.max(F.contains("term", F.lit(BREAK))).alias("breaks"),
+        F.collect_set(F.least(F.length("term"), F.lit(GRAM))).alias("widths"), F.max(F.contains("term", F.lit(BREAK))).alias("breaks"),
     ).first()
     if not size["terms"]:
         return df.select(*keys, F.lit("").alias("terms"))
     if size["chars"] <= max_pattern and size["longest"] <= MAX_PATTERN_TERM and not size["breaks"]:
         words = [row["term"] for row in listed.collect()]
         return df.select(*keys, terms_in(F.col(text), words, whole_words).alias("terms"))
-    lookup = listed.select(
-        F.col("term").alias("found_term"), F.substring("term", 1, PREFIX).alias("first_letters"), F.length("term").alias("size")
-    )
-
-    # a character more on the left, so that each place sees its neighbours
-    padded = F.concat(F.lit(" "), F.coalesce(text, F.lit("")))
-    cut = F.regexp_extract_all(padded, F.lit(rf"(?s)(?=(.{{1,{PIECE + size['longest'] + 1}}})).{{1,{PIECE}}}"), F.lit(1))
-    rows = df.withColumn("row", F.monotonically_increasing_id())  # before the pieces, so that they share it
-    pieces = rows.select(*keys, "row", F.posexplode(cut).alias("piece_no", "piece"))
-    places = pieces.select(
-        "*", F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.length("piece") - 1, F.lit(PIECE)), F.lit(1)))).alias("place")
-    )
-    # short terms are met by their whole length, others by their first letters
-    widths = F.array(*[F.lit(width) for width in sorted(size["widths"])])
-    places = places.select("*", F.explode(widths).alias("width")).withColumn(
-        "first", F.substr("piece", F.col("place") + 1, F.col("width"))
-    ).filter((F.length("first") == F.col("width")) | ((F.col("piece_no") == 0) & (F.col("place") == 1)))
-    same = (F.col("first") == F.col("first_letters")) & (F.col("width") == F.least(F.col("size"), F.lit(PREFIX)))
-    same = same & (F.substr("piece", F.col("place") + 1, F.col("size")) == F.col("found_term"))
+    keyed = rare_grams(listed, GRAM)
+    hits = _gram_hits(df, keys, text, keyed, size["terms"], size["widths"], size["longest"])
+    # where a term would begin if the place is that of its gram
+    start = F.col("at") - F.col("offset")
+    same = (F.col("gram") == F.col("term_gram")) & (start >= 0) & (F.substr("around", start + 1, F.col("size")) == F.col("term"))
     if whole_words:
         letter = "^" + LETTER
-        same = same & ~F.substr("piece", F.col("place"), F.lit(1)).rlike(letter)
-        same = same & ~F.substr("piece", F.col("place") + F.col("size") + 1, F.lit(1)).rlike(letter)
-    hits = places.join(lookup, same, "left")
-    end = F.col("piece_no") * PIECE + F.col("place") + F.col("size")
-    hit = F.when(F.col("found_term").isNotNull(), F.struct(end.alias("end"), (-F.col("size")).alias("shorter"), F.col("found_term").alias("term")))
-    # every row keeps one place, so that rows without an occurrence stay
-    some = hits.filter(F.col("found_term").isNotNull() | ((F.col("piece_no") == 0) & (F.col("place") == 1)))
+        before = F.when(start > 0, F.substr("around", start, F.lit(1)))
+        same = same & ~F.coalesce(before, F.lit(" ")).rlike(letter)
+        same = same & ~F.substr("around", start + F.col("size") + 1, F.lit(1)).rlike(letter)
+    met = hits.join(keyed, same, "left")
+    end = F.col("place") - F.col("offset") + F.col("size")
+    hit = F.when(F.col("term").isNotNull(), F.struct(end.alias("end"), (-F.col("size")).alias("shorter"), "term"))
+    # every row has a place of its own without a gram, so that rows without an occurrence stay
+    some = met.filter(F.col("term").isNotNull() | F.col("gram").isNull())
     ordered = F.array_sort(F.collect_list(hit))
     return some.groupBy("row", *keys).agg(F.array_join(F.transform(ordered, lambda h: h["term"]), " ").alias("terms")).drop("row")
 
 
+def _gram_keys(codes: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit number for each `width` code points in a row."""
+    out = np.full(max(len(codes) - width + 1, 0), width, np.uint64)
+    for j in range(width):
+        out = (out + codes[j : j + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
+    out ^= out >> np.uint64(32)
+    return out * np.uint64(0xD6E8FEB86659FD93)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+
+
+def rare_grams(listed: DataFrame, width: int) -> DataFrame:
+    """(term, size, offset, term_gram): each term with that of its grams of `width` letters (or fewer, if it is shorter) which
+    the fewest terms of the list have."""
+
+    def grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms = batch.column(0).to_pylist()
+            keys = [_gram_keys(_codes(t), min(len(t), width)).view(np.int64) for t in terms]
+            counts = [len(k) for k in keys]
+            owner = np.repeat(np.arange(len(terms)), counts)
+            offsets = [np.arange(n, dtype=np.int32) for n in counts]
+            flat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(owner)), pa.array(flat(offsets, np.int32)), pa.array(flat(keys, np.int64))],
+                ["term", "offset", "term_gram"],
+            )
+
+    every = listed.mapInArrow(grams, "term string, offset int, term_gram long")
+    common = every.groupBy("term_gram").agg(F.count(F.lit(1)).alias("held_by"))
+    rarest = F.min(F.struct("held_by", "term_gram", "offset")).alias("rarest")
+    return every.join(common, "term_gram").groupBy("term").agg(rarest).select(
+        "term", F.length("term").alias("size"), "rarest.offset", "rarest.term_gram"
+    )
+
+
+def _gram_filter(keyed: DataFrame, n_terms: int) -> np.ndarray:
+    """A bit for each of so many remainders of the grams: one in sixteen is set, or more if there are too many terms."""
+    bits = 1 << min(max(10, (16 * n_terms - 1).bit_length()), MAX_FILTER_BITS)
+    place = F.col("term_gram").bitwiseAND(F.lit(bits - 1))
+    words = keyed.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(term_gram & 63 AS int))")).alias("bits"))
+    out = np.zeros(bits >> 6, np.int64)
+    found = words.toPandas()  # at most bits / 64 rows
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _gram_hits(
+    df: DataFrame, keys: Sequence[str], text: str, keyed: DataFrame, n_terms: int, widths: Sequence[int], longest: int
+) -> DataFrame:
+    """(keys, row, place, gram, around, at): the places of the texts whose grams may be those of a term, with as many letters
+    around as the longest term needs, and one place without a gram for each row."""
+    spark = df.sparkSession
+    allowed = spark.sparkContext.broadcast(_gram_filter(keyed, n_terms))
+    rows = df.select(*keys, F.monotonically_increasing_id().alias("row"), F.coalesce(text, F.lit("")).alias("searched_text"))
+    kept = [*keys, "row"]
+    schema = StructType([*[rows.schema[c] for c in kept], *StructType.fromDDL("place int, gram long, around string, at int").fields])
+    reach = longest + 1
+
+    def hits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filtered = allowed.value
+        mask = np.uint64(64 * len(filtered) - 1)
+
+        def cut(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:
+            owner, place, gram, around, at = zip(*found)
+            columns = [batch.column(c).take(pa.array(owner)) for c in kept]
+            columns += [pa.array(place, pa.int32()), pa.array(gram, pa.int64()), pa.array(around, pa.string()), pa.array(at, pa.int32())]
+            return pa.RecordBatch.from_arrays(columns, schema.names)
+
+        for batch in batches:
+            found, held = [], 0
+            for i, value in enumerate(batch.column("searched_text").to_pylist()):
+                found.append((i, None, None, None, None))
+                codes = _codes(value)
+                for width in widths:
+                    grams = _gram_keys(codes, width)
+                    low = grams & mask
+                    bit = filtered[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1)
+                    for place in np.flatnonzero(bit).tolist():
+                        begin = max(0, place - reach)
+                        piece = value[begin : place + reach]
+                        found.append((i, place, int(grams[place].view(np.int64)), piece, place - begin))
+                        held += len(piece)
+                    if held > MAX_BATCH_CHARS:
+                        yield cut(batch, found)
+                        found, held = [], 0
+            if found:
+                yield cut(batch, found)
+
+    return rows.mapInArrow(hits, schema)
+
+
 def dictionary_words(df: DataFrame, terms: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
     """(keys, words): the distinct white-space separated words of the text that the list knows, sorted and
     joined by a space. The list is joined by whichever strategy its size allows."""

@@ -101,3 +101,19 @@ def test_sentiment(spark):
     df = table(spark, "Good day. Not good! Bad, good. Plain.", "")
     scored = terms.sentence_sentiment(df, lexicon, ["not"], ["id"]).orderBy("sentence_no")
     assert [(row.id, row.score) for row in scored.collect()] == [(0, 1.0), (0, -1.0), (0, -1.0), (0, 0.0)]
+
+
+def test_long_lists_by_join(spark):
+    rng = random.Random(6)
+    listed = {"".join(rng.choices("abcd", k=rng.choice([1, 2, 3, 5, 9, 9, 12, 40]))) for _ in range(3000)}
+    texts = ["".join(rng.choices("abcd .", weights=[4, 4, 4, 4, 1, 1], k=n)) for n in (0, 3, 200, 900)] + ["".join(rng.sample(sorted(listed), 40))]
+    expected = []
+    for text in texts:
+        hits = sorted((i + len(t), -len(t), t) for t in listed for i in range(len(text)) if text.startswith(t, i))
+        expected.append(" ".join(t for _, _, t in hits))
+    assert matched(table(spark, *texts), word_list(spark, *listed), max_pattern=0) == expected
+
+
+def test_a_term_is_known_by_its_rarest_letters(spark):
+    keyed = {r.term: r.offset for r in terms.rare_grams(word_list(spark, "the one", "the two", "the", "t"), 4).collect()}
+    assert keyed["the one"] >= 1 and keyed["the two"] >= 1 and keyed["the"] == 0 and keyed["t"] == 0
