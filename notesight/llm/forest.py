@@ -10,7 +10,8 @@
    sets: first each node's three likeliest partners, then all pairs that are not yet in one component.
 4. Components are joined by the confirmed links.
 5. Regions of more than `REGION` nodes that still hold several components are compared in full on the sets, in pairs of parts of
-   bounded size: every two nodes of different components, once. Nodes that are found linked are one component from then
+   bounded size: every two nodes of different components, once; those of the component with most nodes in a region are dealt once, and
+   meet only nodes of the others. Nodes that are found linked are one component from then
    on, so that a part gives at most as many links as it has nodes.
 
 A pair at the similarity of 0.8 shares a prefix of five in a given order with probability 0.33, so it misses all 32
@@ -249,30 +250,39 @@ def regions(parts: DataFrame) -> DataFrame:
 
 
 def within_regions(texts: DataFrame, parts: DataFrame, width: int, percent: int) -> DataFrame | None:
-    """Links a, b between the components (`top`) of `parts` (node, rank, n_shingles, signature, top) from all pairs of nodes in regions of
-    more than REGION nodes; None if no such region holds two components."""
-    size = F.sum(F.col("n_shingles") * 8 + 2 * HASHES)
-    large = staged(
-        regions(parts).groupBy("region")
-        .agg(F.count(F.lit(1)).alias("n"), size.alias("size"), F.min("group").alias("low"), F.max("group").alias("high"))
-        .filter((F.col("n") > REGION) & (F.col("low") < F.col("high")))
-        .select("region", F.ceil(F.greatest(F.col("n") / PART_NODES, F.col("size") / PART_BYTES)).cast("int").alias("n_parts")),
+    """Links a, b between the components (`top`) of `parts` (node, rank, n_shingles, signature, top) from all pairs of nodes of different
+    components in regions of more than REGION nodes; None if no such region holds two components."""
+    bytes_of = F.col("n_shingles") * 8 + 2 * HASHES
+    many = staged(
+        regions(parts).groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("low"), F.max("group").alias("high"))
+        .filter((F.col("n") > REGION) & (F.col("low") < F.col("high"))).select("region"),
         "regions",
     )
-    if not large.limit(1).count():
+    if not many.limit(1).count():
         return None
-    at = staged(
-        regions(parts).join(large, "region").groupBy("node").agg(F.collect_list(F.struct("tree", "region", "n_parts")).alias("at")), "at"
+    inside = staged(regions(parts).join(many, "region"), "inside")
+    # no pair within the component that has most nodes of a region: these need only one part each
+    counts = inside.groupBy("region", "group").agg(F.count(F.lit(1)).alias("n"), F.sum(bytes_of).alias("size"))
+    parts_for = lambda n, size: F.ceil(F.greatest(n / PART_NODES, size / PART_BYTES)).cast("int")
+    most = F.max(F.struct("n", "size", "group"))
+    large = counts.groupBy("region").agg(F.sum("n").alias("n"), F.sum("size").alias("size"), most.alias("most")).select(
+        "region", F.col("most.group").alias("major"), parts_for(F.col("most.n"), F.col("most.size")).alias("n_major"),
+        parts_for(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("n_minor"),
     )
+    one = F.struct("tree", "region", (F.col("group") == F.col("major")).alias("is_major"), "n_major", "n_minor")
+    at = staged(inside.join(large, "region").groupBy("node").agg(F.collect_list(one).alias("at")), "at")
     ranks = at.join(parts.select("node", "rank"), "node").select("rank").distinct()
     wanted = texts.join(ranks, texts["doc_id"].eqNullSafe(F.col("rank")), "left_semi")
     members = staged(sets(wanted, width).join(at.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
     rows = at.join(members, "node").join(parts.select("node", "signature", "top"), "node")
-    part = F.pmod(F.xxhash64("node"), F.col("one.n_parts")).cast("int")
+    # parts of the minor components are numbered first; each meets every part, those of the major one only them
+    minor = F.pmod(F.xxhash64("node"), F.col("one.n_minor")).cast("int")
+    major = F.col("one.n_minor") + F.pmod(F.xxhash64("node"), F.col("one.n_major")).cast("int")
+    others = F.col("one.n_minor") + F.when(F.col("one.is_major"), 0).otherwise(F.col("one.n_major"))
     dealt = (
         rows.select("*", F.explode("at").alias("one"))
-        .withColumn("part", part)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("one.n_parts") - 1)))
+        .withColumn("part", F.when(F.col("one.is_major"), major).otherwise(minor))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
         .select(
             F.col("one.region").alias("region"), F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"),
             "part", F.col("one.tree").alias("tree"), "top", "signature", "members",
