@@ -17,7 +17,7 @@ from notesight.jobs.roles import (
     CLINICAL_NOTES, LEXICON_SQL, NEGATORS, TRANSCRIPT_HEADERS, TRANSCRIPTS, clinical_notes, DICTIONARY, dictionary,
     documents, lexicon, transcripts, words_sql,
 )
-from notesight.operators import cleaning as cleaning_jobs, terms
+from notesight.operators import abbreviations, cleaning as cleaning_jobs, terms
 
 # --- the cleaning rules in SQL, over an expression
 
@@ -234,6 +234,41 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.sentence_rows(documents(spark, sf_dir), ["doc_id"])
 
 
+ABBREVIATIONS = f"""{CLINICAL_NOTES}, found AS (
+  SELECT unnest(regexp_extract_all(lower(text), '[a-z]+(?:\\.[a-z]+)*\\.?')) AS found FROM clinical_notes
+), word_counts AS (
+  SELECT rtrim(found, '.') AS word, count(*) AS n, count(*) FILTER (WHERE found LIKE '%.') AS dotted FROM found GROUP BY ALL
+), shares AS (SELECT sum(dotted) / sum(n) AS share FROM word_counts), rated AS (
+  SELECT word, n, dotted, length(replace(word, '.', '')) AS letters, length(word) - length(replace(word, '.', '')) AS periods,
+    2 * (dotted * ln(0.99::DOUBLE) + (n - dotted) * ln(1 - 0.99::DOUBLE) - dotted * ln(share) - (n - dotted) * ln(1 - share)) AS ratio
+  FROM word_counts, shares WHERE dotted > 0
+), abbreviations AS (
+  SELECT word, n, dotted, ratio * (periods + 1) * exp(-letters::DOUBLE) * pow(letters::DOUBLE, -(n - dotted)::DOUBLE) AS score FROM rated
+  WHERE ratio * (periods + 1) * exp(-letters::DOUBLE) * pow(letters::DOUBLE, -(n - dotted)::DOUBLE) >= 0.3
+)"""
+
+
+@query("abbreviations", f"WITH {ABBREVIATIONS} SELECT word, n, dotted, round(score, 4) AS score FROM abbreviations")
+def abbreviation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the notes that are abbreviations by their periods."""
+    return abbreviations.abbreviations(clinical_notes(spark, sf_dir)).withColumn("score", F.round("score", 4))
+
+
+@query(
+    "sentences_known",
+    rf"""WITH {ABBREVIATIONS}, {sentences_sql('clinical_notes')}, ends AS (
+  SELECT *, regexp_extract(lower(sentence), '([a-z]+(?:\.[a-z]+)*)\.\z', 1) IN (SELECT word FROM abbreviations) AS goes_on FROM sentences
+), numbered AS (
+  SELECT *, coalesce(sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (
+    PARTITION BY doc_id ORDER BY sentence_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS number FROM ends
+) SELECT doc_id, CAST(number AS INTEGER) AS sentence_no, string_agg(sentence, ' ' ORDER BY n.sentence_no) AS sentence
+FROM numbered n GROUP BY doc_id, number""",
+)
+def sentences_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences that do not end after an abbreviation."""
+    return abbreviations.sentence_rows(clinical_notes(spark, sf_dir), ["doc_id"])
+
+
 @query("sentence_sentiment", f"WITH {scores_sql('documents')} SELECT * FROM scores")
 def sentence_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.sentence_sentiment(documents(spark, sf_dir), lexicon(spark), NEGATORS, ["doc_id"])
