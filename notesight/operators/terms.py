@@ -209,14 +209,25 @@ def _gram_hits(
     return rows.mapInArrow(hits, schema)
 
 
-def dictionary_words(df: DataFrame, terms: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
-    """(keys, words): the distinct white-space separated words of the text that the list knows, sorted and
-    joined by a space. The list is joined by whichever strategy its size allows."""
-    listed = terms.select(F.col("term").alias("word")).distinct().withColumn("known", F.lit(True))
+def dictionary_words(
+    df: DataFrame, terms: DataFrame, keys: Sequence[str], text: str = "text", max_terms: int = MAX_BROADCAST_TERMS
+) -> DataFrame:
+    """(keys, words), a row for each row of `df`: the distinct white-space separated words of the text that the list knows,
+    sorted and joined by a space.
+
+    A list of checked size is looked up within the row; a larger one is joined, whose words are gathered per row."""
+    listed = terms.select(F.col("term").alias("word")).filter("word IS NOT NULL").distinct()
     split = F.array_distinct(F.split(F.coalesce(text, F.lit("")), r"\s+"))
-    found = df.select(*keys, F.explode_outer(split).alias("word")).join(listed, "word", "left")
+    size = listed.agg(F.count("word").alias("terms"), F.sum(F.length("word")).alias("chars")).first()
+    if size["terms"] <= max_terms and (size["chars"] or 0) <= MAX_BROADCAST_CHARS:
+        known = [row["word"] for row in listed.collect()]
+        kept = F.filter(split, lambda word: word.isin(known)) if known else F.array().cast("array<string>")
+        return df.select(*keys, F.array_join(F.array_sort(kept), " ").alias("words"))
+    numbered = df.withColumn("row", F.monotonically_increasing_id())  # before the words, so that they share it
+    rows = numbered.select(*keys, "row", F.explode_outer(split).alias("word"))
+    found = rows.join(listed.withColumn("known", F.lit(True)), "word", "left")
     kept = F.array_sort(F.collect_list(F.when(F.col("known"), F.col("word"))))
-    return found.groupBy(*keys).agg(F.array_join(kept, " ").alias("words"))
+    return found.groupBy("row", *keys).agg(F.array_join(kept, " ").alias("words")).drop("row")
 
 
 def token_counts(df: DataFrame, tokens: Column) -> DataFrame:

@@ -13,10 +13,11 @@ from pyspark.ml.feature import IDF, CountVectorizerModel, IDFModel, VectorAssemb
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from notesight.config import stage
 from notesight.functions.tokens import ngrams, remove_stop_words, word_tokens
 from notesight.functions.words import REMOVER_STOP_WORDS, SECTION_HEADERS
 from notesight.operators.features import block_vocabularies, final_tokens, gram_counts, vocabulary
-from notesight.operators.terms import correct_spelling, sentence_sentiment, token_counts
+from notesight.operators.terms import MAX_BROADCAST_TERMS, correct_spelling, sentence_sentiment, token_counts
 
 PART, WHOLE = "part", "is_whole"
 
@@ -185,7 +186,10 @@ class ComplexFeaturizer:
         tokens = word_tokens(F.col("text"))
         counts = df.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
         corrections = correct_spelling(token_counts(df, tokens), self.dictionary, self.max_distance)
-        changed = corrections.filter("distance > 0").select("term", "corrected")
+        # one row for each distinct wrong word; if they are few, the counts stay where they are
+        changed = stage(corrections.filter("distance > 0").select("term", "corrected"))
+        if changed.count() <= MAX_BROADCAST_TERMS:
+            changed = F.broadcast(changed)
         fixed = counts.join(changed, "term", "left").withColumn("term", F.coalesce("corrected", "term"))
         return (
             fixed.filter(~F.col("term").isin(REMOVER_STOP_WORDS))

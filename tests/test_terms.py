@@ -64,10 +64,14 @@ def test_odd_terms_alike_by_pattern_and_join(spark, whole):
     assert matched(table(spark, "xa\x01b"), word_list(spark, "a\x01b", "b")) == ["a\x01b b"]
 
 
-def test_dictionary_words(spark):
+@pytest.mark.parametrize("most", [0, 100])  # joined, or looked up within the row
+def test_dictionary_words(spark, most):
     df = table(spark, "b a b c", "z", None)
-    found = terms.dictionary_words(df, word_list(spark, "a", "b"), ["id"]).orderBy("id")
+    found = terms.dictionary_words(df, word_list(spark, "a", "b", None), ["id"], max_terms=most).orderBy("id")
     assert [row.words for row in found.collect()] == ["a b", "", ""]
+    twice = df.union(df).withColumn("id", F.lit(1))
+    assert sorted(r.words for r in terms.dictionary_words(twice, word_list(spark, "a"), ["id"], max_terms=most).collect()) == ["", "", "", "", "a", "a"]
+    assert terms.dictionary_words(df, word_list(spark).limit(0), ["id"], max_terms=most).filter("words = ''").count() == 3
 
 
 def distance(a, b):
