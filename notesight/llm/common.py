@@ -139,8 +139,11 @@ class Chunks(dict):
         rest = chunk[1:] if chunk[:1] == " " else chunk
         if not rest or rest[0].isspace() or rest[-1].isspace():
             ids = None
-        elif rest.isascii() and rest.isalpha():
+        elif rest.isalpha() and SIMPLE.fullmatch(rest):
             ids = self._piece(chunk)
+        elif rest[-1] in ENDS and rest[:-1].isalpha() and SIMPLE.fullmatch(rest):  # a word and one mark: two pieces
+            word, mark = chunk[:-1], rest[-1]
+            ids = (self.get(word) or self._kept(word)) + (self.get(mark) or self._kept(mark))
         else:
             found = self.pieces.findall(chunk)
             ids = self._piece(chunk) if len(found) == 1 else b"".join([self.get(p) or self._kept(p) for p in found])
@@ -149,8 +152,11 @@ class Chunks(dict):
         return ids
 
     def _piece(self, piece: str) -> bytes:
-        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.bytes))
-        return self.pack([token.id for token in tokens])
+        if piece.isascii() and piece.isprintable():  # such letters but the space stand for themselves
+            letters = piece.replace(" ", self.bytes[32])
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.bytes)
+        return self.pack([token.id for token in self.model.tokenize(letters)])
 
     def _kept(self, piece: str) -> bytes:
         ids = self._piece(piece)
@@ -163,12 +169,15 @@ class Chunks(dict):
 
     def encode(self, text: str) -> bytes:
         if self.known and "\0" not in text and not any(content in text for content in self.added):
-            ids = list(map(self.__getitem__, text.replace(" ", "\0 ").split("\0")))
-            if None not in ids:
-                return b"".join(ids)
+            try:
+                return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").split("\0")))
+            except TypeError:  # a chunk without ids of its own
+                pass
         return self.pack(self.whole.encode(text, add_special_tokens=False).ids)
 
 
+#: Marks after a word that are a piece by themselves.
+ENDS = frozenset(".,;:!?")
 # The split pattern of byte-level vocabularies of this family, and the letters that stand for bytes.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
