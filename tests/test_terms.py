@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +122,19 @@ def test_long_lists_by_join(spark):
 def test_a_term_is_known_by_its_rarest_letters(spark):
     keyed = {r.term: r.offset for r in terms.rare_grams(word_list(spark, "the one", "the two", "the", "t"), 4).collect()}
     assert keyed["the one"] >= 1 and keyed["the two"] >= 1 and keyed["the"] == 0 and keyed["t"] == 0
+
+
+def test_words_of_a_long_list_are_sent_once_for_each_chunk(spark, monkeypatch):
+    """What the join of words shuffles for an occurrence does not grow with the longest term."""
+    rng = random.Random(7)
+    rows = [(i // 2 or None, rng.choice(["2020-01-01", None]), None if i % 9 == 4 else " ".join(rng.choices(["aé1", "bb", "c", "d_e", "x-y", "."], k=i % 40))) for i in range(90)]
+    df = spark.createDataFrame(rows, "id int, day string, text string").withColumn("day", F.to_date("day")).repartition(3)
+    listed = ["aé1", "c", "d", "y", "z" * 5000]
+    monkeypatch.setattr(terms, "_gram_hits", None)  # the letters around a place are not sent
+    taken = lambda text: " ".join(w for w in re.findall(r"[^\W_]+", text or "") if w in listed)
+    expected = sorted((str(i), str(day), taken(text)) for i, day, text in rows)
+    of_list = word_list(spark, *listed)
+    found = [terms.match_terms(df, of_list, ["id", "day"], whole_words=True, max_pattern=0)]
+    found += [terms._match_words(df, of_list, ["id", "day"], "text", len(listed), chunk_words=n) for n in (1, 100)]
+    for each in found:
+        assert sorted((str(r.id), str(r.day), r.terms) for r in each.collect()) == expected
