@@ -20,7 +20,8 @@ MAX_ABBREVIATIONS = 200_000
 #: Share of an abbreviation's occurrences with a period.
 SHARE = 0.99
 WORD = r"[a-z]+(?:\.[a-z]+)*\.?"
-LAST_WORD = r"([a-z]+(?:\.[a-z]+)*)\.\z"
+#: The word before the last period, both read backwards.
+LAST_WORD = r"\A\.([a-z]+(?:\.[a-z]+)*)"
 #: Put between sentences while they are one text; one that a text has itself is a cut too.
 BREAK = "\x01"
 
@@ -52,16 +53,20 @@ def abbreviations(df: DataFrame, text: str = "text", least: float = LEAST_SCORE)
 
 def known_sentences(text: Column, known: Sequence[str]) -> Column:
     """The sentences of a text, those put together again by a space that were cut after an abbreviation."""
+    # the piece before rides along: to look it up by number would cut the text again for each piece
     pieces = sentences(text)
+    backwards = [word[::-1] for word in known]
 
     def ends_short(piece: Column) -> Column:
-        return F.regexp_extract(F.lower(piece), LAST_WORD, 1).isin(list(known)) if known else F.lit(False)
+        # read from its end, the piece is looked at once
+        return F.regexp_extract(F.reverse(F.lower(piece)), LAST_WORD, 1).isin(backwards) if known else F.lit(False)
 
-    def led(piece: Column, place: Column) -> Column:
-        before = F.get(pieces, place - 1)
-        return F.concat(F.when(place == 0, "").when(ends_short(before), " ").otherwise(BREAK), piece)
+    def led(piece: Column, before: Column) -> Column:
+        lead = F.when(before.isNull(), "").when(ends_short(before), " ").otherwise(BREAK)
+        return F.when(piece.isNotNull(), F.concat(lead, piece))
 
-    return F.array_remove(F.split(F.array_join(F.transform(pieces, led), ""), BREAK), "")
+    moved = F.concat(F.array(F.lit(None).cast("string")), pieces)  # one longer: its last piece has none after it
+    return F.array_remove(F.split(F.array_join(F.zip_with(pieces, moved, led), ""), BREAK), "")
 
 
 def sentence_rows(df: DataFrame, keys: Sequence[str], text: str = "text", least: float = LEAST_SCORE) -> DataFrame:

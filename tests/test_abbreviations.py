@@ -1,6 +1,7 @@
 """Abbreviations and the sentences they do not end."""
 
 import math
+import time
 
 from pyspark.sql import functions as F
 
@@ -31,3 +32,19 @@ def test_sentences(spark):
     assert [tuple(r) for r in rows] == [(1, 0, "Pt. seen b.i.d. daily."), (1, 1, "Well!"), (1, 2, "pt."), (4, 0, "a."), (4, 1, "b")]
     none = df.select("id", F.posexplode(ab.known_sentences(F.col("text"), []))).collect()
     assert [r[2] for r in none if r.id == 1] == ["Pt.", "seen b.i.d.", "daily.", "Well!", "pt."]
+
+
+def test_a_long_text_is_cut_once_not_for_each_sentence(spark):
+    text = "Seen by pt. daily. " * 15_000
+    df = spark.createDataFrame([(text,)], "text string")
+    start = time.monotonic()
+    found = df.select(F.explode(ab.known_sentences(F.col("text"), ["pt"])).alias("s")).groupBy("s").count().collect()
+    assert [tuple(r) for r in found] == [("Seen by pt. daily.", 15_000)]
+    assert time.monotonic() - start < 20  # minutes, if each sentence cuts the text again
+
+
+def test_the_word_before_the_last_period(spark):
+    texts = ["1a.b. x", "a..pt. x", "\u00e9pt. x", "pt.! x", "Pt. x", ".pt. x", "ptt. x", "t. x", "A.B. x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    rows = df.select("id", F.size(ab.known_sentences(F.col("text"), ["pt", "a.b"])).alias("n")).orderBy("id").collect()
+    assert [r.n for r in rows] == [1, 1, 1, 2, 1, 1, 2, 2, 1]
