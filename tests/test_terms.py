@@ -138,3 +138,13 @@ def test_words_of_a_long_list_are_sent_once_for_each_chunk(spark, monkeypatch):
     found += [terms._match_words(df, of_list, ["id", "day"], "text", len(listed), chunk_words=n) for n in (1, 100)]
     for each in found:
         assert sorted((str(r.id), str(r.day), r.terms) for r in each.collect()) == expected
+
+
+def test_whole_words_of_a_short_list_are_looked_up(spark, monkeypatch):
+    """A word costs one look into the list, not a pattern tried at each letter."""
+    rng = random.Random(8)
+    texts = [None, "", *("".join(rng.choices("ab\u00e91 ._-\n\U0001f600\u0301", k=n)) for n in (1, 5, 80, 400))]
+    listed = ["a", "ab", "b1", "\u00e9", "1", "aaa"]
+    taken = lambda text: " ".join(w for w in re.findall(r"[^\W_]+", text or "") if w in listed)
+    monkeypatch.setattr(terms, "terms_in", None)
+    assert matched(table(spark, *texts), word_list(spark, *listed), whole_words=True) == [taken(text) for text in texts]
