@@ -87,3 +87,38 @@ def test_smallest_takes_exactly_so_many(spark):
     assert counts == {1.0: 200, 0.0: 200}
     assert balance_exact(labelled.filter("label = 1"), ["id"]).count() == 200
     assert balance_exact(labelled.filter("false"), ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("mean", [0.0, 1e-17, 1e-9, 0.5, 3.0, 400.0])
+def test_copies_by_steps(spark, mean):
+    """The least digits with a copy are just those, and the hash is not worked out anew for each of the steps."""
+    from notesight.functions.hashing import hash_fraction, hex_fraction, least_drawn, poisson_copies, poisson_steps
+
+    first, steps = poisson_steps(mean)
+    least = least_drawn(mean, 13)
+    near = {0, 1, 2**51, 2**52 - 1, *(int(least, 16) + d for d in (-1, 0, 1) if least not in ("", "none"))}
+    rows = spark.createDataFrame([(f"{n:013x}",) for n in near if 0 <= n < 2**52], "hash string")
+    for r in rows.select("hash", poisson_copies(hex_fraction(F.col("hash"), 13), mean).alias("n")).collect():
+        assert r.n == first + sum(step <= int(r.hash, 16) / 2**52 and step < 1 for step in steps)
+        assert (r.n > 0) == (r.hash >= least)
+    copies = poisson_copies(hash_fraction("id"), mean).alias("n")
+    plan = spark.range(3).select(copies)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1 and plan.index("md5(") < plan.index("filter(")
+
+
+def test_bags_with_null_keys_and_labels(spark):
+    """As drawn row by row from the definition."""
+    from notesight.functions.hashing import hash_fraction, poisson_copies
+
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 7 > 0, F.col("id")).alias("a"), F.when(F.col("id") % 5 > 0, F.lit("")).alias("b"),
+        F.when(F.col("id") % 11 > 0, (F.col("id") % 3 == 0).cast("double")).alias("label"),
+    )
+    ones, noughts = rows.filter("label = 1").count(), rows.filter("label = 0").count()
+    each = rows.withColumn("bag", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    fraction = hash_fraction(F.lit("bag12345"), "bag", "a", "b", digits=13)
+    copies = F.when(F.col("label") == 1, poisson_copies(fraction, 40 / ones)).when(F.col("label") == 0, poisson_copies(fraction, 50 / noughts))
+    expected = each.withColumn("copies", copies).filter("copies > 0")
+    drawn = sampling.bags(rows, ["a", "b"], positives=40, others=50, count=3)
+    assert drawn.columns == ["a", "b", "label", "bag", "copies"] and drawn.count() > 100
+    assert sorted(map(str, drawn.collect())) == sorted(map(str, expected.collect()))
