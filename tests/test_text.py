@@ -125,3 +125,18 @@ def test_tokens_and_sentences(spark):
     assert value(spark, "It's 2 Big-dogs.", tokens.word_tokens) == ["it", "s", "big", "dogs"]
     assert value(spark, None, tokens.word_tokens) == []
     assert value(spark, "One. Two!  Three? four.five. ", tokens.sentences) == ["One.", "Two!", "Three?", "four.five."]
+
+
+def test_stemmer_takes_texts_by_slices_of_bounded_size(spark):
+    import pyarrow as pa
+
+    from notesight.functions import stemmer
+
+    texts = pa.array(["aa", None, "", "b" * 10, "c", "é"])
+    assert [each.to_pylist() for each in stemmer.slices(texts, 4)] == [["aa", None, ""], ["b" * 10], ["c", "é"]]
+    assert [each.to_pylist() for each in stemmer.slices(texts.slice(2), 1)] == [[""], ["b" * 10], ["c"], ["é"]]
+    assert [len(each) for each in stemmer.slices(texts.slice(0, 0), 1)] == [0]
+    # more distinct words than are remembered, over several slices
+    words = spark.range(0, 250_000, 1, 2).select(F.concat(F.lit("x"), F.translate(F.col("id").cast("string"), "0123456789", "abcdfghjkl"), F.lit(" cats")).alias("text"))
+    got = words.select("text", stem_text(F.col("text")).alias("stems")).filter("stems IS NULL OR NOT endswith(stems, ' cat')")
+    assert got.count() == 0 and stemmer.MEMORY <= 100_000
