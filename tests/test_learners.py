@@ -83,3 +83,12 @@ def test_three_classes(spark, data, tmp_path, name):
     assert {r.label for r in metrics_report(predicted).filter("metric = 'auroc'").collect()} == {0.0, 1.0, 2.0}
     fitted.save(str(tmp_path / "model"))
     assert sorted(learner(name).load(str(tmp_path / "model")).predict(test).collect()) == sorted(predicted.collect())
+
+
+def test_a_task_of_a_fit_has_a_bounded_number_of_rows(spark):
+    from notesight.plans.learners import ROWS_PER_TASK, sized
+
+    for parts, count in ((2, 7 * ROWS_PER_TASK), (9, ROWS_PER_TASK + 1), (3, 10)):
+        rows = sized(spark.range(0, count, 1, parts), count)
+        sizes = rows.rdd.mapPartitions(lambda each: [sum(1 for _ in each)]).collect()
+        assert sum(sizes) == count and max(sizes) <= 1.1 * ROWS_PER_TASK
