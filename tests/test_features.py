@@ -97,6 +97,35 @@ def test_complex_bow(spark):
     assert vectors(fitted.transform(df)) == {1: [2.0, 1.0, 0.0, 0.0], 2: [0.0, 1.0, 1.0, 0.0], 3: [0.0, 0.0, 0.0, 0.0]}
 
 
+def test_words_the_fit_has_corrected_are_not_corrected_again(spark, monkeypatch):
+    from notesight.plans import featurizers
+
+    asked = []
+    plain = featurizers.correct_spelling
+    monkeypatch.setattr(featurizers, "correct_spelling", lambda words, *rest: asked.append(sorted(r.term for r in words.select("term").collect())) or plain(words, *rest))
+    rows = lambda *texts: spark.createDataFrame(list(enumerate(texts)), "subject_id int, text string")
+    plan = featurizer("complex_bow", dictionary=spark.createDataFrame([("pain", 3), ("good", 1)], "term string, n int"),
+                      lexicon=spark.createDataFrame([("good", 1)], "term string, polarity int"))
+    fitted = plan.fit(rows("paim good zz", "pain"))
+    assert fitted.terms == ["pain", "good", "zz"]
+    # a word unknown to the fit is corrected, also to a word the fit knows
+    found = {r.subject_id: r.features.toArray().tolist() for r in fitted.transform(rows("pani paim", "good", None)).collect()}
+    assert found == {0: [2.0, 0.0, 0.0, 0.0], 1: [0.0, 1.0, 0.0, 1.0], 2: [0.0, 0.0, 0.0, 0.0]}
+    assert asked == [["good", "paim", "pain", "zz"], ["pani"]]
+
+
+def test_counts_by_summaries(spark, monkeypatch):
+    from notesight.operators import features
+
+    rows = spark.createDataFrame([(i // 2, "a b c a b d a b" if i % 3 else f"x{i} c d") for i in range(40)] + [(7, None)], "id int, text string")
+    grams = features.ngrams(F.split("text", " "), 2)
+    counts = lambda **o: sorted(map(tuple, features.vocabulary_counts(rows, ["id"], grams, 4, **o).collect()))
+    plain = counts()
+    asked, found = [], features.most_frequent
+    monkeypatch.setattr(features, "most_frequent", lambda *a: asked.append(a) or found(*a))
+    assert counts(summarized=True) == plain and len(asked) == 1 and len({r[1] for r in plain}) == 4
+
+
 def test_unknown_featurizer():
     with pytest.raises(ValueError, match="unknown featurizer"):
         featurizer("bow")
