@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -38,6 +39,15 @@ class Summary:
         if len(self.counts) > 2 * self.width:
             self.cut()
 
+    def add_counted(self, terms: pa.Array, counts: np.ndarray) -> None:
+        """Many distinct terms at once: those beyond the bound are cut before they become Python's."""
+        if len(counts) > 2 * self.width:
+            lowered = int(np.partition(counts, -self.width - 1)[-self.width - 1])
+            self.error += lowered
+            kept = np.flatnonzero(counts > lowered)
+            terms, counts = terms.take(pa.array(kept)), counts[kept] - lowered
+        self.add(terms.to_pylist(), counts.tolist())
+
     def cut(self) -> None:
         if len(self.counts) <= self.width:
             return
@@ -53,7 +63,7 @@ def summaries(rows: DataFrame, width: int) -> DataFrame:
         summary = Summary(width)
         for batch in batches:
             found = pc.value_counts(pc.drop_null(batch.column(0).flatten()))
-            summary.add(found.field("values").to_pylist(), found.field("counts").to_pylist())
+            summary.add_counted(found.field("values"), found.field("counts").to_numpy())
         summary.cut()
         terms = [*summary.counts, None]
         counts = [*summary.counts.values(), 0]

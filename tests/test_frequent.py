@@ -41,3 +41,19 @@ def test_few_candidates_are_counted(spark):
     texts = [([f"rare {i} {j}" for j in range(50)] + ["often"] * 20,) for i in range(200)]
     rows = spark.createDataFrame(texts, "terms array<string>").repartition(4)
     assert [r.term for r in candidates(rows, 1, 100).collect()] == ["often"]
+
+
+def test_terms_beyond_the_bound_are_cut_before_they_are_added():
+    import numpy as np
+    import pyarrow as pa
+
+    summary, taken = Summary(3), []
+    plain = summary.add
+    summary.add = lambda terms, counts: (taken.append(len(terms)), plain(terms, counts))
+    rng, true = random.Random(3), Counter()
+    for _ in range(20):
+        counts = {f"t{i}": rng.randint(1, 9) + 40 * (i < 2) for i in rng.sample(range(50), 30)}
+        true.update(counts)
+        summary.add_counted(pa.array(list(counts)), np.array(list(counts.values())))
+    assert max(taken) <= 3
+    assert all(summary.counts.get(t, 0) <= n <= summary.counts.get(t, 0) + summary.error for t, n in true.items())
