@@ -32,14 +32,20 @@ TRAILER = struct.Struct("<QQQIII8s")  # footer position, ids, documents, bits, i
 BLOCK = 4096
 #: Ids after which a task begins another file; a file ends with a whole document.
 FILE_IDS = 1 << 24
+#: Widths of whole bytes, whose ids lie in a file as numpy has them.
+LANES = {8: "<u1", 16: "<u2", 32: "<u4"}
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """`bits` bits for each id, least significant first."""
+    if bits in LANES:
+        return ids.astype(LANES[bits]).tobytes()
     return np.packbits(((ids[:, None] >> np.arange(bits, dtype=np.uint32)) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
 def unpack(data: bytes, bits: int, n: int) -> np.ndarray:
+    if bits in LANES:
+        return np.frombuffer(data, LANES[bits], n).astype(np.uint32)
     each = np.unpackbits(np.frombuffer(data, np.uint8), count=n * bits, bitorder="little").reshape(n, bits)
     out = np.zeros((n, -(-bits // 8) * 8), np.uint8)
     out[:, :bits] = each
@@ -212,7 +218,7 @@ def read(files: DataFrame, with_ids: bool = True) -> DataFrame:
                     rows: list[tuple] = []
                     held = 0
                     for doc_id, start, ids in FileReader(file).documents():
-                        crc = zlib.crc32(ids.astype("<u4").tobytes())
+                        crc = zlib.crc32(ids.astype("<u4", copy=False))
                         rows.append((doc_id, row["start"] + start, len(ids), crc, ids))
                         held += len(ids)
                         if held >= 1 << 21:

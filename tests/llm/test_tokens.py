@@ -230,6 +230,18 @@ def test_many_equal_lengths_that_do_not_fit_together():
     assert sum(size != 100 for size in sizes.values()) <= 7 and all(size == 100 or size & (size - 1) == 0 for size in sizes.values())
 
 
+@pytest.mark.parametrize("bits", [8, 16, 32])
+def test_whole_bytes_are_packed_without_bits(bits, monkeypatch):
+    ids = np.random.default_rng(bits).integers(0, 1 << bits, 1000, np.uint32)
+    data = bitpack.pack(ids, bits)
+    calls = []
+    monkeypatch.setattr(bitpack.np, "unpackbits", lambda *a, **k: calls.append(a))
+    assert (bitpack.unpack(data, bits, 1000) == ids).all() and not calls
+    monkeypatch.undo()
+    monkeypatch.setattr(bitpack, "LANES", {})
+    assert bitpack.pack(ids, bits) == data and (bitpack.unpack(data, bits, 1000) == ids).all()
+
+
 @pytest.mark.parametrize("bits", [1, 3, 8, 13, 16, 17, 32])
 def test_bits_round_trip(bits):
     rng = np.random.default_rng(bits)
