@@ -146,6 +146,63 @@ def test_a_chain_within_another_partners(spark):
     assert {(r.doc_id, r.partner_id) for r in found} == {(1, 2), (2, 1)} and all(r.n_words > 50 for r in found)
 
 
+def test_links_of_passages_made_of_frequent_fragments(spark, monkeypatch):
+    """Fragments that others hold too, few or many, do not take the link of two documents that share them side by side."""
+    words = lambda n, seed: corpus.prose(n, 400 + seed).replace(".", "").split()
+    for others in (2, 40):
+        monkeypatch.setattr(passages, "COMMON", 64 if others == 2 else 8)
+        parts = [words(30, 0), words(30, 1)]
+        near = [parts[0][:22] + ["x"] + parts[0][23:], parts[1][:9] + ["y"] + parts[1][10:]]
+        holders = [parts[i % 2] for i in range(others)] + [parts[0] + parts[1]] + [parts[i % 2] for i in range(others)]
+        holders += [parts[0] + parts[1], near[0] + near[1]]
+        own = [words(50, 10 + i) for i in range(len(holders))]
+        rows = [(i, " ".join(own[i][:25] + p + own[i][25:])) for i, p in enumerate(holders)]
+        whole = {others, 2 * others + 1, 2 * others + 2}
+        for tasks in (1, 5):
+            found = passages.shared(spark.createDataFrame(rows, "doc_id long, text string").repartition(tasks)).collect()
+            assert {(r.doc_id, r.partner_id) for r in found} == {(a, b) for a in whole for b in whole if a != b}
+
+
+def test_links_of_many_versions(spark):
+    """Each two of 30 versions of a text that are alike in a passage are linked, not only with the first and the one before."""
+    words = corpus.prose(90, 77).replace(".", "").split()
+    changed = [{(7 * i + 13 * j) % 90 for j in range(3)} for i in range(30)]
+    rows = [(i, " ".join(f"v{i}" if at in changed[i] else w for at, w in enumerate(words))) for i in range(30)]
+    found = passages.shared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.partner_id) for r in found} == {(a, b) for a in range(30) for b in range(30) if a != b}
+
+
+def test_matches_against_all_pairs(spark, monkeypatch):
+    """Whatever the tasks: all pairs at rare keys, the first and the previous document at others."""
+    monkeypatch.setattr(passages, "COMMON", 5)
+    rng = random.Random(2)
+    rows = [(10 * k, d, p, p + 5) for k, n in enumerate([1, 2, 3, 5, 6, 300, 20, 1, 4]) for d, p in ((rng.randrange(90), rng.randrange(500)) for _ in range(n))]
+    pairs, occurrences = set(), set()
+    for key in {r[0] for r in rows}:
+        run = sorted({r[1:] for r in rows if r[0] == key})
+        for b in run:
+            before = [a for a in run if a[0] < b[0]]
+            pairs |= {(*b, *a) for a in (before if len(run) <= 5 else before[:1] + before[-1:])}
+        if run[0][0] != run[-1][0]:
+            occurrences |= {(key, *a, len(run) > 5) for a in run}
+    keys = spark.createDataFrame(rows + rows[::7], "key long, doc long, place int, last int")
+    for tasks in (1, 9):
+        monkeypatch.setattr(type(keys), "repartitionByRange", lambda df, *by, n=tasks, plain=type(keys).repartitionByRange: plain(df, n, *by))
+        found, held = passages.matched(keys, "matches")
+        assert {tuple(r) for r in found.collect()} == pairs and occurrences <= {tuple(r) for r in held.collect()}
+        monkeypatch.undo()
+        monkeypatch.setattr(passages, "COMMON", 5)
+
+
+def test_copies_are_one_document(spark):
+    """Copies are linked to the first one, which has the links to other texts; ids with several texts lose no link."""
+    words = corpus.prose(120, 91).replace(".", "").split()
+    text, other = " ".join(words), " ".join(words[:70])
+    rows = [(5, text), (3, text), (4, text), (4, text), (3, other)]
+    found = passages.shared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.partner_id, r.n_words) for r in found if r.doc_id > r.partner_id} == {(4, 3, 120), (5, 3, 120), (5, 3, 70)}
+
+
 def test_best_chains_by_hand():
     rng = np.random.default_rng(5)
     for _ in range(100):
