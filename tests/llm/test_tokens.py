@@ -36,6 +36,17 @@ def test_chunks_give_the_tokenizers_ids(encode, most, monkeypatch):
         assert np.frombuffer(encoder.encode(text), encoder.width).tolist() == encode(text)
 
 
+def test_chunks_that_come_again_are_remembered():
+    """Chunks that come once do not take the places of those that come again."""
+    encoder = Chunks(tokenizer(), most=20)
+    encoder.encode(" ".join(f"once{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(500)))
+    encoder.encode("again " * 3 + "again")
+    calls, plain = [], encoder._piece
+    encoder._piece = lambda piece: calls.append(piece) or plain(piece)
+    encoder.encode("not again again")
+    assert " again" not in calls
+
+
 @pytest.fixture(scope="module")
 def encode_words():
     whole = Tokenizer.from_file(tokenizer("word_bpe_49k.json"))
