@@ -2,7 +2,10 @@
 
 import random
 import re
+import tempfile
+import time
 from collections import defaultdict
+from pathlib import Path
 
 import corpus
 import numpy as np
@@ -203,6 +206,65 @@ def test_copies_are_one_document(spark):
     assert {(r.doc_id, r.partner_id, r.n_words) for r in found if r.doc_id > r.partner_id} == {(4, 3, 120), (5, 3, 120), (5, 3, 70)}
 
 
+def test_shuffled_files_are_deleted_after_each_step(spark):
+    """What a step of the search for passages has shuffled does not stay on the disk for the next ones."""
+    local = Path(spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir()))
+    shuffled = lambda: {f for f in local.glob("blockmgr-*/*/shuffle_*.data")}
+    words = corpus.prose(300, 61).replace(".", "").split()
+    rows = [(i, " ".join(words[5 * i : 5 * i + 100])) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = shuffled()
+    found = passages.shared(docs)
+    for _ in range(50):
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and found.count() > 0
+
+
+def test_chains_whatever_the_batches(spark):
+    """A document whose matches come in several batches has the chains of all of them."""
+    rng = random.Random(8)
+    rows = [(d, 20 * i, 20 * i, 90 + o, 20 * i + o, 20 * i + o, False) for d in range(4) for o in range(2) for i in range(9)]
+    rows += [(d, 500 + 3 * i, 500 + 3 * i + 7, 91, 600 + 3 * i, 600 + 3 * i + 7, False) for d in (1, 3) for i in range(6)]
+    rng.shuffle(rows)
+    pairs = spark.createDataFrame(rows, "doc long, place int, last int, other long, other_place int, other_last int, exact boolean")
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, found = spark.conf.get(batch), []
+    for size in (10000, 5):
+        spark.conf.set(batch, size)
+        found.append(sorted(tuple(map(str, r)) for r in passages.chained(pairs).collect()))
+    spark.conf.set(batch, before)
+    assert found[0] == found[1] and len(found[0]) == 10 and sum("500, 600, 27" in r[2] for r in found[0]) == 2
+
+
+def test_words_of_passages():
+    pattern = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    for text in ["", " a", "A-b\x85C\xa0d 9Z@[`{", "É İstanbul ß.ß\u2003x", *corpus.odd_texts()]:
+        text = text if isinstance(text, str) else text[1] or ""
+        words = pattern.findall(text.encode().lower())
+        assert passages.words_of(text).tolist() == [passages.xxhash.xxh3_64_intdigest(w) for w in words]
+
+
+def test_seeds_of_texts_side_by_side():
+    """Seeds are those of each text by itself: the first least one of each window of k-mers."""
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        texts = [rng.integers(0, 9, n).astype(np.uint64) for n in rng.integers(0, 40, 5)]
+        sizes = np.array([len(t) for t in texts])
+        key, at = passages.seeds_of(np.concatenate(texts), sizes)
+        expected = []
+        for text, begin in zip(texts, sizes.cumsum() - sizes):
+            own, n = {}, len(text) - passages.K + 1
+            for i in range(n):  # of a k-mer by itself
+                own[i] = int(passages.seeds_of(text[i : i + passages.K], np.array([passages.K]))[0][0])
+            width = min(passages.WINDOW, n)
+            least = {min(range(i, i + width), key=lambda j: (own[j], j)) for i in range(n - width + 1)} if n > 0 else set()
+            expected += [(own[j], int(begin) + j) for j in sorted(least)]
+        assert list(zip(key.tolist(), at.tolist())) == expected
+
+
 def test_best_chains_by_hand():
     rng = np.random.default_rng(5)
     for _ in range(100):
