@@ -278,6 +278,56 @@ def test_best_chains_by_hand():
         assert passages.chains(parts)[0][0] == pytest.approx(max(best.values()))
 
 
+def by_cells(d, e):
+    """The costs of all cells, and back through them as `_fewest` goes."""
+    cost = [[i + j for j in range(len(e) + 1)] for i in range(len(d) + 1)]
+    for i in range(1, len(d) + 1):
+        for j in range(1, len(e) + 1):
+            cost[i][j] = min(cost[i - 1][j - 1] + (d[i - 1] != e[j - 1]), cost[i - 1][j] + 1, cost[i][j - 1] + 1)
+    out, i, j = "", len(d), len(e)
+    while i and j:
+        if d[i - 1] == e[j - 1]:
+            step, i, j = "=", i - 1, j - 1
+        elif cost[i - 1][j - 1] == cost[i][j] - 1:
+            step, i, j = "x", i - 1, j - 1
+        elif cost[i - 1][j] == cost[i][j] - 1:
+            step, i = "d", i - 1
+        else:
+            step, j = "e", j - 1
+        out = step + out
+    return ("d" * i + "e" * j + out).encode()
+
+
+@pytest.mark.parametrize("kinds", [2, 4, 30])
+def test_fewest_changes_against_all_cells(kinds):
+    rnd = random.Random(kinds)
+    for _ in range(200):
+        d, e = ([rnd.randrange(kinds) for _ in range(rnd.choice([1, 2, 7, 40, 70]))] for _ in range(2))
+        if not set(d).isdisjoint(e):
+            assert passages._fewest(np.array(d, np.uint64).tobytes(), np.array(e, np.uint64).tobytes()) == by_cells(d, e)
+
+
+def test_gaps_that_no_passage_crosses_are_not_aligned(monkeypatch):
+    """The passages are those that all gaps aligned give, for the fewer alignments."""
+    rnd, calls, fewest, given = random.Random(3), [], passages._fewest, []
+    monkeypatch.setattr(passages, "_fewest", lambda d, e: calls.append(1) or fewest(d, e))
+    for _ in range(300):
+        sides, anchors = ([], []), []
+        for _ in range(rnd.randrange(2, 5)):
+            for words in sides:
+                words += [rnd.randrange(rnd.choice([4, 100])) for _ in range(rnd.choice([1, 3, 30]))]
+            same = [rnd.randrange(100) for _ in range(rnd.choice([6, 20, 60]))]
+            anchors.append((len(sides[0]), len(sides[1]), len(same)))
+            for words in sides:
+                words += same
+        given.append((*(np.array(words, np.uint64) for words in sides), anchors, rnd.choice([1, 5, 20, 50])))
+    found = [sorted(passages.align(*row)) for row in given]
+    fewer = len(calls)
+    monkeypatch.setattr(passages, "_apart", lambda *_: False, raising=False)
+    assert found == [sorted(passages.align(*row)) for row in given] and any(found)
+    assert fewer < 0.6 * (len(calls) - fewer)
+
+
 def test_passages_of_odd_rows(spark, odd):
     pairs = {(r.doc_id, r.partner_id) for r in passages.shared(odd).collect()}
     assert {d for d, _ in pairs} == {6, 7, 8, 15} and (8, 8) not in pairs
