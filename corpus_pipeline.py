@@ -40,8 +40,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the training sequences, with their ids."""
-    return packing.pack(docs, tokenizer(), end_id=0)
+    """The pieces of the training sequences, with their ids. The workers still hold memory of the stages before: they remember
+    a quarter of the chunks that they do for packing alone."""
+    return packing.pack(docs, tokenizer(), end_id=0, most_chunks=packing.MOST_CHUNKS // 4)
 
 
 STAGES = [

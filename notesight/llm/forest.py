@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from notesight.llm.common import staged
+from notesight.llm.common import sliced, staged
 from notesight.llm.components import connect
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -102,6 +102,7 @@ def nodes(docs: DataFrame, width: int) -> DataFrame:
                 signatures.append(signature(members).tobytes() if len(members) else None)
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "signature"])
+        _WORDS.clear()  # the worker goes on to other stages
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return texts.mapInArrow(make, "doc_id long, n_shingles long, node binary, signature binary")
@@ -111,10 +112,11 @@ def sets(docs: DataFrame, width: int) -> DataFrame:
     """node and its members (binary, 8 bytes each, sorted)."""
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = [shingles(text.as_py(), width).tobytes() for text in batch.column("text")]
             digests = [xxhash.xxh3_128_digest(m) for m in made]
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(made, pa.binary())], ["node", "members"])
+        _WORDS.clear()
 
     return docs.select("text").mapInArrow(make, "node binary, members binary")
 
@@ -124,7 +126,7 @@ def orders(classes: DataFrame) -> DataFrame:
     positions = (np.arange(TREES)[:, None] * STEP + np.arange(DEPTH)) % HASHES
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             n = batch.num_rows
             values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), ">u2").reshape(n, HASHES)
             keys = np.ascontiguousarray(values[:, positions]).view(f"S{2 * DEPTH}").reshape(n, TREES)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from notesight.llm.common import chunks, staged
+from notesight.llm.common import MOST_CHUNKS, chunks, staged
 
 CAPACITY = 1024
 #: Ids of remainders held at a time by a task.
@@ -122,13 +122,15 @@ class Packer:
             self._sequence(pieces)
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, pool_ids: int = POOL_IDS) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, pool_ids: int = POOL_IDS, most_chunks: int = MOST_CHUNKS
+) -> DataFrame:
     """doc_id, start, length, ids (binary: little-endian, 2 bytes each, 4 for a vocabulary beyond 65,536),
     ids_crc32 (of them in 4 bytes each), doc_tokens, sequence_id, offset: one row per piece. The pieces are
-    staged; sequence ids are gapless from 0."""
+    staged; sequence ids are gapless from 0. A Python worker remembers the ids of `most_chunks` chunks of text."""
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = chunks(tokenizer)
+        encoder = chunks(tokenizer, most_chunks)
         last = np.array([end_id], encoder.width).tobytes()
         width = np.dtype(encoder.width).itemsize
         split = TaskContext.get().partitionId()

@@ -9,11 +9,13 @@ from pathlib import Path
 
 import corpus
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from notesight.llm import forest, passages, ring
+from notesight.llm.common import sliced
 from notesight.llm.components import connect
 from notesight.llm.queries import QUERIES
 
@@ -400,6 +402,19 @@ def test_pipeline(spark, sf):
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in now.select("doc_id").collect()}
 
 
+def test_packing_after_other_stages_remembers_less(monkeypatch):
+    most = []
+    monkeypatch.setattr(corpus_pipeline.packing, "pack", lambda *_, most_chunks, **__: most.append(most_chunks))
+    corpus_pipeline.packed(None, None, "")
+    assert most[0] < corpus_pipeline.packing.MOST_CHUNKS / 2
+
+
+def test_rows_are_made_values_a_slice_at_a_time():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500))], ["n"])
+    parts = list(sliced([batch, batch.slice(0, 0)]))
+    assert max(p.num_rows for p in parts) <= 1000 and [n for p in parts for n in p["n"].to_pylist()] == list(range(2500))
+
+
 def test_pipeline_stages_on_odd_rows(spark, odd, sf):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, odd, sf).columns == odd.columns

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from notesight.llm import bitpack, dominance, packing
+from notesight.llm import bitpack, common, dominance, packing
 from notesight.llm.common import Chunks, WordChunks, chunks, word_chunks
 from notesight.llm.queries import QUERIES, tokenizer
 
@@ -47,6 +47,13 @@ def test_chunks_that_come_again_are_remembered():
     assert " again" not in calls
 
 
+def test_a_worker_remembers_as_many_chunks_as_it_is_told():
+    few = chunks(tokenizer(), 5)
+    few.encode("one two three four five six seven eight " * 4)
+    assert 0 < len(few) <= 5 and chunks(tokenizer(), 5) is few
+    assert chunks(tokenizer()).most == common.MOST_CHUNKS and not chunks(tokenizer())
+
+
 @pytest.fixture(scope="module")
 def encode_words():
     whole = Tokenizer.from_file(tokenizer("word_bpe_49k.json"))
