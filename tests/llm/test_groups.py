@@ -177,6 +177,48 @@ def test_links_of_many_versions(spark):
     assert {(r.doc_id, r.partner_id) for r in found} == {(a, b) for a in range(30) for b in range(30) if a != b}
 
 
+def test_links_of_versions_that_are_many(spark, monkeypatch):
+    """Each two versions are linked if more have their pairs of seeds than are matched at once, in blocks, a part of the matches and
+    a round at a time."""
+    words = corpus.prose(90, 77).replace(".", "").split()
+    changed = [{(7 * i + 13 * j) % 90 for j in range(3)} for i in range(24)]
+    rows = [(i, " ".join(f"v{i}" if at in changed[i] else w for at, w in enumerate(words))) for i in range(24)]
+    docs, every = spark.createDataFrame(rows, "doc_id long, text string"), {(a, b) for a in range(24) for b in range(24) if a != b}
+    plain = {tuple(r) for r in passages.shared(docs).collect()}
+    monkeypatch.setattr(passages, "COMMON", 4)
+    for block, matches, least in ((256, 1 << 19, 1 << 24), (5, 20, 1500)):
+        for name, value in (("BLOCK", block), ("MATCHES", matches), ("ROUND", least)):
+            monkeypatch.setattr(passages, name, value, raising=False)
+        found = passages.shared(docs).collect()
+        assert {(r.doc_id, r.partner_id) for r in found} == every and {tuple(r) for r in found} == plain
+
+
+def test_every_two_documents_at_a_key(spark, monkeypatch):
+    """All places of two documents with few, and a match at least for each place where they have many; whatever the blocks and rounds."""
+    rng = random.Random(5)
+    rows = sorted({(k, d, 10 * rng.randrange(1, 40), 0) for k in range(2) for d in range(30) for _ in range(1 + (d % 5) * (d % 3))})
+    rows = [(k, d, p, p + 4) for k, d, p, _ in rows]
+    keys, found = spark.createDataFrame(rows, "key long, doc long, place int, last int"), []
+    for block, matches, rounds in ((256, 1 << 19, 1), (4, 30, 3)):
+        monkeypatch.setattr(passages, "BLOCK", block)
+        monkeypatch.setattr(passages, "MATCHES", matches)
+        held = passages.by_key(keys)
+        found.append(sorted(tuple(r) for number in range(rounds) for r in passages.every(held, number, rounds).collect()))
+    assert found[0] == found[1]
+    places, made = {}, {}
+    for k, d, p, _ in rows:
+        places.setdefault((k, d), set()).add(p)
+    for d, p, p2, other, q, q2 in found[0]:
+        assert d > other and (p2, q2) == (p + 4, q + 4)
+        made.setdefault((d, other), set()).add((p, q))
+    assert set(made) == {(a, b) for a in range(30) for b in range(a)}
+    for (a, b), got in made.items():
+        of = [(places[k, a], places[k, b]) for k in range(2)]
+        few = [len(x) * len(y) <= passages.PLACES for x, y in of]
+        assert got <= {(p, q) for x, y in of for p in x for q in y} and all((p, q) in got for (x, y), f in zip(of, few) if f for p in x for q in y)
+        assert all({p for p, _ in got} >= x and {q for _, q in got} >= y for x, y in of)
+
+
 def test_matches_against_all_pairs(spark, monkeypatch):
     """Whatever the tasks: all pairs at rare keys, the first and the previous document at others."""
     monkeypatch.setattr(passages, "COMMON", 5)
