@@ -283,6 +283,16 @@ def test_chains_whatever_the_batches(spark):
     assert found[0] == found[1] and len(found[0]) == 10 and sum("500, 600, 27" in r[2] for r in found[0]) == 2
 
 
+def test_a_segment_cut_short_in_its_chain():
+    """A run of equal words of which a chain takes the beginning to another diagonal is a chain of its own, too."""
+    places = [(10 + 5 * i, 200 + 5 * i) for i in range(4)] + [(20 + 5 * i, 212 + 5 * i) for i in range(11)]
+    at = np.array([p << 32 | q for p, q in places])
+    n = len(places)
+    found = passages.chains_in([np.full(n, 9), np.full(n, 3), at, at, np.zeros(n, bool)])
+    anchors = found.column("anchors").to_pylist()
+    assert [10, 200, 20, 20, 212, 55] in anchors and [20, 212, 55] in anchors
+
+
 def test_words_of_passages():
     pattern = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     for text in ["", " a", "A-b\x85C\xa0d 9Z@[`{", "É İstanbul ß.ß\u2003x", *corpus.odd_texts()]:
